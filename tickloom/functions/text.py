@@ -43,18 +43,25 @@ def _python_unescape(text: Column) -> Column:
 def unescape(text: Column | str, exact: bool = True) -> Column:
     """Decode character references.
 
-    The common ones are plain string replacements. With ``exact`` the rare rows
-    that hold any other reference go through Python in Arrow batches; all other
-    rows send a null.
+    Text without an ampersand is passed through. The common references are
+    plain string replacements. With ``exact`` the rare rows that hold any other
+    reference go through Python in Arrow batches; all other rows send a null.
     """
     text = _col(text)
-    common = reduce(
+    decoded = reduce(
         lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), COMMON_ENTITIES.items(), text
     )
-    if not exact:
-        return common
-    rare = text.rlike(_OTHER_ENTITY)
-    return F.when(rare, _python_unescape(F.when(rare, text))).otherwise(common)
+    if exact:
+        rare = F.contains(text, F.lit("&")) & text.rlike(_OTHER_ENTITY)
+        decoded = F.when(rare, _python_unescape(F.when(rare, text))).otherwise(decoded)
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def drop_tags(text: Column | str) -> Column:
+    """Every ``<...>`` becomes a space."""
+    text = _col(text)
+    stripped = F.regexp_replace(text, "<[^>]+>", " ")
+    return F.when(F.contains(text, F.lit("<")), stripped).otherwise(text)
 
 
 def collapse_space(text: Column | str) -> Column:
@@ -62,10 +69,14 @@ def collapse_space(text: Column | str) -> Column:
     return F.trim(squeezed)
 
 
+def bare_text(text: Column | str, exact: bool = True) -> Column:
+    """Decoded, tag-free, lower-case text; null becomes ''."""
+    return F.lower(drop_tags(unescape(F.coalesce(_col(text), F.lit("")), exact)))
+
+
 def plain_text(text: Column | str, exact: bool = True) -> Column:
-    """Decoded, tag-free, lower-case text with single spaces; null becomes ''."""
-    decoded = unescape(F.coalesce(_col(text), F.lit("")), exact)
-    return collapse_space(F.lower(F.regexp_replace(decoded, "<[^>]+>", " ")))
+    """``bare_text`` with single spaces and none at the ends."""
+    return collapse_space(bare_text(text, exact))
 
 
 def search_text(*cols: Column | str) -> Column:

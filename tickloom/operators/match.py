@@ -7,7 +7,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.text import contains_any, link_host, link_path, plain_text, word_text
+from tickloom.functions.text import (
+    bare_text,
+    contains_any,
+    link_host,
+    link_path,
+    plain_text,
+    word_text,
+)
 
 
 def match_entities(
@@ -38,23 +45,23 @@ def match_entities_by_join(
     """Word-mode match for keyword tables too long for one expression.
 
     Every distinct word, and every run of up to ``max_words`` words, is joined
-    to the keyword table; ``df`` needs an ``id`` column.
+    to the keyword table. The result is one (id, entity) row per match; the
+    texts themselves are never shuffled.
     """
-    words = F.split(F.trim(word_text(text)), " ")
-    terms = F.col("_w")
+    run = terms = F.col("_w")
     for n in range(2, max_words + 1):
-        starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(1)))
-        runs = F.transform(starts, lambda i, n=n: F.array_join(F.slice("_w", i, n), " "))
-        terms = F.concat(terms, runs)
+        # Runs of n words: each run of n-1 words with the word after it.
+        after = F.slice("_w", n, F.greatest(F.size("_w"), F.lit(1)))
+        run = F.zip_with(run, after, lambda a, b: F.concat(a, F.lit(" "), b))
+        terms = F.concat(terms, F.array_compact(run))
     lookup = keywords.select(F.lower("keyword").alias("_term"), F.col("entity").alias(out))
-    hits = (
-        df.select("id", words.alias("_w"))
+    return (
+        df.select("id", F.split(F.trim(word_text(text)), " ").alias("_w"))
         .select("id", F.explode(F.array_distinct(terms)).alias("_term"))
         .join(lookup, "_term")
         .select("id", out)
         .distinct()
     )
-    return df.join(hits, "id")
 
 
 def filter_relevant(
@@ -63,8 +70,15 @@ def filter_relevant(
     keywords: Iterable[str],
     mode: str = "substring",
 ) -> DataFrame:
-    """Rows whose normalised text holds any topic keyword."""
-    text = F.concat_ws(" ", *[plain_text(c) for c in cols])
+    """Rows whose normalised text holds any topic keyword.
+
+    Runs of white space only matter to keywords that contain a space, and not
+    at all in word mode, so that pass over the text is left out otherwise.
+    """
+    keywords = list(keywords)
+    spaced = mode == "substring" and any(" " in k for k in keywords)
+    normalise = plain_text if spaced else bare_text
+    text = F.concat_ws(" ", *[normalise(c) for c in cols])
     return df.withColumn("_text", text).where(contains_any("_text", keywords, mode)).drop("_text")
 
 

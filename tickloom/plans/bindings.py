@@ -32,13 +32,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose texts are costly to process.
+
+    The driver's tables are single files that may be read by one task. Only
+    when there are fewer input tasks than cores are the rows spread first; a
+    table of many files is left as it is.
+    """
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def event_ticks(spark: SparkSession, sf: str, entity: str = "event_type") -> DataFrame:
     return as_ticks(table(spark, sf, "events"), entity)
 
 
 def as_ticks(events: DataFrame, entity: str = "event_type") -> DataFrame:
     return events.select(
-        F.col(entity).cast("string").alias("entity"),
+        F.col(entity).alias("entity"),
         F.col("value").alias("price"),
         "ts",
         F.col("event_id").alias("id"),
@@ -75,7 +87,7 @@ def lineitem_ticks(spark: SparkSession, sf: str, entity: str = "l_partkey") -> D
     """Unit prices with the part's list price as baseline."""
     items, parts = table(spark, sf, "lineitem"), table(spark, sf, "part")
     return items.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col(entity).cast("string").alias("entity"),
+        F.col(entity).alias("entity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("p_retailprice").alias("baseline"),
         F.col("l_shipdate").alias("ts"),
@@ -86,7 +98,7 @@ def lineitem_ticks(spark: SparkSession, sf: str, entity: str = "l_partkey") -> D
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return text_table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "text", "source", "n_chars"
     )
 
@@ -102,7 +114,7 @@ def raw_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_items(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return text_table(spark, sf, "pages").select(
         F.col("page_id").alias("id"),
         F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
         F.col("url").alias("link"),

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 EVENTS = "(SELECT event_type AS entity, value AS price, ts, event_id AS id FROM events)"
-USERS = "(SELECT CAST(user_id AS VARCHAR) AS entity, value AS price, ts, event_id AS id FROM events)"
+USERS = "(SELECT user_id AS entity, value AS price, ts, event_id AS id FROM events)"
 
 
 def items(entity: str) -> str:
-    return f"""(SELECT CAST({entity} AS VARCHAR) AS entity, l_extendedprice / l_quantity AS price,
+    return f"""(SELECT {entity} AS entity, l_extendedprice / l_quantity AS price,
         p_retailprice AS baseline, l_shipdate AS ts, l_orderkey AS id, l_linenumber AS line,
         l_suppkey AS supplier
         FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
         WITH t AS (SELECT *, (price - baseline) / baseline * 100 AS pct FROM {items('l_partkey')}),
         last AS (SELECT * FROM t QUALIFY row_number() OVER (
             PARTITION BY entity ORDER BY ts DESC, id DESC, line DESC, supplier DESC) = 1),
-        d AS (SELECT CAST(p_partkey AS VARCHAR) AS entity, p_retailprice FROM part)
+        d AS (SELECT p_partkey AS entity, p_retailprice FROM part)
         SELECT coalesce(last.entity, d.entity) AS entity,
             coalesce(price, p_retailprice) AS price, coalesce(pct, 0.0) AS pct_change,
             CASE WHEN pct > 0.3 THEN 'up' WHEN pct < -0.3 THEN 'down' ELSE 'flat' END AS trend,
@@ -284,7 +284,7 @@ ORACLE: dict[str, str] = {
         SELECT * FROM {USERS}
         QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts DESC, id DESC) <= 5""",
     "merged_history": """
-        WITH k AS (SELECT CAST(user_id AS VARCHAR) AS entity, date_trunc('hour', ts) AS ts,
+        WITH k AS (SELECT user_id AS entity, date_trunc('hour', ts) AS ts,
             value AS price, event_id AS arrival, event_type FROM events),
         u AS (SELECT entity, ts, price, arrival, 0 AS rank, -arrival AS turn FROM k
                 WHERE event_type IN ('purchase', 'signup')
@@ -386,7 +386,7 @@ ORACLE: dict[str, str] = {
             SELECT entity FROM {EVENTS}
             UNION ALL SELECT entity FROM {DOCS} JOIN {KEYWORDS} ON contains(text, keyword))
         UNION ALL SELECT 'models', count(DISTINCT entity) FROM {split(EVENTS)}""",
-    "topic_roundtrip": f"SELECT entity AS _key, entity, price, ts, id FROM {USERS}",
+    "topic_roundtrip": f"SELECT entity AS _key, entity, price, ts, id FROM {EVENTS}",
     "stream_dedupe": "SELECT DISTINCT sha256(text) AS link FROM documents",
     "stream_ingest": f"SELECT * FROM {EVENTS}",
     "stream_alerts": f"SELECT entity, ts, id, price, prev_price, pct_change, alert FROM {alerts(USERS)}",

@@ -127,7 +127,7 @@ def latest_prices(spark, sf):
         "pct_change", (F.col("price") - F.col("baseline")) / F.col("baseline") * 100
     )
     dim = b.table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("entity"), F.col("p_retailprice").alias("baseline")
+        F.col("p_partkey").alias("entity"), F.col("p_retailprice").alias("baseline")
     )
     return aggregate.latest_prices(ticks, dim, b.LINEITEM_ORDER)
 
@@ -195,7 +195,7 @@ def recent_per_entity(spark, sf):
 def merged_history(spark, sf):
     events = b.table(spark, sf, "events")
     keyed = events.select(
-        F.col("user_id").cast("string").alias("entity"),
+        F.col("user_id").alias("entity"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
         F.col("value").alias("price"),
         F.col("event_id").alias("arrival"),
@@ -406,7 +406,7 @@ def report_sections(spark, sf):
 
 @query
 def topic_roundtrip(spark, sf):
-    ticks = b.event_ticks(spark, sf, "user_id")
+    ticks = b.event_ticks(spark, sf)
     return readers.decode_topic(sinks.encode_topic(ticks, "entity"), EVENT_TOPIC)
 
 
