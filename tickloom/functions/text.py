@@ -90,19 +90,27 @@ def word_text(text: Column | str) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
+def holds(text: Column | str, needles: Iterable[str]) -> Column:
+    return reduce(or_, [F.contains(_col(text), F.lit(n)) for n in needles])
+
+
+def needles(keywords: Iterable[str], mode: str) -> list[str]:
+    """What to look for in lower-cased text, or in ``word_text`` in word mode."""
+    if mode not in ("substring", "word"):
+        raise ValueError(f"unknown mode {mode!r}")
+    return [f" {k.lower()} " if mode == "word" else k.lower() for k in keywords]
+
+
 def contains_any(text: Column | str, keywords: Iterable[str], mode: str = "substring") -> Column:
     """True if any keyword occurs in an already lower-cased text.
 
     ``substring`` finds it anywhere, ``word`` only as whole words.
     """
-    text = _col(text)
-    keywords = [k.lower() for k in keywords]
-    if mode == "word":
-        padded = word_text(text)
-        return reduce(or_, [padded.contains(f" {k} ") for k in keywords])
-    if mode != "substring":
-        raise ValueError(f"unknown mode {mode!r}")
-    return reduce(or_, [text.contains(k) for k in keywords])
+    wanted = needles(keywords, mode)
+    hay = word_text(text) if mode == "word" else _col(text)
+    # A filter is pushed below the projection that prepares the text, which
+    # would repeat that work per keyword; as an array element it is done once.
+    return F.exists(F.array(hay), lambda t: holds(t, wanted))
 
 
 def stable_key(link: Column | str) -> Column:

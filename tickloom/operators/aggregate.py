@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import sign_class, trend_band
-from tickloom.functions.text import contains_any
+from tickloom.functions.text import holds, needles
 from tickloom.functions.times import truncate_time
 from tickloom.operators.match import match_entities
 
@@ -99,7 +99,7 @@ def price_change_by_keyword(
     """
     sums = ticks.groupBy("entity").agg(F.sum(change).alias("_sum"), F.count(change).alias("_n"))
     names = sums.withColumn("_name", F.lower("entity"))
-    tests = {e: contains_any("_name", ks) for e, ks in keywords.items()}
+    tests = {e: holds("_name", needles(ks, "substring")) for e, ks in keywords.items()}
     # One global row that holds, for every entity, the sum and count of its names.
     cells = names.agg(
         F.array(

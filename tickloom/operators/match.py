@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tickloom.functions.text import (
     bare_text,
     contains_any,
+    holds,
     link_host,
     link_path,
+    needles,
     plain_text,
     word_text,
 )
@@ -29,14 +31,11 @@ def match_entities(
     ``text`` is lower-cased already. The keywords become one expression, so the
     articles are neither shuffled nor joined.
     """
-    words = "_words"
-    if mode == "word":
-        df = df.withColumn(words, word_text(text))
-        tests = {e: contains_any(words, [f" {k} " for k in ks]) for e, ks in keywords.items()}
-    else:
-        tests = {e: contains_any(text, ks, mode) for e, ks in keywords.items()}
+    hay = F.col(text) if mode == "substring" else word_text(text)
+    df = df.withColumn("_hay", hay)
+    tests = {entity: holds("_hay", needles(words, mode)) for entity, words in keywords.items()}
     hits = F.array_compact(F.array(*[F.when(test, F.lit(e)) for e, test in tests.items()]))
-    return df.withColumn(out, F.explode(hits)).drop(words)
+    return df.withColumn(out, F.explode(hits)).drop("_hay")
 
 
 def match_entities_by_join(

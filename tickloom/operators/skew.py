@@ -30,14 +30,22 @@ _MIN_SHARE = 1e-4
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """The keys that may hold more than ``share`` of the rows.
+    """The keys that hold more than ``share`` of the rows.
 
-    One pass, no shuffle. No hot key is missed; a few others may be listed, but
-    never more than ``1 / share``.
+    Two passes over one column, without a shuffle of it: the first finds all
+    candidates (at most ``1 / share`` keys, none is missed), the second counts
+    them exactly.
     """
     share = max(share, _MIN_SHARE)
-    items = df.select(key).where(F.col(key).isNotNull()).freqItems([key], share).first()
-    return list(items[0] or []) if items else []
+    keys = df.select(key)
+    found = keys.where(F.col(key).isNotNull()).freqItems([key], share).first()
+    candidates = list(found[0] or [])
+    if not candidates:
+        return []
+    name = F.when(F.col(key).isin(candidates), F.col(key))
+    counts = keys.groupBy(name.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    floor = share * sum(row["n"] for row in counts)
+    return [row["k"] for row in counts if row["k"] is not None and row["n"] > floor]
 
 
 def _cut(df: DataFrame, value: Column, splits: Sequence[float], out: str) -> DataFrame:
@@ -62,8 +70,9 @@ def with_chunks(
 ) -> tuple[DataFrame, list]:
     """Add a chunk number and return it with the list of split entities.
 
-    ``chunks=None`` splits into as many chunks as there are shuffle partitions,
-    and not at all if the whole input is small enough for one task.
+    Entities with more than ``1 / chunks`` of all rows are split. ``None`` takes
+    the number of shuffle partitions, and splits nothing if the whole input is
+    small enough for one task.
     """
     if chunks is None:
         if fits_one_task(df):

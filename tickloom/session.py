@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One task can sort or hash this much input even if it all has one key.
+# One task can sort this much (compressed) input even if it all has one key.
 SMALL_BYTES = 32 * 1024 * 1024
 
 
@@ -40,11 +40,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex}"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate for a frame (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of what a frame reads, from the optimizer's statistics (no job is run).
+
+    Sources of unknown size count as huge.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
 
 
 def fits_one_task(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
+    """Whether the input is so small that splitting it up costs more than it saves.
+
+    This only chooses between plans with equal results.
+    """
+    return input_bytes(df) <= limit

@@ -135,6 +135,7 @@ def stream_changes(
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*columns).persist()
         try:
+            batch.count()  # fills the cache, so that its size is known
             rows = batch.withColumn("_new", F.lit(True))
             before = _read_batch(batch.sparkSession, state, batch_id - 1)
             if before is not None:
