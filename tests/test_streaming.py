@@ -42,6 +42,22 @@ def test_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
     assert spark.read.parquet(out).select("batch").distinct().count() == 4
 
 
+def test_keyed_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
+    out = str(tmp_path / "out")
+    source = readers.stream_table(spark, tick_files, **ONE_FILE)
+    query = (
+        jobs.keyed_changes(source)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "ckpt"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    ticks = spark.read.parquet(tick_files).withColumn("ts", F.col("ts").cast("timestamp"))
+    want = series.price_changes(ticks)
+    assert rows(spark.read.parquet(out).select(want.columns)) == rows(want)
+
+
 def test_replayed_batch_replaces_itself(spark, tick_files, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     steps = []

@@ -187,6 +187,21 @@ def summary_text() -> Column:
     )
 
 
+def scored_models(split: DataFrame, model: DataFrame) -> DataFrame:
+    """Fit and scores per entity with the direction and a quality band."""
+    coefficients = model.select("entity", "coef_time", "coef_hour", "intercept")
+    return (
+        metrics(split, model)
+        .join(coefficients, "entity")
+        .withColumns(
+            {
+                "direction": F.when(F.col("coef_time") > 0, "NAIK").otherwise("TURUN"),
+                "quality": r2_band("r2_test"),
+            }
+        )
+    )
+
+
 def model_report(
     features: DataFrame,
     split: DataFrame,
@@ -200,18 +215,7 @@ def model_report(
     ahead = forecast(model, last_hours(features) if starts is None else starts, steps)
     points = F.array_sort(F.collect_list(F.struct("step", "time_idx", "hour", "price_pred")))
     ahead = ahead.groupBy("entity").agg(points.alias("forecast"))
-    scores = metrics(split, model)
-    joined = (
-        scores.join(model.select("entity", "coef_time", "coef_hour", "intercept"), "entity")
-        .join(ahead, "entity")
-        .withColumns(
-            {
-                "direction": F.when(F.col("coef_time") > 0, "NAIK").otherwise("TURUN"),
-                "quality": r2_band("r2_test"),
-            }
-        )
-    )
-    return joined.withColumn("text", summary_text())
+    return scored_models(split, model).join(ahead, "entity").withColumn("text", summary_text())
 
 
 def leaderboard(report: DataFrame) -> DataFrame:

@@ -49,48 +49,32 @@ def trend_filled(tr: DataFrame, dim: DataFrame) -> DataFrame:
     the run of periods up to the next known one, so it is spread over that run
     directly: no product of entities and periods and no window over the grid.
     """
-    day = F.to_date("period")
     tr = tr.join(dim.select("entity"), "entity", "left_semi")
-    periods = tr.select("period").distinct().withColumn("_day", day)
-    # Number the periods per day and shift by the periods of earlier days.
-    per_day = periods.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
-    all_days = W.orderBy("_day")
-    per_day = per_day.select(
-        "_day",
-        F.coalesce(
-            F.sum("_n").over(all_days.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_first"),
-        F.sum("_n").over(
-            all_days.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        ).alias("_periods"),
+    periods = tr.select("period").distinct().withColumn("_day", F.to_date("period"))
+    # Number the periods within each day and shift by the periods of earlier days;
+    # the running sum sees one row per day.
+    earlier_days = W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
+    shift = (
+        periods.groupBy("_day")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_day", F.coalesce(F.sum("_n").over(earlier_days), F.lit(0)).alias("_shift"))
     )
-    numbered = periods.join(per_day, "_day").select(
-        "period",
-        (F.row_number().over(W.partitionBy("_day").orderBy("period")) - 1 + F.col("_first"))
-        .cast("int")
-        .alias("_i"),
-        F.col("_periods").cast("int").alias("_periods"),
-    )
-    known = tr.join(numbered, "period")
-    start = numbered.where(F.col("_i") == 0).select("_i", "_periods")
-    seed = dim.withColumn("_i", F.lit(0)).join(start, "_i")
-    points = known.select(
-        "entity", "_i", "_periods", F.col("price_avg").alias("_price"), F.lit(1).alias("_known")
-    ).unionByName(
-        seed.select(
-            "entity", "_i", "_periods", F.col("baseline").alias("_price"), F.lit(0).alias("_known")
-        )
+    within_day = F.row_number().over(W.partitionBy("_day").orderBy("period"))
+    numbered = periods.join(shift, "_day").select(
+        "period", (within_day - 1 + F.col("_shift")).cast("int").alias("_i")
     )
+    n_periods = periods.agg(F.count(F.lit(1)).cast("int")).scalar()
+    known = tr.join(numbered, "period").select("entity", "_i", F.col("price_avg").alias("_price"))
+    seed = dim.select("entity", F.lit(0).alias("_i"), F.col("baseline").alias("_price"))
+    points = seed.withColumn("_known", F.lit(0)).unionByName(known.withColumn("_known", F.lit(1)))
     along = W.partitionBy("entity").orderBy("_i", "_known")
-    runs = points.withColumn(
-        "_end", F.coalesce(F.lead("_i").over(along), F.col("_periods"))
-    ).where(F.col("_end") > F.col("_i"))
-    spread = runs.select(
-        "entity", "_price", F.explode(F.sequence("_i", F.col("_end") - 1)).alias("_i")
-    )
-    return spread.join(numbered.select("_i", "period"), "_i").select(
-        "entity", "period", F.col("_price").alias("price_avg")
+    runs = points.withColumn("_end", F.coalesce(F.lead("_i").over(along), n_periods))
+    spread = runs.where(F.col("_end") > F.col("_i")).select(
+        "entity",
+        F.col("_price").alias("price_avg"),
+        F.explode(F.sequence("_i", F.col("_end") - 1)).alias("_i"),
     )
+    return spread.join(numbered, "_i").select("entity", "period", "price_avg")
 
 
 def recent(df: DataFrame, n: int, order: Sequence[str] = ("ts", "id")) -> DataFrame:

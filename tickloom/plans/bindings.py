@@ -32,15 +32,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table whose texts are costly to process.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows with costly texts, over all cores.
 
     The driver's tables are single files that may be read by one task. Only
     when there are fewer input tasks than cores are the rows spread first; a
     table of many files is left as it is.
     """
-    df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
@@ -98,7 +97,7 @@ def lineitem_ticks(spark: SparkSession, sf: str, entity: str = "l_partkey") -> D
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return text_table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "text", "source", "n_chars"
     )
 
@@ -114,7 +113,7 @@ def raw_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_items(spark: SparkSession, sf: str) -> DataFrame:
-    return text_table(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         F.col("page_id").alias("id"),
         F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
         F.col("url").alias("link"),

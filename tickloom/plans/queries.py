@@ -28,7 +28,7 @@ from tickloom.streaming import jobs as streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SPLIT = 16  # chunks per hot entity in the queries that force the split plan
+SPLIT = 64  # chunks per hot entity in the queries that force the split plan
 EVENT_TOPIC = schemas.struct(entity="string", price="double", ts="timestamp_ntz", id="bigint")
 
 
@@ -227,7 +227,8 @@ def snapshot_diff(spark, sf):
 
 
 def _doc_text(spark, sf):
-    return b.documents(spark, sf).select("id", search_text("text").alias("text"))
+    docs = b.spread(b.documents(spark, sf).select("id", "text"))
+    return docs.select("id", search_text("text").alias("text"))
 
 
 @query
@@ -286,7 +287,8 @@ def allowed_pages(spark, sf):
 
 @query
 def page_plain_text(spark, sf):
-    return b.page_items(spark, sf).select("id", plain_text("summary").alias("text"))
+    pages = b.spread(b.page_items(spark, sf).select("id", "summary"))
+    return pages.select("id", plain_text("summary").alias("text"))
 
 
 @query
@@ -365,14 +367,11 @@ def price_forecast(spark, sf):
     return rounded(ahead, "price_pred")
 
 
-def _report(spark, sf):
-    features = _features(spark, sf)
-    return model.model_report(features, series.split_by_time(features))
-
-
 @query
 def model_report(spark, sf):
-    report = rounded(_report(spark, sf), *COEFS, *SCORES)
+    features = _features(spark, sf)
+    report = model.model_report(features, series.split_by_time(features))
+    report = rounded(report, *COEFS, *SCORES)
     steps = F.transform(
         "forecast",
         lambda p: F.concat_ws(":", p["step"], p["time_idx"], p["hour"]),
@@ -382,7 +381,9 @@ def model_report(spark, sf):
 
 @query
 def model_leaderboard(spark, sf):
-    return rounded(model.leaderboard(_report(spark, sf)), "best_r2", "worst_r2")
+    split = series.split_by_time(_features(spark, sf))
+    board = model.leaderboard(model.scored_models(split, model.fit(split)))
+    return rounded(board, "best_r2", "worst_r2")
 
 
 @query

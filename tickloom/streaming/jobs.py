@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tickloom import schemas
 from tickloom.functions.numbers import alert_class
 from tickloom.operators.clean import canonicalize
 from tickloom.operators.series import price_changes, recent, recent_per_entity
@@ -153,6 +156,37 @@ def stream_changes(
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
+def keyed_changes(sdf: DataFrame) -> DataFrame:
+    """Change against the previous tick of the entity, with one state per entity.
+
+    For very many entities: only entities with new ticks touch their state. The
+    new ticks of one entity in one batch are sorted in memory, so the trigger's
+    input limit bounds that; for few and large entities use ``stream_changes``.
+    """
+    out = schemas.struct(
+        entity=dict(sdf.dtypes)["entity"],
+        ts="timestamp",
+        id="bigint",
+        price="double",
+        prev_price="double",
+        pct_change="double",
+    )
+    ticks = sdf.select("entity", F.col("ts").cast("timestamp").alias("ts"), "id", "price")
+
+    def step(key, batches, state):
+        new = pd.concat(list(batches)).sort_values(["ts", "id"])
+        last = state.get[0] if state.exists else None
+        prev = new["price"].shift(1)
+        prev.iloc[0] = last
+        change = (new["price"] - prev) / prev.where(prev != 0) * 100
+        state.update((float(new["price"].iloc[-1]),))
+        yield new.assign(prev_price=prev, pct_change=change)[out.names]
+
+    return ticks.groupBy("entity").applyInPandasWithState(
+        step, out, schemas.struct(price="double"), "append", GroupStateTimeout.NoTimeout
+    )
+
+
 def ingest_stream(
     sdf: DataFrame,
     schema: T.StructType,
