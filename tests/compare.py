@@ -21,12 +21,26 @@ def sorted_rows(columns: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+}
+
+
 def differences(spark, con, build, sql: str, sf_dir: str) -> list[str]:
     df = build(spark, sf_dir)
     want = con.execute(sql)
     names = [d[0] for d in want.description]
     if sorted(df.columns) != sorted(names):
         return [f"columns {sorted(df.columns)} != {sorted(names)}"]
+    kinds = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in want.description}
+    if kinds != dict(df.dtypes):
+        return [f"types {sorted(set(kinds.items()) ^ set(df.dtypes))}"]
     got_rows = sorted_rows(df.columns, df.collect())
     want_rows = sorted_rows(names, want.fetchall())
     out = []

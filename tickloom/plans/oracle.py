@@ -49,7 +49,8 @@ KEYWORDS = """(VALUES ('view', 'eaux'), ('click', 'tion'), ('purchase', 'und'),
 
 VOLATILITY = """entity, max(price) AS price_max, min(price) AS price_min,
     round(avg(price), 8) AS price_avg, count(price) AS n,
-    round((max(price) - min(price)) / min(price) * 100, 8) AS volatility_pct"""
+    CASE WHEN min(price) <= 0 THEN 0.0
+        ELSE round((max(price) - min(price)) / min(price) * 100, 8) END AS volatility_pct"""
 
 PAGES = """(SELECT page_id AS id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
     url AS link, html AS summary,
@@ -58,7 +59,8 @@ PAGES = """(SELECT page_id AS id, regexp_extract(html, '<title>(.*?)</title>', 1
 
 
 def changes(ticks: str) -> str:
-    return f"""(SELECT *, (price - prev_price) / prev_price * 100 AS pct_change FROM (
+    # Division by a zero price gives null, not infinity.
+    return f"""(SELECT *, (price - prev_price) / nullif(prev_price, 0) * 100 AS pct_change FROM (
         SELECT *, lag(price) OVER (PARTITION BY entity ORDER BY ts, id) AS prev_price
         FROM {ticks}))"""
 
@@ -69,7 +71,8 @@ def alerts(ticks: str) -> str:
 
 
 def two_back(entity: str) -> str:
-    return f"""SELECT *, (price - prev_price) / prev_price * 100 AS pct_change FROM (
+    return f"""SELECT *, CASE WHEN prev_price = 0 THEN 0.0
+        ELSE (price - prev_price) / prev_price * 100 END AS pct_change FROM (
         SELECT *, coalesce(lag(price, 2) OVER (
             PARTITION BY entity ORDER BY ts, id, line, supplier), baseline) AS prev_price
         FROM {items(entity)})"""
@@ -229,7 +232,8 @@ ORACLE: dict[str, str] = {
             round(v, 8) AS volatility_pct, round(v / max(v) OVER () * 100, 8) AS share_pct
         FROM (SELECT entity, max(price) AS price_max, min(price) AS price_min,
                 avg(price) AS price_avg, count(price) AS n,
-                (max(price) - min(price)) / min(price) * 100 AS v
+                CASE WHEN min(price) <= 0 THEN 0.0
+                    ELSE (max(price) - min(price)) / min(price) * 100 END AS v
             FROM {USERS} GROUP BY entity)""",
     "trend": f"""
         SELECT entity, date_trunc('minute', ts) AS period, round(avg(price), 8) AS price_avg
