@@ -15,53 +15,77 @@ never changes a result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.times import micros
-from tickloom.session import fits_one_task
+from tickloom.session import fits_one_task, input_bytes
 
 CHUNK = "_chunk"
-_MIN_SHARE = 1e-4
+CHUNK_BYTES = 256 * 1024 * 1024
+MAX_CHUNKS = 10_000
+# Stands for an unknown value in an order column; below any time in microseconds.
+BEFORE_ALL = -float(2**62)
+# Rows looked at per chunk to place the borders.
+SAMPLE_PER_CHUNK = 200
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """The keys that hold more than ``share`` of the rows.
+def default_chunks(df: DataFrame) -> int:
+    """Chunks of about 256 MB of input, at least one per shuffle partition."""
+    at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_CHUNKS, max(at_least, input_bytes(df) // CHUNK_BYTES)))
+
+
+def hot_keys(df: DataFrame, key: str, share: float) -> dict:
+    """Row counts of the keys that hold more than ``share`` of the rows.
 
     Two passes over one column, without a shuffle of it: the first finds all
     candidates (at most ``1 / share`` keys, none is missed), the second counts
     them exactly.
     """
-    share = max(share, _MIN_SHARE)
+    share = max(share, 1 / MAX_CHUNKS)
     keys = df.select(key)
     found = keys.where(F.col(key).isNotNull()).freqItems([key], share).first()
     candidates = list(found[0] or [])
     if not candidates:
-        return []
+        return {}
     name = F.when(F.col(key).isin(candidates), F.col(key))
     counts = keys.groupBy(name.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
     floor = share * sum(row["n"] for row in counts)
-    return [row["k"] for row in counts if row["k"] is not None and row["n"] > floor]
+    return {row["k"]: row["n"] for row in counts if row["k"] is not None and row["n"] > floor}
+
+
+def _number(value: Column) -> Column:
+    """As a double that sorts like the value; nulls come first."""
+    return F.coalesce(value.cast("double"), F.lit(BEFORE_ALL))
 
 
 def _cut(df: DataFrame, value: Column, splits: Sequence[float], out: str) -> DataFrame:
-    """Bucket number of ``value``; nulls come first, as they do in the order."""
-    raw = f"{out}_in"
-    inf = float("inf")
+    """Number of the bucket between the split points."""
+    raw, inf = f"{out}_in", float("inf")
     bucketizer = Bucketizer(
         splits=[-inf, *splits, inf], inputCol=raw, outputCol=out, handleInvalid="keep"
     )
-    cut = bucketizer.transform(df.withColumn(raw, value.cast("double"))).drop(raw)
-    return cut.withColumn(out, F.coalesce(F.col(out).cast("long") + 1, F.lit(0)))
+    cut = bucketizer.transform(df.withColumn(raw, value)).drop(raw)
+    return cut.withColumn(out, F.col(out).cast("long"))
+
 
+def _borders(df: DataFrame, value: Column, parts: int, rows: int) -> list[float]:
+    """Approximate quantiles, from a sample if there are very many rows.
 
-def _quantiles(df: DataFrame, value: Column, parts: int) -> list[float]:
+    Where exactly the borders lie only affects the sizes of the chunks.
+    """
+    frame = df.select(value.alias("v"))
+    fraction = SAMPLE_PER_CHUNK * parts / max(rows, 1)
+    if fraction < 1:
+        frame = frame.sample(fraction, seed=1)
     probabilities = [i / parts for i in range(1, parts)]
-    frame = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
     return frame.approxQuantile("v", probabilities, 1.0 / (4 * parts))
 
 
@@ -71,34 +95,37 @@ def with_chunks(
     """Add a chunk number and return it with the list of split entities.
 
     Entities with more than ``1 / chunks`` of all rows are split. ``None`` takes
-    the number of shuffle partitions, and splits nothing if the whole input is
+    the number from the input size, and splits nothing if the whole input is
     small enough for one task.
     """
+    whole = df.withColumn(CHUNK, F.lit(0).cast("long"))
     if chunks is None:
         if fits_one_task(df):
-            return df.withColumn(CHUNK, F.lit(0).cast("long")), []
-        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(2, chunks)
+            return whole, []
+        chunks = default_chunks(df)
+    chunks = max(2, min(chunks, MAX_CHUNKS))
     hot = hot_keys(df, by, 1.0 / chunks)
     if not hot:
-        return df.withColumn(CHUNK, F.lit(0).cast("long")), []
+        return whole, []
 
-    time = micros(order[0])
-    is_hot = F.coalesce(F.col(by).isin(hot), F.lit(False))
-    edges = _quantiles(df.where(is_hot), time, chunks)
+    time = _number(micros(order[0]))
+    n_hot = sum(hot.values())
+    is_hot = F.coalesce(F.col(by).isin(list(hot)), F.lit(False))
+    edges = _borders(df.where(is_hot), time, chunks, n_hot)
     # A quantile that shows up twice is an instant with many rows: give it a
     # bucket of its own and cut that one along the next order column.
     instants = sorted({a for a, b in zip(edges, edges[1:], strict=False) if a == b})
-    edges = sorted({*edges, *(t + 1 for t in instants)})
+    edges = sorted({*edges, *(math.nextafter(t, math.inf) for t in instants)})
     out = _cut(df, time, edges, "_time_cut")
-    width, tie = 1, F.lit(0).cast("long")
-    if instants and len(order) > 1:
-        in_instant = F.coalesce(time.cast("double").isin(instants), F.lit(False))
-        ties = sorted(set(_quantiles(df.where(is_hot & in_instant), F.col(order[1]), chunks)))
-        out = _cut(out, F.col(order[1]), ties, "_tie_cut")
-        width, tie = len(ties) + 2, F.when(in_instant, F.col("_tie_cut")).otherwise(0)
+    width, tie = 1, F.lit(0)
+    if instants and len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
+        in_instant = time.isin(instants)
+        place = _number(F.col(order[1]))
+        ties = sorted(set(_borders(df.where(is_hot & in_instant), place, chunks, n_hot)))
+        out = _cut(out, place, ties, "_tie_cut")
+        width, tie = len(ties) + 1, F.when(in_instant, F.col("_tie_cut")).otherwise(0)
     chunk = F.when(is_hot, F.col("_time_cut") * width + tie).otherwise(0).cast("long")
-    return out.withColumn(CHUNK, chunk).drop("_time_cut", "_tie_cut"), hot
+    return out.withColumn(CHUNK, chunk).drop("_time_cut", "_tie_cut"), list(hot)
 
 
 def previous_value(
