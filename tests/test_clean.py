@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tickloom import dimensions, schemas
@@ -148,3 +149,10 @@ def test_known_tables_agree():
     assert schemas.json_schema(schemas.RAW_TICK, schemas.TICK_FIELDS).names == list(
         schemas.TICK_FIELDS
     )
+
+
+def test_observed_quality(spark):
+    raw = ticks(spark, [("a", "1", T1, 1), ("a", None, T1, 2), ("a", "-4", T1, 3)])
+    seen = Observation("quality")
+    dedupe.observe_quality(raw, seen).count()
+    assert seen.get == {"rows_read": 3, "null_price": 1, "non_positive": 1}

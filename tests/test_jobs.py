@@ -6,7 +6,10 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tickloom import dimensions
+from tickloom.__main__ import main as cli
 from tickloom.operators import versions
 from tickloom.plans import jobs
 
@@ -103,6 +106,30 @@ def test_floor_correction(spark, base):
     assert [r.operation for r in log] == ["UPDATE", "WRITE"]
 
 
+def test_known_entities_only(spark, base):
+    ticks = versions.as_of(spark, f"{base}/clean/ticks")
+    news = versions.as_of(spark, f"{base}/clean/news")
+    extra = ticks.limit(1).withColumn("entity", F.lit("Kopi"))
+    known = dimensions.baseline_table(spark)
+    tables = jobs.analyse(ticks.unionByName(extra), news, known=known)
+    periods = ticks.select(F.date_trunc("minute", "ts")).distinct().count()
+    assert tables["trend"].count() == 8 * periods
+    assert tables["volatility"].count() == 8
+    counts = {r.entity: r.n_news for r in tables["correlation"].collect()}
+    assert set(counts) == set(dimensions.ENTITY_KEYWORDS)
+    assert counts["Beras"] == 0  # named in a title only
+
+
+def test_command_line(spark, base, tmp_path):
+    cli(["--base", base, "analyse", "--known-only"])
+    cli(["--base", base, "model", "--penalty", "ridge_sum"])
+    cli(["--base", base, "report", str(tmp_path / "doc")])
+    doc = json.loads(spark.read.text(str(tmp_path / "doc")).first()[0])
+    assert len(doc["korelasi_berita"]) == 8 and len(doc["prediksi_mlllib"]) == 8
+    with pytest.raises(SystemExit):
+        cli(["--base", base, "ingest", "--ticks", "csv=x"])
+
+
 def test_without_news(spark, base):
     ticks = versions.as_of(spark, f"{base}/clean/ticks")
     tables = jobs.analyse(ticks, None)

@@ -28,7 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     floor = steps.add_parser("correct", help="raise too low prices of an entity")
     floor.add_argument("entity")
     floor.add_argument("price", type=float)
-    steps.add_parser("analyse", help="volatility, trend, alerts, news")
+    analyse = steps.add_parser("analyse", help="volatility, trend, alerts, news")
+    analyse.add_argument("--known-only", action="store_true")
     models = steps.add_parser("model", help="fit and forecast")
     models.add_argument("--penalty", choices=["mllib", "ridge_sum"], default="mllib")
     report = steps.add_parser("report", help="write the report as one JSON document")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "correct":
         jobs.correct_floor(spark, args.base, args.entity, args.price).show()
     elif args.step == "analyse":
-        jobs.build_analysis(spark, args.base)
+        jobs.build_analysis(spark, args.base, args.known_only)
     elif args.step == "model":
         jobs.build_models(spark, args.base, args.penalty)
     else:

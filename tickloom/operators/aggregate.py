@@ -117,6 +117,25 @@ def price_change_by_keyword(
     return cells.select("entity", F.col("n").alias("n_changes"), mean.alias("avg_change_pct"))
 
 
+def keyword_correlation(
+    ticks: DataFrame,
+    news: DataFrame,
+    keywords: Mapping[str, Iterable[str]],
+    text: str = "text",
+    mode: str = "substring",
+    change: str = "pct_change",
+) -> DataFrame:
+    """Like ``news_correlation``, for exactly the entities of ``keywords``.
+
+    Both sides are matched by keyword, the articles by text and the ticks by name.
+    """
+    counts = mention_counts(match_entities(news.select(text), text, keywords, mode))
+    changes = price_change_by_keyword(ticks, keywords, change)
+    return changes.join(counts, "entity", "left").select(
+        "entity", F.coalesce("n_news", F.lit(0)).alias("n_news"), "avg_change_pct"
+    )
+
+
 def newest(df: DataFrame, order: Sequence[str | Column], by: str = "entity") -> DataFrame:
     """The last row per entity by ``order``, combined before the shuffle."""
     rest = [c for c in df.columns if c != by]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,17 @@ def quality_audit(
         (rows(valid) - kept).alias("duplicates"),
         kept.alias("rows_kept"),
     )
+
+
+def observe_quality(df: DataFrame, name: str | Observation, price: str = "price") -> DataFrame:
+    """Pass rows through and report their counts per rule as observed metrics.
+
+    Costs no job of its own and also works on streams, where each batch reports.
+    """
+    value = F.col(price).try_cast("double")
+    return df.observe(
+        name,
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(value.isNull()).alias("null_price"),
+        F.count_if(value <= 0).alias("non_positive"),
+    )

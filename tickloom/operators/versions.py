@@ -6,12 +6,15 @@ way leaves nothing visible and the next run replaces its files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.sources.readers import empty_like
+from tickloom.sources.sinks import overwrite_table
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
@@ -30,12 +33,14 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return _commits(spark, path).agg(F.max("version")).first()[0]
 
 
-def commit(df: DataFrame, path: str, operation: str = "WRITE") -> int:
+def commit(
+    df: DataFrame, path: str, operation: str = "WRITE", partition_by: Sequence[str] = ()
+) -> int:
     """Write the next version of a table and return its number."""
     spark = df.sparkSession
     last = latest_version(spark, path)
     version = 0 if last is None else last + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    overwrite_table(df, f"{path}/v={version}", partition_by)
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.current_timestamp().alias("ts"),
@@ -65,6 +70,11 @@ def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) ->
 
 
 def update_table(
-    spark: SparkSession, path: str, condition: Column, values: dict[str, Column]
+    spark: SparkSession,
+    path: str,
+    condition: Column,
+    values: dict[str, Column],
+    partition_by: Sequence[str] = (),
 ) -> int:
-    return commit(update_where(as_of(spark, path), condition, values), path, "UPDATE")
+    updated = update_where(as_of(spark, path), condition, values)
+    return commit(updated, path, "UPDATE", partition_by)

@@ -17,7 +17,7 @@ EVENT_KEYWORDS = {
     "signup": ["ment", "the", "of the"],
 }
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-TYPE_KEYWORDS = {"medium or promo": ["ediu", "omo"], "small": ["small"], "none": ["zzz"]}
+TYPE_KEYWORDS = {"medium or promo": ["ediu", "omo"], "small": ["small", "eaux"], "none": ["zzz"]}
 TOPIC_WORDS = ["tion", "eaux", "schen", "mente"]
 WHOLE_WORDS = ["tion", "that", "oure", "nicht"]
 PAGE_RULES = [

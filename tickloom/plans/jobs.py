@@ -16,19 +16,22 @@ from tickloom.sources import readers, sinks
 
 # Digits shown in reports.
 REPORT_DIGITS = {
-    "price_avg": 2,
-    "volatility_pct": 2,
-    "avg_change_pct": 2,
-    "coef_time": 6,
-    "coef_hour": 6,
-    "intercept": 2,
-    "r2_train": 4,
-    "rmse_train": 2,
-    "mae_train": 2,
-    "r2_test": 4,
-    "rmse_test": 2,
-    "mae_test": 2,
+    "volatility": {"price_avg": 2, "volatility_pct": 2},
+    "trend": {"price_avg": 0},
+    "correlation": {"avg_change_pct": 2},
+    "models": {
+        "coef_time": 6,
+        "coef_hour": 6,
+        "intercept": 2,
+        "r2_train": 4,
+        "rmse_train": 2,
+        "mae_train": 2,
+        "r2_test": 4,
+        "rmse_test": 2,
+        "mae_test": 2,
+    },
 }
+BY_DATE = ("date",)
 
 
 def ingest_raw(
@@ -53,7 +56,7 @@ def build_clean(spark: SparkSession, base: str, canonicalize_first: bool = False
     aliases = dimensions.alias_table(spark)
     raw = readers.read_table(spark, f"{base}/raw/ticks")
     ticks = clean.clean_ticks(raw.select(*schemas.RAW_TICK.names), aliases, canonicalize_first)
-    versions.commit(ticks, f"{base}/clean/ticks")
+    versions.commit(ticks, f"{base}/clean/ticks", partition_by=BY_DATE)
     news = readers.read_table(spark, f"{base}/raw/news")
     versions.commit(clean.clean_news(news.select(*schemas.RAW_NEWS.names)), f"{base}/clean/news")
 
@@ -63,7 +66,7 @@ def correct_floor(spark: SparkSession, base: str, entity: str, floor: float) ->
     path = f"{base}/clean/ticks"
     before = versions.as_of(spark, path)
     low = (F.col("entity") == entity) & (F.col("price") < floor)
-    versions.update_table(spark, path, low, {"price": F.lit(floor)})
+    versions.update_table(spark, path, low, {"price": F.lit(floor)}, BY_DATE)
     after = versions.as_of(spark, path)
     # Ticks have no id of their own; rows of equal time are told apart by source fields.
     keys = ["entity", "ts", "source", "region"]
@@ -75,18 +78,32 @@ def analyse(
     news: DataFrame | None,
     keywords: Mapping[str, Iterable[str]] = dimensions.ENTITY_KEYWORDS,
     mode: str = "substring",
+    known: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The analysis tables of clean ticks and news."""
-    if news is not None:
-        news = news.withColumn("text", search_text("title", "summary"))
+    """The analysis tables of clean ticks and news.
+
+    Without ``known`` all entities are analysed as they occur. With a baseline
+    table only its entities are, the trend has every one of them in every
+    period, and the correlation matches summaries and entity names by keyword.
+    """
     order = ("ts", "id") if "id" in ticks.columns else ("ts", "price")
+    cols = ("title", "summary") if known is None else ("summary",)
+    if news is not None:
+        news = news.withColumn("text", search_text(*cols))
+    if known is None or news is None:
+        correlation = aggregate.news_correlation(ticks, news, keywords, mode=mode)
+    else:
+        correlation = aggregate.keyword_correlation(ticks, news, keywords, mode=mode)
+    if known is not None:
+        ticks = ticks.join(known.select("entity"), "entity", "left_semi")
+    trend = aggregate.trend(ticks)
     return {
         "volatility": aggregate.volatility(ticks),
-        "trend": aggregate.trend(ticks),
+        "trend": trend if known is None else series.trend_filled(trend, known),
         "alerts": series.alerts(ticks, order=order).select(
             "entity", "price", "prev_price", "pct_change", "alert", "ts"
         ),
-        "correlation": aggregate.news_correlation(ticks, news, keywords, mode=mode),
+        "correlation": correlation,
     }
 
 
@@ -104,16 +121,19 @@ def model_input(ticks: DataFrame, history: DataFrame | None = None) -> DataFrame
     return combine.merge_priority(live, past)
 
 
-def build_analysis(spark: SparkSession, base: str) -> None:
+def build_analysis(spark: SparkSession, base: str, known_only: bool = False) -> None:
     """Analysis layer; the report keeps the sections it does not rebuild."""
     ticks = versions.as_of(spark, f"{base}/clean/ticks")
     try:
         news = versions.as_of(spark, f"{base}/clean/news")
     except ValueError:
         news = None
-    tables = analyse(ticks, news)
+    known = dimensions.baseline_table(spark) if known_only else None
+    tables = analyse(ticks, news, known=known)
+    tables["trend"] = tables["trend"].withColumn("date", F.to_date("period"))
+    tables["alerts"] = tables["alerts"].withColumn("date", F.to_date("ts"))
     for name, df in tables.items():
-        sinks.overwrite_table(df, f"{base}/analysis/{name}")
+        sinks.overwrite_table(df, f"{base}/analysis/{name}", BY_DATE if "date" in df.columns else ())
     stored = {
         name: readers.read_table(spark, f"{base}/analysis/{name}")
         for name in ("volatility", "trend", "correlation")
@@ -143,7 +163,7 @@ def export_report(spark: SparkSession, base: str, path: str) -> None:
 
 def _update_report(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> None:
     path = f"{base}/report"
-    rounded = {name: round_for_report(df, REPORT_DIGITS) for name, df in tables.items()}
+    rounded = {name: round_for_report(df, REPORT_DIGITS[name]) for name, df in tables.items()}
     rows = sinks.report_rows(rounded, local_names=True)
     try:
         last = versions.as_of(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tickloom.operators.model import ADVICE_TEXT, QUALITY_TEXT
+
 EVENTS = "(SELECT event_type AS entity, value AS price, ts, event_id AS id FROM events)"
 USERS = "(SELECT user_id AS entity, value AS price, ts, event_id AS id FROM events)"
 
@@ -157,16 +159,18 @@ MODEL_REPORT = f"""(
             AS quality
     FROM {scored(USERS)} s JOIN {fitted(USERS)} m ON s.entity = m.entity)"""
 
-TEXT = """'Harga ' || entity || ' cenderung ' || direction || ' (koef_waktu='
-    || format('{:.4f}', coef_time) || '). Akurasi model '
-    || CASE quality WHEN 'good' THEN 'baik - model mampu menjelaskan tren dengan andal'
-        WHEN 'medium' THEN 'sedang - ada pola linier namun noise cukup tinggi'
-        ELSE 'rendah - harga sangat fluktuatif dan sulit diprediksi secara linier' END
-    || ': R2_test=' || coalesce(format('{:.4f}', r2_test), '-') || ', RMSE_test=Rp'
-    || format('{:,}', CAST(round_even(rmse_test, 0) AS BIGINT)) || '. '
-    || CASE direction
-        WHEN 'NAIK' THEN 'Pantau potensi kenaikan; pertimbangkan pembelian stok lebih awal.'
-        ELSE 'Harga cenderung turun; peluang pembelian stok dengan harga lebih murah.' END"""
+
+
+def pick(column: str, texts: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{key}' THEN '{text}'" for key, text in texts.items())
+    return f"CASE {column} {whens} END"
+
+
+TEXT = f"""'Harga ' || r.entity || ' cenderung ' || direction || ' (koef_waktu='
+    || format('{{:.4f}}', coef_time) || '). Akurasi model ' || {pick("quality", QUALITY_TEXT)}
+    || ': R2_test=' || coalesce(format('{{:.4f}}', r2_test), '-') || ', RMSE_test=Rp'
+    || format('{{:,}}', CAST(round_even(rmse_test, 0) AS BIGINT)) || '. '
+    || {pick("direction", ADVICE_TEXT)}"""
 
 FLOORED = f"""(SELECT entity, CASE WHEN entity = 'view' AND price < 5 THEN 5.0 ELSE price END
     AS price, ts, id FROM {EVENTS})"""
@@ -201,6 +205,18 @@ def deduped(entity: str) -> str:
 HOURS = f"""(SELECT entity, date_trunc('hour', ts) AS period, avg(price) AS price_avg
     FROM {EVENTS} GROUP BY ALL)"""
 
+TYPE_KEYWORDS = """(FROM (VALUES ('medium or promo', 'ediu'), ('medium or promo', 'omo'),
+    ('small', 'small'), ('small', 'eaux'), ('none', 'zzz')) AS k(entity, keyword))"""
+
+# Every entity with the changes of all ticks whose name holds one of its keywords.
+NAMED_CHANGES = f"""(
+    SELECT e.entity, pct FROM (SELECT DISTINCT entity FROM {TYPE_KEYWORDS}) e
+    LEFT JOIN (
+        SELECT lower(entity) AS name, (price - baseline) / baseline * 100 AS pct
+        FROM {items('p_type')}) t
+    ON EXISTS (SELECT 1 FROM {TYPE_KEYWORDS} k
+        WHERE k.entity = e.entity AND contains(t.name, k.keyword)))"""
+
 ORACLE: dict[str, str] = {
     "silver_ticks": f"""
         SELECT {canonical('entity')} AS entity, {TYPED}, id FROM ({deduped('entity')})""",
@@ -312,15 +328,15 @@ ORACLE: dict[str, str] = {
         SELECT entity, count(DISTINCT id) AS n_news FROM (SELECT id, {WORDS} AS w FROM {DOCS})
         JOIN {KEYWORDS} ON contains(w, ' ' || keyword || ' ') GROUP BY entity""",
     "price_change_by_keyword": f"""
-        WITH t AS (SELECT lower(entity) AS name, (price - baseline) / baseline * 100 AS pct
-            FROM {items('p_type')}),
-        k AS (FROM (VALUES ('medium or promo', 'ediu'), ('medium or promo', 'omo'),
-            ('small', 'small'), ('none', 'zzz')) AS k(entity, keyword))
-        SELECT e.entity, count(pct) AS n_changes,
+        SELECT entity, count(pct) AS n_changes,
+            round(coalesce(avg(pct), 0.0), 8) AS avg_change_pct
+        FROM {NAMED_CHANGES} GROUP BY entity""",
+    "keyword_correlation": f"""
+        WITH n AS (SELECT entity, count(DISTINCT id) AS n_news FROM {DOCS}
+            JOIN {TYPE_KEYWORDS} ON contains(text, keyword) GROUP BY entity)
+        SELECT c.entity, coalesce(any_value(n_news), 0) AS n_news,
             round(coalesce(avg(pct), 0.0), 8) AS avg_change_pct
-        FROM (SELECT DISTINCT entity FROM k) e LEFT JOIN t ON EXISTS (
-            SELECT 1 FROM k WHERE k.entity = e.entity AND contains(t.name, k.keyword))
-        GROUP BY e.entity""",
+        FROM {NAMED_CHANGES} c LEFT JOIN n ON c.entity = n.entity GROUP BY c.entity""",
     "news_correlation": f"""
         WITH n AS (SELECT entity, count(DISTINCT id) AS n_news FROM {DOCS}
             JOIN {KEYWORDS} ON contains(text, keyword) GROUP BY entity),
@@ -371,7 +387,7 @@ ORACLE: dict[str, str] = {
         SELECT entity, step, time_idx, hour, round(price_pred, 8) AS price_pred FROM {AHEAD}""",
     "model_report": f"""
         SELECT r.entity, n_total, n_train, n_test, {ROUND_SCORES}, {ROUND_COEFS}, forecast,
-            direction, quality, {TEXT.replace("|| entity ||", "|| r.entity ||")} AS text
+            direction, quality, {TEXT} AS text
         FROM {MODEL_REPORT} r JOIN (
             SELECT entity, string_agg(step || ':' || time_idx || ':' || hour, ' ' ORDER BY step)
                 AS forecast

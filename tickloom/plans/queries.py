@@ -250,15 +250,26 @@ def news_mentions_join(spark, sf):
     return aggregate.mention_counts(found)
 
 
-@query
-def price_change_by_keyword(spark, sf):
-    ticks = b.lineitem_ticks(spark, sf, "p_type").withColumn(
+def _type_ticks(spark, sf):
+    return b.lineitem_ticks(spark, sf, "p_type").withColumn(
         "pct_change", (F.col("price") - F.col("baseline")) / F.col("baseline") * 100
     )
-    found = aggregate.price_change_by_keyword(ticks, b.TYPE_KEYWORDS)
+
+
+@query
+def price_change_by_keyword(spark, sf):
+    found = aggregate.price_change_by_keyword(_type_ticks(spark, sf), b.TYPE_KEYWORDS)
     return rounded(found, "avg_change_pct")
 
 
+@query
+def keyword_correlation(spark, sf):
+    both = aggregate.keyword_correlation(
+        _type_ticks(spark, sf), _doc_text(spark, sf), b.TYPE_KEYWORDS
+    )
+    return rounded(both, "avg_change_pct")
+
+
 @query
 def news_correlation(spark, sf):
     ticks = series.price_changes(b.event_ticks(spark, sf))

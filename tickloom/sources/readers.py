@@ -94,6 +94,11 @@ def read_first_available(
     return empty_like(spark, schema)
 
 
+def count_trigger(rows: int, longest_wait: str = "1 minute") -> dict[str, str]:
+    """Topic options for a batch per so many new messages, or after the wait."""
+    return {"minOffsetsPerTrigger": str(rows), "maxTriggerDelay": longest_wait}
+
+
 def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """A Kafka topic from its first offset; needs Spark's Kafka package."""
     return (
