@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
 
 from tickloom.operators import model, series
 
@@ -88,12 +89,12 @@ def test_published_forecast(spark):
     for coef, intercept, prices in PUBLISHED:
         index = np.arange(20)
         fitted = spark.createDataFrame(
-            [("x", coef, 0.0, intercept, float(index.mean()), 16.0, float(index.std()), 0.0)],
+            [("x", coef, 0.0, intercept, float(index.mean()), 16.0, float(index.std()), 0.0, 25, 3)],
             "entity string, coef_time double, coef_hour double, intercept double,"
-            "mean_time double, mean_hour double, scale_time double, scale_hour double",
+            "mean_time double, mean_hour double, scale_time double, scale_hour double,"
+            "n_total long, start_hour int",
         )
-        starts = spark.createDataFrame([("x", 25, 16)], "entity string, n_total long, start_hour int")
-        got = model.forecast(fitted, starts).orderBy("step").collect()
+        got = model.forecast(fitted, start_hour=F.lit(16)).orderBy("step").collect()
         assert [round(r.price_pred) for r in got] == prices
         assert [r.time_idx for r in got] == [25, 26, 27, 28, 29]
         assert [r.hour for r in got] == [17, 18, 19, 20, 21]
@@ -102,7 +103,7 @@ def test_published_forecast(spark):
 def test_hours_wrap_at_midnight(spark):
     features = series.ml_features(series_of(spark, {"a": [1, 2, 3, 4, 5, 6]}, step_minutes=170))
     split = series.split_by_time(features)
-    ahead = model.forecast(model.fit(split), model.last_hours(features)).orderBy("step").collect()
+    ahead = model.forecast(model.fit(split)).orderBy("step").collect()
     assert [r.hour for r in ahead] == [0, 1, 2, 3, 4]
 
 
@@ -123,7 +124,7 @@ def test_degenerate_series(spark):
 def test_model_report(spark):
     prices = {**random_prices(1, "ab"), "line": [float(x) for x in range(1000, 1040)]}
     features = series.ml_features(series_of(spark, prices))
-    report = model.model_report(features, series.split_by_time(features)).cache()
+    report = model.model_report(series.split_by_time(features)).cache()
     rows = {r.entity: r for r in report.collect()}
     line = rows["line"]
     assert (line.direction, line.quality) == ("NAIK", "good")

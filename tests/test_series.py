@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom import session
 from tickloom.operators import aggregate, combine, series, skew
 from tickloom.session import fits_one_task
 
@@ -172,7 +173,9 @@ def test_trend_filled_covers_every_entity_and_period(spark):
     assert filled.count() == 9
 
 
-def test_trend_filled_equals_pandas(spark):
+@pytest.mark.parametrize("small", [0, 10**9])
+def test_trend_filled_equals_pandas(spark, monkeypatch, small):
+    monkeypatch.setattr(session, "SMALL_BYTES", small)
     df = skewed(spark, 800).where("ts is not null and price is not null")
     tr = aggregate.trend(df)
     dim = df.groupBy("entity").agg(F.max("price").alias("baseline"))

@@ -11,6 +11,7 @@ from tickloom.functions.numbers import sign_class, trend_band
 from tickloom.functions.text import holds, needles
 from tickloom.functions.times import truncate_time
 from tickloom.operators.match import match_entities
+from tickloom.session import stored_if_large
 
 
 def volatility(ticks: DataFrame) -> DataFrame:
@@ -46,6 +47,7 @@ def trend(ticks: DataFrame, unit: str = "minute") -> DataFrame:
 
 def trend_matrix(tr: DataFrame, entities: Sequence[str], n: int = 12) -> DataFrame:
     """The last ``n`` periods as rows, one price column per entity."""
+    tr = stored_if_large(tr, "trend")
     newest = tr.select("period").distinct().orderBy(F.desc("period")).limit(n)
     recent = tr.join(newest, "period", "left_semi")
     return recent.groupBy("period").pivot("entity", list(entities)).agg(F.first("price_avg"))

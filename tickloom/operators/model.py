@@ -26,10 +26,6 @@ ADVICE_TEXT = {
 }
 
 
-def _sd(c: str) -> Column:
-    return F.sqrt(F.var_pop(c))
-
-
 def fit(split: DataFrame, reg: float = 0.01, penalty: str = "mllib") -> DataFrame:
     """Coefficients per entity from its training rows.
 
@@ -37,27 +33,29 @@ def fit(split: DataFrame, reg: float = 0.01, penalty: str = "mllib") -> DataFram
     StandardScaler: label standardised, coefficients per sample standard
     deviation. ``ridge_sum`` adds ``reg`` to the plain sum of squares of
     features scaled by their population deviation. A feature without variance
-    gets 0.
+    gets 0. The same grouping notes the row count and the hour of the last
+    tick, where a forecast starts.
     """
     if penalty not in ("mllib", "ridge_sum"):
         raise ValueError(f"unknown penalty {penalty!r}")
-    train = split.where("is_train").select(
-        "entity",
-        F.col("time_idx").cast("double").alias("t"),
-        F.col("hour").cast("double").alias("h"),
-        F.col("price").alias("y"),
-    )
-    stats = train.groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("t").alias("mean_time"),
-        F.avg("h").alias("mean_hour"),
-        F.avg("y").alias("mean_y"),
-        _sd("t").alias("sd_t"),
-        _sd("h").alias("sd_h"),
-        _sd("y").alias("sd_y"),
-        F.covar_pop("t", "h").alias("c_th"),
-        F.covar_pop("t", "y").alias("c_ty"),
-        F.covar_pop("h", "y").alias("c_hy"),
+
+    def train(name: str) -> Column:
+        return F.when(F.col("is_train"), F.col(name).cast("double"))
+
+    t, h, y = train("time_idx"), train("hour"), train("price")
+    stats = split.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_total"),
+        F.max_by("hour", "time_idx").cast("int").alias("start_hour"),
+        F.count(y).alias("n"),
+        F.avg(t).alias("mean_time"),
+        F.avg(h).alias("mean_hour"),
+        F.avg(y).alias("mean_y"),
+        F.sqrt(F.var_pop(t)).alias("sd_t"),
+        F.sqrt(F.var_pop(h)).alias("sd_h"),
+        F.sqrt(F.var_pop(y)).alias("sd_y"),
+        F.covar_pop(t, h).alias("c_th"),
+        F.covar_pop(t, y).alias("c_ty"),
+        F.covar_pop(h, y).alias("c_hy"),
     )
 
     def corr(cov: str, a: str, b: str) -> Column:
@@ -93,6 +91,8 @@ def fit(split: DataFrame, reg: float = 0.01, penalty: str = "mllib") -> DataFram
         "mean_hour",
         (F.col("sd_t") * F.col("widen")).alias("scale_time"),
         (F.col("sd_h") * F.col("widen")).alias("scale_hour"),
+        "n_total",
+        "start_hour",
     )
 
 
@@ -134,24 +134,15 @@ def metrics(split: DataFrame, model: DataFrame) -> DataFrame:
     return stats.select(*out)
 
 
-def last_hours(features: DataFrame) -> DataFrame:
-    """Row count and hour of the last tick per entity."""
-    last = F.max_by("hour", "time_idx").cast("int")
-    return features.groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_total"), last.alias("start_hour")
-    )
-
-
-def forecast(model: DataFrame, starts: DataFrame, steps: int = 5) -> DataFrame:
+def forecast(model: DataFrame, steps: int = 5, start_hour: Column | None = None) -> DataFrame:
     """Model values for the next steps; the hour advances by one per step.
 
-    ``starts`` has ``n_total`` and ``start_hour`` per entity.
+    The first hour follows the one of the last tick unless ``start_hour`` is given.
     """
+    if start_hour is not None:
+        model = model.withColumn("start_hour", start_hour)
     step = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
-    future = model.join(starts.select("entity", "n_total", "start_hour"), "entity").select(
-        "*", step
-    )
-    future = future.withColumns(
+    future = model.select("*", step).withColumns(
         {
             "time_idx": F.col("n_total") - 1 + F.col("step"),
             "hour": (F.col("start_hour") + F.col("step")) % 24,
@@ -191,7 +182,7 @@ def scored_models(split: DataFrame, model: DataFrame) -> DataFrame:
     """Fit and scores per entity with the direction and a quality band."""
     coefficients = model.select("entity", "coef_time", "coef_hour", "intercept")
     return (
-        metrics(split, model)
+        metrics(split, model.drop("n_total", "start_hour"))
         .join(coefficients, "entity")
         .withColumns(
             {
@@ -203,16 +194,15 @@ def scored_models(split: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def model_report(
-    features: DataFrame,
     split: DataFrame,
     reg: float = 0.01,
     penalty: str = "mllib",
     steps: int = 5,
-    starts: DataFrame | None = None,
+    start_hour: Column | None = None,
 ) -> DataFrame:
     """One record per entity: fit, scores, forecast array, direction and text."""
     model = fit(split, reg, penalty)
-    ahead = forecast(model, last_hours(features) if starts is None else starts, steps)
+    ahead = forecast(model, steps, start_hour)
     points = F.array_sort(F.collect_list(F.struct("step", "time_idx", "hour", "price_pred")))
     ahead = ahead.groupBy("entity").agg(points.alias("forecast"))
     return scored_models(split, model).join(ahead, "entity").withColumn("text", summary_text())

@@ -145,9 +145,8 @@ def build_models(spark: SparkSession, base: str, penalty: str = "mllib") -> None
     """Fit and forecast every known entity."""
     known = dimensions.baseline_table(spark).select("entity")
     ticks = versions.as_of(spark, f"{base}/clean/ticks").join(known, "entity", "left_semi")
-    features = series.ml_features(model_input(ticks), order=("ts", "price"))
-    split = series.split_by_time(features)
-    report = model.model_report(features, split, penalty=penalty)
+    split = series.split_by_time(series.ml_features(model_input(ticks), order=("ts", "price")))
+    report = model.model_report(split, penalty=penalty)
     sinks.overwrite_table(report, f"{base}/analysis/models")
     _update_report(
         spark, base, {"models": readers.read_table(spark, f"{base}/analysis/models")}

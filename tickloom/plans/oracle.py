@@ -149,7 +149,7 @@ AHEAD = f"""(SELECT f.entity, step, n_total - 1 + step AS time_idx,
         {predicted('(n_total - 1 + step)', '((start_hour + step) % 24)')} AS price_pred
     FROM {fitted(USERS)} f
     JOIN (SELECT entity, count(*) AS n_total, arg_max(hour, time_idx) AS start_hour
-        FROM {features(USERS)} GROUP BY entity) l ON f.entity = l.entity
+        FROM {split(USERS)} GROUP BY entity) l ON f.entity = l.entity
     CROSS JOIN (SELECT CAST(unnest(generate_series(1, 5)) AS INTEGER) AS step))"""
 
 MODEL_REPORT = f"""(

@@ -371,17 +371,13 @@ def model_metrics(spark, sf):
 
 @query
 def price_forecast(spark, sf):
-    features = _features(spark, sf)
-    ahead = model.forecast(
-        model.fit(series.split_by_time(features)), model.last_hours(features)
-    )
+    ahead = model.forecast(model.fit(series.split_by_time(_features(spark, sf))))
     return rounded(ahead, "price_pred")
 
 
 @query
 def model_report(spark, sf):
-    features = _features(spark, sf)
-    report = model.model_report(features, series.split_by_time(features))
+    report = model.model_report(series.split_by_time(_features(spark, sf)))
     report = rounded(report, *COEFS, *SCORES)
     steps = F.transform(
         "forecast",
@@ -401,13 +397,12 @@ def model_leaderboard(spark, sf):
 def report_sections(spark, sf):
     ticks = b.event_ticks(spark, sf)
     changes = series.price_changes(ticks)
-    features = series.ml_features(ticks)
     sections = {
         "volatility": aggregate.volatility(ticks),
         "trend": aggregate.trend(ticks),
         "correlation": aggregate.news_correlation(changes, _doc_text(spark, sf), b.EVENT_KEYWORDS),
     }
-    models = model.model_report(features, series.split_by_time(features))
+    models = model.model_report(series.split_by_time(series.ml_features(ticks)))
     old = sinks.report_rows({"models": models, "trend": aggregate.trend(ticks, "hour")})
     rows = sinks.merge_report(sinks.report_rows(sections), old, list(sections))
     return rows.groupBy("section").agg(F.count("item").alias("items"))

@@ -52,9 +52,24 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
-def fits_one_task(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+def fits_one_task(df: DataFrame) -> bool:
     """Whether the input is so small that splitting it up costs more than it saves.
 
     This only chooses between plans with equal results.
     """
-    return input_bytes(df) <= limit
+    return input_bytes(df) <= SMALL_BYTES
+
+
+def stored_if_large(df: DataFrame, name: str) -> DataFrame:
+    """A frame that several branches of a plan read.
+
+    Over a large input it is written to the shared scratch space once, so that
+    the input is not read again by every branch; over a small one it stays as
+    it is.
+    """
+    if fits_one_task(df):
+        return df
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
