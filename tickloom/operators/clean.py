@@ -46,7 +46,8 @@ def clean_ticks(
     df = filter_valid_price(raw)
     if aliases is not None and canonicalize_first:
         df = canonicalize(df, aliases)
-    df = dedupe(df, ["ts", "entity", "price"], ["id"] if "id" in raw.columns else [])
+    order = [c for c in ("id", "_ingested_at") if c in raw.columns]
+    df = dedupe(df, ["ts", "entity", "price"], order)
     numbers = [c for c in ("price", "prev_price", "pct_change", "baseline") if c in df.columns]
     df = df.withColumns({c: F.col(c).try_cast("double") for c in numbers})
     if dict(df.dtypes)["ts"] == "string":
@@ -60,6 +61,6 @@ def clean_ticks(
 def clean_news(raw: DataFrame) -> DataFrame:
     """Articles with a title, one per title and publication time."""
     df = raw.where(F.col("title") != "")
-    order = [c for c in ("id", "link") if c in raw.columns]
+    order = [c for c in ("id", "_ingested_at") if c in raw.columns]
     df = dedupe(df, ["title", "published"], order)
     return df.withColumns({"published_ts": parse_time("published"), "source": F.upper("source")})

@@ -32,6 +32,7 @@ REPORT_DIGITS = {
     },
 }
 BY_DATE = ("date",)
+TABLES = ("ticks", "news")
 
 
 def ingest_raw(
@@ -54,11 +55,10 @@ def ingest_raw(
 def build_clean(spark: SparkSession, base: str, canonicalize_first: bool = False) -> None:
     """Clean layer: versioned ticks and news."""
     aliases = dimensions.alias_table(spark)
-    raw = readers.read_table(spark, f"{base}/raw/ticks")
-    ticks = clean.clean_ticks(raw.select(*schemas.RAW_TICK.names), aliases, canonicalize_first)
+    raw = {t: readers.read_table(spark, f"{base}/raw/{t}").drop(sinks.BATCH) for t in TABLES}
+    ticks = clean.clean_ticks(raw["ticks"], aliases, canonicalize_first)
     versions.commit(ticks, f"{base}/clean/ticks", partition_by=BY_DATE)
-    news = readers.read_table(spark, f"{base}/raw/news")
-    versions.commit(clean.clean_news(news.select(*schemas.RAW_NEWS.names)), f"{base}/clean/news")
+    versions.commit(clean.clean_news(raw["news"]), f"{base}/clean/news")
 
 
 def correct_floor(spark: SparkSession, base: str, entity: str, floor: float) -> DataFrame:

@@ -46,11 +46,23 @@ def _batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch={batch_id}"
 
 
-def _read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _write_slot(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write what the next batch starts from.
+
+    Two folders take turns, so that a batch never replaces the one it was made
+    from and old ones do not pile up.
+    """
+    marked = df.withColumn("batch", F.lit(batch_id).cast("long"))
+    marked.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+
+
+def _read_slot(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What a batch left behind, None if there is no such batch."""
     try:
-        return spark.read.parquet(_batch_folder(path, batch_id))
+        df = spark.read.parquet(f"{path}/slot={batch_id % 2}")
     except AnalysisException:
         return None
+    return df.where(F.col("batch") == batch_id).drop("batch")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -140,7 +152,7 @@ def stream_changes(
         try:
             batch.count()  # fills the cache, so that its size is known
             rows = batch.withColumn("_new", F.lit(True))
-            before = _read_batch(batch.sparkSession, state, batch_id - 1)
+            before = _read_slot(batch.sparkSession, state, batch_id - 1)
             if before is not None:
                 rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
             changes = price_changes(rows, chunks=chunks).where("_new").drop("_new")
@@ -148,8 +160,7 @@ def stream_changes(
                 changes = changes.withColumn("alert", alert_class("pct_change", threshold))
                 changes = changes.where(F.col("alert").isNotNull())
             changes.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
-            last = recent_per_entity(rows.drop("_new"), 1)
-            last.write.mode("overwrite").parquet(_batch_folder(state, batch_id))
+            _write_slot(recent_per_entity(rows.drop("_new"), 1), state, batch_id)
         finally:
             batch.unpersist()
 
@@ -201,19 +212,17 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Decode a topic, unify names, archive all rows and keep the newest ones.
 
-    The archive has a folder per batch; the view of batch b is made from the
-    view of batch b-1 and the new rows.
+    The archive has a folder per batch; the view of a batch is made from the
+    view of the batch before and the new rows.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = canonicalize(decode_topic(batch, schema, fields).drop("_key"), aliases).persist()
         try:
             append_table(rows, archive, batch_id)
-            before = _read_batch(batch.sparkSession, view, batch_id - 1)
+            before = _read_slot(batch.sparkSession, view, batch_id - 1)
             both = rows if before is None else rows.unionByName(before)
-            recent(both, n_recent, order).write.mode("overwrite").parquet(
-                _batch_folder(view, batch_id)
-            )
+            _write_slot(recent(both, n_recent, order), view, batch_id)
         finally:
             rows.unpersist()
 
@@ -224,7 +233,7 @@ def read_view(spark: SparkSession, view: str) -> DataFrame:
     """The latest version of a rolling view."""
     df = spark.read.parquet(view)
     newest = df.agg(F.max("batch")).first()[0]
-    return df.where(F.col("batch") == newest).drop("batch")
+    return df.where(F.col("batch") == newest).drop("batch", "slot")
 
 
 def refresh_after(
