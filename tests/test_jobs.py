@@ -23,7 +23,8 @@ def base(spark, tmp_path_factory):
     for i in range(12):
         for k, (entity, price) in enumerate(dimensions.BASELINES.items()):
             name = "Beras Medium" if entity == "Beras" and i % 2 else entity
-            move = 1 + ((i * 7 + k) % 5 - 2) / 100 + (0.2 if entity == "Cabai Merah" and i == 6 else 0)
+            jump = 0.2 if entity == "Cabai Merah" and i == 6 else 0
+            move = 1 + ((i * 7 + k) % 5 - 2) / 100 + jump
             ticks.append(
                 {
                     "komoditas": name,
@@ -120,10 +121,13 @@ def test_known_entities_only(spark, base):
     assert counts["Beras"] == 0  # named in a title only
 
 
-def test_command_line(spark, base, tmp_path):
+def test_command_line(spark, base, tmp_path, capsys):
     cli(["--base", base, "analyse", "--known-only"])
     cli(["--base", base, "model", "--penalty", "ridge_sum"])
     cli(["--base", base, "report", str(tmp_path / "doc")])
+    cli(["--base", base, "summary"])
+    shown = capsys.readouterr().out
+    assert "most volatile" in shown and "Cabai Merah" in shown
     doc = json.loads(spark.read.text(str(tmp_path / "doc")).first()[0])
     assert len(doc["korelasi_berita"]) == 8 and len(doc["prediksi_mlllib"]) == 8
     with pytest.raises(SystemExit):

@@ -42,20 +42,21 @@ def test_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
     assert spark.read.parquet(out).select("batch").distinct().count() == 4
 
 
-def test_keyed_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
-    out = str(tmp_path / "out")
-    source = readers.stream_table(spark, tick_files, **ONE_FILE)
-    query = (
-        jobs.keyed_changes(source)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "ckpt"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
-    ticks = spark.read.parquet(tick_files).withColumn("ts", F.col("ts").cast("timestamp"))
-    want = series.price_changes(ticks)
-    assert rows(spark.read.parquet(out).select(want.columns)) == rows(want)
+def test_entities_pause_and_return(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    schema = "entity string, ts timestamp, id long, price double"
+    t = [dt.datetime(2026, 5, 11, 9, m) for m in range(3)]
+    for part in (
+        [("a", t[0], 1, 100.0), ("b", t[0], 2, 50.0), (None, t[0], 3, 1.0)],
+        [("b", t[1], 4, 60.0)],
+        [("a", t[2], 5, 90.0), ("c", t[2], 6, 7.0), (None, t[2], 7, 2.0)],
+    ):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    out, state, ckpt = (str(tmp_path / n) for n in ("out", "state", "ckpt"))
+    source = readers.stream_table(spark, path, **ONE_FILE)
+    jobs.stream_changes(source, out, state, ckpt).awaitTermination()
+    got = {r.id: r.prev_price for r in jobs.read_batches(spark, out).collect()}
+    assert got == {1: None, 2: None, 3: None, 4: 50.0, 5: 100.0, 6: None, 7: 1.0}
 
 
 def test_replayed_batch_replaces_itself(spark, tick_files, tmp_path):

@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     analyse.add_argument("--known-only", action="store_true")
     models = steps.add_parser("model", help="fit and forecast")
     models.add_argument("--penalty", choices=["mllib", "ridge_sum"], default="mllib")
+    steps.add_parser("summary", help="show the main findings")
     report = steps.add_parser("report", help="write the report as one JSON document")
     report.add_argument("out")
     args = parser.parse_args(argv)
@@ -47,6 +48,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.build_analysis(spark, args.base, args.known_only)
     elif args.step == "model":
         jobs.build_models(spark, args.base, args.penalty)
+    elif args.step == "summary":
+        for title, table in jobs.summary(spark, args.base).items():
+            print(title)
+            table.show(truncate=False)
     else:
         jobs.export_report(spark, args.base, args.out)
 

@@ -133,7 +133,8 @@ def build_analysis(spark: SparkSession, base: str, known_only: bool = False) ->
     tables["trend"] = tables["trend"].withColumn("date", F.to_date("period"))
     tables["alerts"] = tables["alerts"].withColumn("date", F.to_date("ts"))
     for name, df in tables.items():
-        sinks.overwrite_table(df, f"{base}/analysis/{name}", BY_DATE if "date" in df.columns else ())
+        layout = BY_DATE if "date" in df.columns else ()
+        sinks.overwrite_table(df, f"{base}/analysis/{name}", layout)
     stored = {
         name: readers.read_table(spark, f"{base}/analysis/{name}")
         for name in ("volatility", "trend", "correlation")
@@ -153,6 +154,17 @@ def build_models(spark: SparkSession, base: str, penalty: str = "mllib") -> None
     )
 
 
+def summary(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """What a run is read for: the most volatile entities and the model comparison."""
+    models = readers.read_table(spark, f"{base}/analysis/models")
+    volatility = readers.read_table(spark, f"{base}/analysis/volatility")
+    return {
+        "most volatile": aggregate.ranked(volatility).limit(5),
+        "best and worst model": model.leaderboard(models),
+        "directions": model.direction_lists(models, list(dimensions.BASELINES)),
+    }
+
+
 def export_report(spark: SparkSession, base: str, path: str) -> None:
     """The latest report as one JSON document."""
     rows = versions.as_of(spark, f"{base}/report")

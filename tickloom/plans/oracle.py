@@ -409,7 +409,8 @@ ORACLE: dict[str, str] = {
     "topic_roundtrip": f"SELECT entity AS _key, entity, price, ts, id FROM {EVENTS}",
     "stream_dedupe": "SELECT DISTINCT sha256(text) AS link FROM documents",
     "stream_ingest": f"SELECT * FROM {EVENTS}",
-    "stream_alerts": f"SELECT entity, ts, id, price, prev_price, pct_change, alert FROM {alerts(USERS)}",
+    "stream_alerts": f"""
+        SELECT entity, ts, id, price, prev_price, pct_change, alert FROM {alerts(USERS)}""",
     "stream_trend": f"""
         SELECT entity, date_trunc('hour', ts) AS period, round(avg(price), 8) AS price_avg,
             min(price) AS price_min, max(price) AS price_max, count(price) AS n

@@ -8,15 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tickloom import schemas
 from tickloom.functions.numbers import alert_class
 from tickloom.operators.clean import canonicalize
 from tickloom.operators.series import price_changes, recent, recent_per_entity
@@ -141,9 +138,9 @@ def stream_changes(
 ) -> StreamingQuery:
     """Change against the previous tick of the entity, across batches.
 
-    The last tick per entity is carried from batch to batch as a small table;
-    within a batch the batch operator is used, which also splits hot entities.
-    Equal to the batch answer if files arrive in time order.
+    The last tick per entity is carried from batch to batch as a table; within a
+    batch the batch operator is used, which also splits hot entities. Equal to
+    the batch answer if files arrive in time order.
     """
     columns = ["entity", "ts", "id", "price"]
 
@@ -151,53 +148,28 @@ def stream_changes(
         batch = batch.select(*columns).persist()
         try:
             batch.count()  # fills the cache, so that its size is known
-            rows = batch.withColumn("_new", F.lit(True))
+            rows, rest = batch.withColumn("_new", F.lit(True)), None
             before = _read_slot(batch.sparkSession, state, batch_id - 1)
             if before is not None:
-                rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
+                # Only entities with new ticks take part in the computation.
+                active = batch.select(F.col("entity").alias("_active")).distinct()
+                same = F.col("entity").eqNullSafe(F.col("_active"))
+                last_seen = before.join(active, same, "left_semi")
+                rows = rows.unionByName(last_seen.withColumn("_new", F.lit(False)))
+                rest = before.join(active, same, "left_anti")
             changes = price_changes(rows, chunks=chunks).where("_new").drop("_new")
             if threshold is not None:
                 changes = changes.withColumn("alert", alert_class("pct_change", threshold))
                 changes = changes.where(F.col("alert").isNotNull())
             changes.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
-            _write_slot(recent_per_entity(rows.drop("_new"), 1), state, batch_id)
+            last = recent_per_entity(rows.drop("_new"), 1)
+            _write_slot(last if rest is None else last.unionByName(rest), state, batch_id)
         finally:
             batch.unpersist()
 
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
-def keyed_changes(sdf: DataFrame) -> DataFrame:
-    """Change against the previous tick of the entity, with one state per entity.
-
-    For very many entities: only entities with new ticks touch their state. The
-    new ticks of one entity in one batch are sorted in memory, so the trigger's
-    input limit bounds that; for few and large entities use ``stream_changes``.
-    """
-    out = schemas.struct(
-        entity=dict(sdf.dtypes)["entity"],
-        ts="timestamp",
-        id="bigint",
-        price="double",
-        prev_price="double",
-        pct_change="double",
-    )
-    ticks = sdf.select("entity", F.col("ts").cast("timestamp").alias("ts"), "id", "price")
-
-    def step(key, batches, state):
-        new = pd.concat(list(batches)).sort_values(["ts", "id"])
-        last = state.get[0] if state.exists else None
-        prev = new["price"].shift(1)
-        prev.iloc[0] = last
-        change = (new["price"] - prev) / prev.where(prev != 0) * 100
-        state.update((float(new["price"].iloc[-1]),))
-        yield new.assign(prev_price=prev, pct_change=change)[out.names]
-
-    return ticks.groupBy("entity").applyInPandasWithState(
-        step, out, schemas.struct(price="double"), "append", GroupStateTimeout.NoTimeout
-    )
-
-
 def ingest_stream(
     sdf: DataFrame,
     schema: T.StructType,
