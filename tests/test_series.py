@@ -154,6 +154,7 @@ def test_trend_filled_covers_every_entity_and_period(spark):
         ("a", at(60 * 30), 3, 40.0),
         ("b", at(60 * 24), 4, 7.0),
         ("x", at(5), 5, 1.0),  # not a known entity: adds no period
+        ("a", None, 6, 99.0),  # no time: no period
     ]
     dim = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "entity string, baseline double")
     filled = series.trend_filled(aggregate.trend(ticks(spark, rows)), dim)

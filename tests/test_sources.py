@@ -105,6 +105,13 @@ def test_topic_roundtrip_with_field_names(spark):
     assert back.first()["_key"] == "Beras"
 
 
+def test_count_trigger():
+    assert readers.count_trigger(8, "30s") == {
+        "minOffsetsPerTrigger": "8",
+        "maxTriggerDelay": "30s",
+    }
+
+
 def test_append_is_idempotent_per_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10)

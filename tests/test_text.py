@@ -26,7 +26,7 @@ TEXTS = [
 ]
 
 
-def reference_plain(text):
+def expected_plain(text):
     text = html.unescape(text or "")
     return re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", text).lower()).strip()
 
@@ -34,7 +34,7 @@ def reference_plain(text):
 def test_plain_text_examples(spark):
     df = spark.createDataFrame(enumerate(TEXTS), "id int, t string")
     got = {r.id: r.p for r in df.select("id", plain_text("t").alias("p")).collect()}
-    assert got == {i: reference_plain(t) for i, t in enumerate(TEXTS)}
+    assert got == {i: expected_plain(t) for i, t in enumerate(TEXTS)}
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -42,7 +42,7 @@ def test_plain_text_examples(spark):
 def test_plain_text_random(spark, texts):
     df = spark.createDataFrame(enumerate(texts), "id int, t string")
     got = {r.id: r.p for r in df.select("id", plain_text("t").alias("p")).collect()}
-    assert got == {i: reference_plain(t) for i, t in enumerate(texts)}
+    assert got == {i: expected_plain(t) for i, t in enumerate(texts)}
 
 
 def articles(spark, texts):

@@ -51,6 +51,7 @@ def trend_filled(tr: DataFrame, dim: DataFrame) -> DataFrame:
     directly: no product of entities and periods and no window over the grid.
     """
     dim = stored_if_large(dim.select("entity", "baseline"), "baselines")
+    tr = tr.where(F.col("period").isNotNull())
     tr = stored_if_large(tr.join(dim.select("entity"), "entity", "left_semi"), "trend")
     periods = tr.select("period").distinct().withColumn("_day", F.to_date("period"))
     # Number the periods within each day and shift by the periods of earlier days;
