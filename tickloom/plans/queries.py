@@ -21,7 +21,7 @@ from tickloom.operators import (
     versions,
 )
 from tickloom.plans import bindings as b
-from tickloom.session import scratch_dir
+from tickloom.session import scratch_dir, stream_session
 from tickloom.sources import readers, sinks
 from tickloom.streaming import jobs as streams
 
@@ -417,15 +417,16 @@ def topic_roundtrip(spark, sf):
     return readers.decode_topic(sinks.encode_topic(ticks, "entity"), EVENT_TOPIC)
 
 
-def _event_stream(spark, sf):
-    return readers.stream_table(spark, f"{sf}/events.parquet")
+def _stream(spark, sf, name):
+    sized = stream_session(spark, b.table(spark, sf, name))
+    return readers.stream_table(sized, f"{sf}/{name}.parquet")
 
 
 @query
 def stream_dedupe(spark, sf):
     # The same text again is the same article; its arrival time is the clock.
     path = scratch_dir(spark, "stream-dedupe")
-    docs = readers.stream_table(spark, f"{sf}/documents.parquet").select(
+    docs = _stream(spark, sf, "documents").select(
         F.sha2("text", 256).alias("link"), F.current_timestamp().alias("fetched_at")
     )
     first = streams.first_seen(docs, "link", "fetched_at").select("link")
@@ -437,7 +438,7 @@ def stream_dedupe(spark, sf):
 @query
 def stream_ingest(spark, sf):
     path = scratch_dir(spark, "stream-ingest")
-    ticks = b.as_ticks(_event_stream(spark, sf)).withColumn("entity", F.upper("entity"))
+    ticks = b.as_ticks(_stream(spark, sf, "events")).withColumn("entity", F.upper("entity"))
     streams.ingest_stream(
         sinks.encode_topic(ticks, "entity"),
         EVENT_TOPIC,
@@ -454,7 +455,7 @@ def stream_ingest(spark, sf):
 def stream_alerts(spark, sf):
     path = scratch_dir(spark, "stream-alerts")
     streams.stream_changes(
-        b.as_ticks(_event_stream(spark, sf), "user_id"),
+        b.as_ticks(_stream(spark, sf, "events"), "user_id"),
         f"{path}/out",
         f"{path}/state",
         f"{path}/ckpt",
@@ -467,7 +468,7 @@ def stream_alerts(spark, sf):
 def stream_trend(spark, sf):
     path = scratch_dir(spark, "stream-trend")
     streams.stream_trend(
-        b.as_ticks(_event_stream(spark, sf)), f"{path}/out", f"{path}/ckpt", width="1 hour"
+        b.as_ticks(_stream(spark, sf, "events")), f"{path}/out", f"{path}/ckpt", width="1 hour"
     ).awaitTermination()
     found = streams.read_newest(spark, f"{path}/out", ["entity", "period"])
     return rounded(plain_ts(found, "period"), "price_avg")
