@@ -32,10 +32,14 @@ def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
-    A machine-local folder is used only when the session names no shared one.
+    A session without ``spark.checkpoint.dir`` gets a temporary folder if driver
+    and executors are one process; on a cluster that is an error, because other
+    machines would not see the files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tickloom-")
     return f"{base.rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex}"
 
