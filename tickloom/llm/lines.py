@@ -3,8 +3,9 @@
 One pass puts the key hash of every long line into a filter of hashes seen once,
 and into a second one what was there before: its bits hold every hash that occurs
 twice. Partitions build their own pair; pairs merge by OR, and what is in both
-first filters joins the second. Only documents with a line that the second filter
-suspects are shuffled; their lines are counted exactly, by 128-bit key.
+first filters joins the second. Only keys that the second filter suspects are
+shuffled and counted exactly, by 128-bit key, and only texts of documents that
+may lose a line are joined with what they lose; a filter of their ids tells them.
 
 Defined cases: a null or empty text is one empty line; rows that share a doc_id
 are one document, also those of null doc_id, which is below all others; lines of
@@ -18,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,13 +98,13 @@ def _build(bits: int):
 
 
 def _merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: pieces sorted by start to one merged second filter per start."""
+    """Task: pieces sorted by start to one merged pair per start."""
     start, once, twice = None, None, None
 
     def result() -> pa.RecordBatch:
+        packed = [pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in (once, twice)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([start], pa.int64()), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())],
-            names=["start", "twice"],
+            [pa.array([start], pa.int64()), *packed], names=["start", "once", "twice"]
         )
 
     for batch in rows:
@@ -119,49 +121,58 @@ def _merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
-def seen_twice(hashes: DataFrame, bits: int) -> np.ndarray:
-    """The merged second filter over a column of long hashes, at most ``MAX_BITS`` bits."""
+def filter_bits(n: int) -> int:
+    """Size of a filter for n hashes, a power of two and at most ``MAX_BITS``."""
+    bits = 1 << 16
+    while bits < min(MAX_BITS, n * BITS_PER_LINE):
+        bits *= 2
+    return bits
+
+
+def merged_filter(hashes: DataFrame, bits: int, part: str):
+    """One filter ("once" or "twice") over a column of hashes, compressed, as a broadcast.
+
+    Its size is bounded by ``MAX_BITS``, whatever the number of hashes.
+    """
     pieces = hashes.mapInArrow(_build(bits), "start long, once binary, twice binary")
     merged = (
         pieces.repartition("start")
         .sortWithinPartitions("start")
-        .mapInArrow(_merge, "start long, twice binary")
+        .mapInArrow(_merge, "start long, once binary, twice binary")
     )
     out = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
-        part = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
-        out[row["start"] : row["start"] + len(part)] = part
-    return out
+    for row in merged.select("start", part).toLocalIterator():
+        piece = np.frombuffer(zlib.decompress(row[part]), np.uint8)
+        out[row["start"] : row["start"] + len(piece)] = piece
+    return hashes.sparkSession.sparkContext.broadcast(zlib.compress(out.tobytes(), 1))
 
 
-def _suspects(filter_bytes, bits: int):
-    """Task: documents' key hashes to those that the filter holds."""
+def maybe_in(shared, bits: int):
+    """A column function: whether the filter holds a hash."""
+    cache: dict[str, np.ndarray] = {}
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = np.frombuffer(zlib.decompress(filter_bytes.value), np.uint8)
-        for batch in batches:
-            hashes = batch.column("hash").to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(has(twice, positions(hashes, bits))))
+    @F.pandas_udf("boolean")
+    def check(hashes: pd.Series) -> pd.Series:
+        if "filter" not in cache:
+            cache["filter"] = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        at = positions(hashes.to_numpy(np.int64, copy=True), bits)
+        return pd.Series(has(cache["filter"], at))
 
-    return mark
+    return check
 
 
 def repeated(
     docs: DataFrame, id: str, text: str, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS
 ) -> DataFrame:
     """The keys to drop from each document: doc, keys (as 128-bit hashes)."""
-    spark = docs.sparkSession
     keys = F.explode(long_keys(F.col(text), min_length)).alias("key")
     rows = docs.select(F.col(id).alias("doc"), keys).select(
         "doc", F.xxhash64("key").alias("hash"), F.unhex(F.md5("key")).alias("key")
     )
     rows = stored(rows, "line-keys")
-    bits = 1 << 16
-    while bits < MAX_BITS and bits < rows.count() * BITS_PER_LINE:
-        bits *= 2
-    twice = seen_twice(rows.select("hash"), bits)
-    shared = spark.sparkContext.broadcast(zlib.compress(twice.tobytes(), 1))
-    suspects = rows.mapInArrow(_suspects(shared, bits), rows.schema)
+    bits = filter_bits(rows.count())
+    twice = merged_filter(rows.select("hash"), bits, "twice")
+    suspects = rows.where(maybe_in(twice, bits)("hash")).select("doc", "key")
     suspects = stored(suspects.distinct(), "line-suspects")
     # Few rows per key reach one task: counts and the largest id are combined before the shuffle.
     often = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper"))
@@ -180,23 +191,24 @@ def dedup(
     """The input with its text replaced by the kept lines, n_lines and n_dropped added."""
     losing = repeated(docs, id, text, min_length, min_docs)
     losing = losing.withColumnRenamed("doc", "_doc").withColumnRenamed("keys", "_keys")
+    losing = stored(losing, "line-losers")
+    bits = filter_bits(losing.count())
+    ids = merged_filter(losing.select(F.xxhash64("_doc")), bits, "once")
+    may_lose = maybe_in(ids, bits)(F.xxhash64(id))
     all_lines = split_lines(F.col(text))
     kept = F.filter(all_lines, lambda x: ~F.array_contains("_keys", F.unhex(F.md5(key(x)))))
-    # Key hashes are of long lines only, so a short line is never among them.
-    marked = docs.join(losing, docs[id].eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    marked = marked.withColumn(
-        "_kept", F.when(F.col("_keys").isNull(), all_lines).otherwise(kept)
-    )
-    return marked.select(
-        *[
-            F.when(F.col("_keys").isNull(), F.col(c)).otherwise(F.array_join("_kept", "\n")).alias(c)
-            if c == text
-            else F.col(c)
-            for c in docs.columns
-        ],
-        F.size(all_lines).cast("long").alias("n_lines"),
-        (F.size(all_lines) - F.size("_kept")).cast("long").alias("n_dropped"),
-    )
+    joined = docs.where(may_lose).join(losing, F.col(id).eqNullSafe(F.col("_doc")), "left")
+    joined = joined.withColumn("_kept", F.when(F.col("_keys").isNotNull(), kept))
+
+    def result(rows: DataFrame, new_text: Column, dropped: Column) -> DataFrame:
+        columns = [new_text.alias(c) if c == text else F.col(c) for c in docs.columns]
+        n_lines = F.size(all_lines).cast("long").alias("n_lines")
+        return rows.select(*columns, n_lines, dropped.cast("long").alias("n_dropped"))
+
+    clean = result(docs.where(~may_lose), F.col(text), F.lit(0))
+    new_text = F.coalesce(F.array_join("_kept", "\n"), F.col(text))
+    dropped = F.coalesce(F.size(all_lines) - F.size("_kept"), F.lit(0))
+    return clean.unionByName(result(joined, new_text, dropped))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
