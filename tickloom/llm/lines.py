@@ -141,7 +141,7 @@ def merged_filter(hashes: DataFrame, bits: int, part: str):
         .mapInArrow(_merge, "start long, once binary, twice binary")
     )
     out = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("start", part).toLocalIterator():
+    for row in merged.select("start", part).collect():
         piece = np.frombuffer(zlib.decompress(row[part]), np.uint8)
         out[row["start"] : row["start"] + len(piece)] = piece
     return hashes.sparkSession.sparkContext.broadcast(zlib.compress(out.tobytes(), 1))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tickloom.llm import lines, mixing, packing, secrets
+from tickloom.llm import classifier, fertility, lines, mixing, packing, pii, secrets
 
 QUERIES = {
+    "op2_pii_spans": pii.query,
     "op4_line_dedup": lines.query,
+    "op5_token_fertility": fertility.query,
     "op6_secret_ledger": secrets.query,
+    "op7_quality_score": classifier.query,
     "op8_source_schedule": mixing.query,
     "op9_length_buckets": packing.query,
 }
