@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tickloom.llm import classifier, fertility, lines, mixing, packing, pii, secrets
+from tickloom.llm import classifier, fertility, lines, mixing, packing, pii, secrets, tokens, topk
 
 QUERIES = {
+    "op1_norm_buckets": topk.query,
     "op2_pii_spans": pii.query,
     "op4_line_dedup": lines.query,
     "op5_token_fertility": fertility.query,
@@ -12,8 +13,10 @@ QUERIES = {
     "op7_quality_score": classifier.query,
     "op8_source_schedule": mixing.query,
     "op9_length_buckets": packing.query,
+    "op10_wavelet_shards": tokens.query,
 }
 ORACLE = {
+    "op1_norm_buckets": topk.SQL,
     "op4_line_dedup": lines.SQL,
     "op6_secret_ledger": secrets.SQL,
     "op8_source_schedule": mixing.SQL,
