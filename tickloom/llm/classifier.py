@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,20 +272,37 @@ def scored(described: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def learn(described: DataFrame, labels: DataFrame, id: str, label: str) -> Model:
+    """A model from the labels of documents that are not held out."""
+    marks = labels.select(F.col(id).alias("doc_id"), F.col(label).alias("label"))
+    marks = marks.where(F.col("label").isin(0, 1))
+    usable = described.where(~F.col("held_out")).select("doc_id", "fit", "stats")
+    return fit(stored(usable.join(marks, "doc_id").select("fit", "stats", "label"), "labelled"))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality"
+) -> Model:
+    return learn(stored(describe(docs, id, text), "statistics"), labels, id, label)
+
+
+def accepts(model: Model):
+    """A column function: whether a text scores 0.5 or more. The model's size is fixed."""
+
+    @F.pandas_udf("boolean")
+    def check(texts: pd.Series) -> pd.Series:
+        rows = [statistics(t.encode("utf-8", "surrogatepass")) for t in texts]
+        return pd.Series(model.score(np.array(rows).reshape(-1, len(STATISTICS))) >= 0.5)
+
+    return check
+
+
 def classify(
-    docs: DataFrame,
-    labels: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    label: str = "quality",
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> DataFrame:
     """Score of every document: doc_id, held_out, score, predicted."""
     described = stored(describe(docs, id, text), "statistics")
-    marks = labels.select(F.col(id).alias("doc_id"), F.col(label).alias("label"))
-    marks = marks.where(F.col("label").isin(0, 1))
-    usable = described.where(~F.col("held_out")).select("doc_id", "fit", "stats")
-    labelled = stored(usable.join(marks, "doc_id").select("fit", "stats", "label"), "labelled")
-    return scored(described, fit(labelled))
+    return scored(described, learn(described, labels, id, label))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,6 +211,18 @@ def dedup(
     return clean.unionByName(result(joined, new_text, dropped))
 
 
+def without(docs: DataFrame, id: str, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not in a one-column frame of different ids.
+
+    Only rows that a filter of the ids holds are shuffled with them.
+    """
+    name = ids.columns[0]
+    bits = filter_bits(ids.count())
+    maybe = maybe_in(merged_filter(ids.select(F.xxhash64(name)), bits, "once"), bits)(F.xxhash64(id))
+    checked = docs.where(maybe).join(ids, F.col(id) == F.col(name), "left_anti")
+    return docs.where(~maybe).unionByName(checked)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: line dedup of all documents."""
     out = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))

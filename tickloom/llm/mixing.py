@@ -37,14 +37,18 @@ SPARE = 0.02
 CHUNK_ROWS = 4096
 
 
+def place_of(id: str, text: str) -> Column:
+    """A shuffled position that depends on id and text only."""
+    return F.md5(F.concat_ws("|", F.col(id).cast("string"), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def sized(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size and a shuffled position that depends on id and text only."""
-    place = F.md5(F.concat_ws("|", F.col(id).cast("string"), F.md5(F.coalesce(text, F.lit("")))))
+    """doc_id, source, size and shuffled position of every document."""
     return docs.select(
         F.col(id).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(text).alias("size"),
-        place.alias("place"),
+        place_of(id, text).alias("place"),
     )
 
 
@@ -140,7 +144,7 @@ def pieces(placed: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """What the mix takes of each document.
 
-    Columns: doc_id, source, size, source_size, target, taken, offset.
+    Columns: doc_id, place, source, size, source_size, target, taken, offset.
     """
     rows = stored(sized(docs, id, text, source), "sizes")
     sources = stored(targets(rows), "sources")
@@ -171,6 +175,7 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     )
     return out.select(
         "doc_id",
+        "place",
         "source",
         "size",
         "source_size",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tickloom.llm import classifier, fertility, lines, mixing, packing, pii, secrets, tokens, topk
+import corpus_pipeline
+from tickloom.llm import classifier, fertility, jaccard, lines, mixing, packing, pii, secrets, tokens, topk
 
 QUERIES = {
     "op1_norm_buckets": topk.query,
     "op2_pii_spans": pii.query,
+    "op3_chosen_path_join": jaccard.query,
     "op4_line_dedup": lines.query,
     "op5_token_fertility": fertility.query,
     "op6_secret_ledger": secrets.query,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_source_schedule": mixing.query,
     "op9_length_buckets": packing.query,
     "op10_wavelet_shards": tokens.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op1_norm_buckets": topk.SQL,
