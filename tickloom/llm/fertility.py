@@ -15,6 +15,7 @@ table gives an empty result; other columns of the input are left out.
 
 from __future__ import annotations
 
+import functools
 from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -34,7 +35,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-# A task forgets the encoded words when it has this many.
+# A worker forgets the encoded words when it has this many.
 MAX_WORDS = 300_000
 
 
@@ -100,6 +101,12 @@ class Words:
         return np.array(numbers, np.int64), np.frombuffer(ids, np.uint16)
 
 
+@functools.cache
+def words_of(path: str) -> Words:
+    """One per Python worker, so that later tasks of the worker know the words too."""
+    return Words(path)
+
+
 def count_of(data: bytes, chars: bytes) -> int:
     return len(data) - len(data.translate(None, chars))
 
@@ -211,7 +218,7 @@ def rules(
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Words(path)
+        encoder = words_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
