@@ -19,6 +19,7 @@ empty table gives an empty result; other columns of the input are left out.
 
 from __future__ import annotations
 
+import functools
 import re
 from array import array
 from collections.abc import Iterator
@@ -39,8 +40,8 @@ END = 0
 SHARD_TOKENS = 1 << 21
 # Characters of text for one file.
 FILE_CHARS = 1 << 25
-# A task forgets the encoded pieces when it has this many.
-MAX_PIECES = 600_000
+# A worker forgets the encoded pieces when it has this many.
+MAX_PIECES = 1_000_000
 # Letters, numbers and blanks up to U+00FF, as the vocabulary's splitter has them.
 LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -95,6 +96,12 @@ class Encoder:
         ]
 
 
+@functools.cache
+def encoder_of(path: str) -> Encoder:
+    """One per Python worker, so that later tasks of the worker know the pieces too."""
+    return Encoder(path)
+
+
 class WaveletMatrix:
     """Succinct sequence of ids with access, rank and select."""
 
@@ -266,7 +273,7 @@ def write_shards(
     ranges = ranges.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard = Encoder(source), TaskContext.get().partitionId(), 0
+        encoder, part, shard = encoder_of(source), TaskContext.get().partitionId(), 0
         doc_ids, ids, size = [], [], 0
         kind = None
 
