@@ -176,7 +176,7 @@ def repeated(
     suspects = stored(suspects.distinct(), "line-suspects")
     # Few rows per key reach one task: counts and the largest id are combined before the shuffle.
     often = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper"))
-    often = often.where(F.col("n") >= min_docs).drop("n")
+    often = stored(often.where(F.col("n") >= min_docs).drop("n"), "lines-often")
     losing = suspects.join(often, "key").where(~F.col("doc").eqNullSafe(F.col("keeper")))
     return losing.groupBy("doc").agg(F.collect_list("key").alias("keys"))
 
@@ -197,7 +197,9 @@ def dedup(
     may_lose = maybe_in(ids, bits)(F.xxhash64(id))
     all_lines = split_lines(F.col(text))
     kept = F.filter(all_lines, lambda x: ~F.array_contains("_keys", F.unhex(F.md5(key(x)))))
-    joined = docs.where(may_lose).join(losing, F.col(id).eqNullSafe(F.col("_doc")), "left")
+    # The same join at every size; texts need no sorting for it.
+    lost = losing.hint("shuffle_hash")
+    joined = docs.where(may_lose).join(lost, F.col(id).eqNullSafe(F.col("_doc")), "left")
     joined = joined.withColumn("_kept", F.when(F.col("_keys").isNotNull(), kept))
 
     def result(rows: DataFrame, new_text: Column, dropped: Column) -> DataFrame:
