@@ -188,7 +188,8 @@ class WaveletMatrix:
         number = self._number(token)
         if number is None:
             return 0
-        low, high = self._narrow(number, start, self.n if end is None else end)
+        end = self.n if end is None else min(end, self.n)
+        low, high = self._narrow(number, min(start, end), end)
         return high - low
 
     def select(self, token: int, nth: int) -> int | None:
