@@ -153,7 +153,8 @@ def buckets(records: DataFrame, runs: int, split: int = SPLIT) -> DataFrame:
     leaves = None
     for level in range(1, LEVELS + 1):
         sizes = nodes.groupBy("node").agg(F.count("*").alias("m")).where("m > 1")
-        nodes = nodes.join(sizes, "node")
+        # From a table: Spark splits a hot bucket in a join of two plain shuffles only.
+        nodes = nodes.join(stored(sizes, "node-sizes"), "node")
         if level < LEVELS:
             nodes = stored(nodes, "nodes")
             done = nodes.where(F.col("m") <= split)
