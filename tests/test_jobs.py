@@ -60,6 +60,17 @@ def base(spark, tmp_path_factory):
     return base
 
 
+def test_a_batch_without_news_runs_through(spark, tmp_path):
+    tick = {"komoditas": "Beras", "harga": 1.0, "timestamp": "2026-05-11T02:00:00", "sumber": "s"}
+    (tmp_path / "ticks.json").write_text(json.dumps([tick]))
+    base = str(tmp_path / "lake")
+    jobs.ingest_raw(spark, [("array", str(tmp_path / "ticks.json"))], [], base, batch_id="b")
+    jobs.build_clean(spark, base)
+    jobs.build_analysis(spark, base, known_only=True)
+    found = spark.read.parquet(f"{base}/analysis/correlation")
+    assert found.count() == len(dimensions.BASELINES)
+
+
 def test_clean_layer(spark, base):
     ticks = versions.as_of(spark, f"{base}/clean/ticks")
     assert ticks.count() == 96

@@ -229,6 +229,28 @@ def test_trend_matrix(spark):
     assert got[at(18)] == (18.0, 5.0) and got[at(19)] == (19.0, None)
 
 
+def test_trend_matrix_has_the_entities_that_occur(spark):
+    tr = aggregate.trend(ticks(spark, [("a", at(0), 1, 1.0), ("new", at(0), 2, 2.0)]))
+    assert aggregate.trend_matrix(tr).columns == ["period", "a", "new"]
+
+
+def test_compare_versions_with_repeated_keys(spark):
+    schema = "entity string, ts int, price double"
+    a = spark.createDataFrame([("x", 1, 5.0), ("x", 1, 4.0), ("x", 1, 9.0), ("y", 1, 1.0)], schema)
+    b = spark.createDataFrame([("x", 1, 6.0), ("x", 1, 6.0), ("x", 1, 9.0), ("y", 1, 1.0)], schema)
+    found = combine.compare_versions(a, b, ["entity", "ts"], ["price"]).collect()
+    assert sorted((r.price_before, r.price_after, r.change) for r in found) == [
+        (4.0, 6.0, "changed"),
+        (5.0, 6.0, "changed"),
+    ]
+
+
+def test_known_entities_without_news(spark):
+    df = ticks(spark, [("Beras", at(0), 1, 1.0)]).withColumn("pct_change", F.lit(2.0))
+    got = aggregate.keyword_correlation(df, None, {"Beras": ["beras"], "Jagung": ["jagung"]})
+    assert sorted(map(tuple, got.collect())) == [("Beras", 0, 2.0), ("Jagung", 0, 0.0)]
+
+
 def test_recent(spark):
     df = ticks(spark, [("a" if i % 3 else "b", at(i), i, float(i)) for i in range(30)])
     assert [r.id for r in series.recent(df, 3).collect()] == [29, 28, 27]

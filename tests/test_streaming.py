@@ -27,6 +27,28 @@ def tick_files(spark, sf_dir, tmp_path_factory):
     return path
 
 
+@pytest.fixture(scope="module")
+def late_files(spark, sf_dir, tmp_path_factory):
+    """The events in five files without regard to time."""
+    path = str(tmp_path_factory.mktemp("stream") / "late")
+    bindings.event_ticks(spark, sf_dir).repartition(5, F.xxhash64("id")).write.parquet(path)
+    return path
+
+
+def test_late_files_lose_nothing(spark, late_files, tmp_path):
+    ticks = spark.read.parquet(late_files)
+    source = readers.stream_table(spark, late_files, **ONE_FILE)
+    out = {n: str(tmp_path / n) for n in ("trend", "changes", "archive", "c1", "c2")}
+    query = jobs.stream_trend(source, out["trend"], out["c1"], "1 day")
+    query.awaitTermination()
+    assert spark.read.parquet(out["trend"]).select("batch").distinct().count() == 5
+    assert jobs.read_trend(spark, out["trend"]).agg(F.sum("n")).first()[0] == ticks.count()
+    jobs.stream_changes(source, out["changes"], out["archive"], out["c2"]).awaitTermination()
+    want = series.price_changes(ticks)
+    got = jobs.read_changes(spark, out["changes"]).select(want.columns)
+    assert rows(got) == rows(want)
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -36,10 +58,10 @@ def test_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
     for _ in range(2):  # the second run starts from the checkpoint and finds nothing new
         source = readers.stream_table(spark, tick_files, **ONE_FILE)
         jobs.stream_changes(source, out, state, ckpt, chunks=3).awaitTermination()
-        got = jobs.read_batches(spark, out)
+        got = jobs.read_changes(spark, out)
         want = series.price_changes(spark.read.parquet(tick_files))
         assert rows(got.select(want.columns)) == rows(want)
-    assert spark.read.parquet(out).select("batch").distinct().count() == 4
+    assert spark.read.parquet(f"{out}/rows").select("batch").distinct().count() == 4
 
 
 def test_entities_pause_and_return(spark, tmp_path):
@@ -55,7 +77,7 @@ def test_entities_pause_and_return(spark, tmp_path):
     out, state, ckpt = (str(tmp_path / n) for n in ("out", "state", "ckpt"))
     source = readers.stream_table(spark, path, **ONE_FILE)
     jobs.stream_changes(source, out, state, ckpt).awaitTermination()
-    got = {r.id: r.prev_price for r in jobs.read_batches(spark, out).collect()}
+    got = {r.id: r.prev_price for r in jobs.read_changes(spark, out).collect()}
     assert got == {1: None, 2: None, 3: None, 4: 50.0, 5: 100.0, 6: None, 7: 1.0}
 
 
@@ -80,14 +102,14 @@ def test_replayed_batch_replaces_itself(spark, tick_files, tmp_path):
         jobs.run_batches = original
     assert steps == [0, 1, 2, 3]
     want = series.price_changes(spark.read.parquet(tick_files))
-    assert rows(jobs.read_batches(spark, out).select(want.columns)) == rows(want)
+    assert rows(jobs.read_changes(spark, out).select(want.columns)) == rows(want)
 
 
 def test_trend_equals_the_batch_answer(spark, tick_files, tmp_path):
     source = readers.stream_table(spark, tick_files, **ONE_FILE)
     out = str(tmp_path / "out")
-    jobs.stream_trend(source, out, str(tmp_path / "ckpt"), "1 day", "1 hour").awaitTermination()
-    got = jobs.read_newest(spark, out, ["entity", "period"])
+    jobs.stream_trend(source, out, str(tmp_path / "ckpt"), "1 day").awaitTermination()
+    got = jobs.read_trend(spark, out)
     ticks = spark.read.parquet(tick_files)
     want = aggregate.trend(ticks, "day").select(
         "entity", F.col("period").cast("timestamp").alias("period"), F.round("price_avg", 8)

@@ -77,7 +77,7 @@ def test_mentions_in_both_modes(spark):
     by_word = [(0, "Beras"), (0, "Minyak Goreng"), (2, "Gula Pasir")]
     assert mentions(df, mode="word") == by_word
     keywords = dimensions.keyword_table(spark)
-    joined = match.match_entities_by_join(df, "text", keywords, max_words=2)
+    joined = match.match_entities_by_join(df, "text", keywords)
     assert sorted((r.id, r.entity) for r in joined.collect()) == by_word
     with pytest.raises(ValueError):
         mentions(df, mode="fuzzy")
@@ -89,7 +89,7 @@ def test_phrases_by_join_equal_phrases_by_expression(spark):
     df = articles(spark, texts)
     want = match.match_entities(df, "text", words, mode="word").select("id", "entity").collect()
     table = dimensions.keyword_table(spark, words)
-    got = match.match_entities_by_join(df, "text", table, max_words=3).collect()
+    got = match.match_entities_by_join(df, "text", table).collect()
     assert sorted(want) == sorted(got)
 
 

@@ -45,12 +45,18 @@ def trend(ticks: DataFrame, unit: str = "minute") -> DataFrame:
     return ticks.groupBy("entity", period.alias("period")).agg(F.avg("price").alias("price_avg"))
 
 
-def trend_matrix(tr: DataFrame, entities: Sequence[str], n: int = 12) -> DataFrame:
-    """The last ``n`` periods as rows, one price column per entity."""
+def trend_matrix(
+    tr: DataFrame, entities: Sequence[str] | None = None, n: int = 12
+) -> DataFrame:
+    """The last ``n`` periods as rows, one price column per entity.
+
+    Columns are the entities that occur in these periods, or the given ones.
+    """
     tr = stored_if_large(tr, "trend")
     newest = tr.select("period").distinct().orderBy(F.desc("period")).limit(n)
     recent = tr.join(newest, "period", "left_semi")
-    return recent.groupBy("period").pivot("entity", list(entities)).agg(F.first("price_avg"))
+    names = list(entities) if entities is not None else None
+    return recent.groupBy("period").pivot("entity", names).agg(F.first("price_avg"))
 
 
 def average_change(ticks: DataFrame, change: str = "pct_change") -> DataFrame:
@@ -121,7 +127,7 @@ def price_change_by_keyword(
 
 def keyword_correlation(
     ticks: DataFrame,
-    news: DataFrame,
+    news: DataFrame | None,
     keywords: Mapping[str, Iterable[str]],
     text: str = "text",
     mode: str = "substring",
@@ -130,7 +136,11 @@ def keyword_correlation(
     """Like ``news_correlation``, for exactly the entities of ``keywords``.
 
     Both sides are matched by keyword, the articles by text and the ticks by name.
+    Without a news table every entity has no mention.
     """
+    if news is None:
+        changes = price_change_by_keyword(ticks, keywords, change)
+        return changes.select("entity", F.lit(0).cast("long").alias("n_news"), "avg_change_pct")
     counts = mention_counts(match_entities(news.select(text), text, keywords, mode))
     changes = price_change_by_keyword(ticks, keywords, change)
     return changes.join(counts, "entity", "left").select(

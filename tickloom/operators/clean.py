@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.text import collapse_space
 from tickloom.functions.times import parse_time, with_date_parts
@@ -14,6 +15,11 @@ def with_ingest_meta(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_ingested_at": F.current_timestamp(), "_source": F.lit(source)})
 
 
+def with_meta(schema: T.StructType) -> T.StructType:
+    """A raw schema with the columns that ``with_ingest_meta`` adds."""
+    return T.StructType(list(schema.fields)).add("_ingested_at", "timestamp").add("_source", "string")
+
+
 def filter_valid_price(df: DataFrame, price: str = "price") -> DataFrame:
     """Price present and above zero; a price that is no number counts as absent."""
     return df.where(F.col(price).try_cast("double") > 0)

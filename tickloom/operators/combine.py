@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.dedupe import dedupe
@@ -31,19 +31,25 @@ def merge_priority(
 def compare_versions(
     before: DataFrame, after: DataFrame, keys: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
-    """Added, removed and changed rows between two versions of a keyed table.
+    """Added, removed and changed rows between two versions of a table.
 
-    Both versions go through one grouping by key, which moves each row once and
-    cannot multiply rows.
+    Rows that both versions have equally often cancel out. What is left of a key
+    is paired in the order of its values, so keys may repeat; a value without a
+    partner is added or removed.
     """
-    tagged = before.select(*keys, *cols, F.lit(0).alias("_v")).unionByName(
+    tagged = before.select(*keys, *cols, F.lit(-1).alias("_v")).unionByName(
         after.select(*keys, *cols, F.lit(1).alias("_v"))
     )
+    left = tagged.groupBy(*keys, *cols).agg(F.sum("_v").alias("_d")).where("_d <> 0")
+    left = left.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_d"))))
+    left = left.withColumn("_v", (F.col("_d") > 0).cast("int"))
+    nth = F.row_number().over(Window.partitionBy(*keys, "_v").orderBy(*cols))
+    tagged = left.withColumn("_nth", nth)
 
     def side(v: int, name: str, suffix: str):
         return F.max(F.when(F.col("_v") == v, F.col(name))).alias(f"{name}_{suffix}")
 
-    pairs = tagged.groupBy(*keys).agg(
+    pairs = tagged.groupBy(*keys, "_nth").agg(
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
         *[side(0, c, "before") for c in cols],
@@ -60,5 +66,5 @@ def compare_versions(
     return (
         pairs.withColumn("change", change)
         .where(F.col("change").isNotNull())
-        .drop("_lo", "_hi")
+        .drop("_lo", "_hi", "_nth")
     )

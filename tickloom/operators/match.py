@@ -39,14 +39,16 @@ def match_entities(
 
 
 def match_entities_by_join(
-    df: DataFrame, text: str, keywords: DataFrame, max_words: int = 1, out: str = "entity"
+    df: DataFrame, text: str, keywords: DataFrame, out: str = "entity"
 ) -> DataFrame:
     """Word-mode match for keyword tables too long for one expression.
 
-    Every distinct word, and every run of up to ``max_words`` words, is joined
-    to the keyword table. The result is one (id, entity) row per match; the
+    Every distinct word, and every run of as many words as the longest keyword
+    has, is joined to the keyword table. The result is one (id, entity) row per match; the
     texts themselves are never shuffled.
     """
+    n_words = F.size(F.split(F.trim(word_text("keyword")), " "))
+    max_words = keywords.agg(F.max(n_words)).first()[0] or 1
     run = terms = F.col("_w")
     for n in range(2, max_words + 1):
         # Runs of n words: each run of n-1 words with the word after it.

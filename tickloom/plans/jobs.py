@@ -55,7 +55,14 @@ def ingest_raw(
 def build_clean(spark: SparkSession, base: str, canonicalize_first: bool = False) -> None:
     """Clean layer: versioned ticks and news."""
     aliases = dimensions.alias_table(spark)
-    raw = {t: readers.read_table(spark, f"{base}/raw/{t}").drop(sinks.BATCH) for t in TABLES}
+    # With the known columns, since a table that got no rows yet has no file to tell them.
+    schemas_of = {"ticks": schemas.RAW_TICK, "news": schemas.RAW_NEWS}
+    raw = {
+        t: readers.read_table(spark, f"{base}/raw/{t}", clean.with_meta(schemas_of[t])).drop(
+            sinks.BATCH
+        )
+        for t in TABLES
+    }
     ticks = clean.clean_ticks(raw["ticks"], aliases, canonicalize_first)
     versions.commit(ticks, f"{base}/clean/ticks", partition_by=BY_DATE)
     versions.commit(clean.clean_news(raw["news"]), f"{base}/clean/news")
@@ -90,7 +97,7 @@ def analyse(
     cols = ("title", "summary") if known is None else ("summary",)
     if news is not None:
         news = news.withColumn("text", search_text(*cols))
-    if known is None or news is None:
+    if known is None:
         correlation = aggregate.news_correlation(ticks, news, keywords, mode=mode)
     else:
         correlation = aggregate.keyword_correlation(ticks, news, keywords, mode=mode)

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tickloom.operators.model import ADVICE_TEXT, QUALITY_TEXT
+# The wording that the SQL twin expects, written out on its own.
+QUALITY_TEXT = {
+    "good": "baik - model mampu menjelaskan tren dengan andal",
+    "medium": "sedang - ada pola linier namun noise cukup tinggi",
+    "low": "rendah - harga sangat fluktuatif dan sulit diprediksi secara linier",
+}
+ADVICE_TEXT = {
+    "NAIK": "Pantau potensi kenaikan; pertimbangkan pembelian stok lebih awal.",
+    "TURUN": "Harga cenderung turun; peluang pembelian stok dengan harga lebih murah.",
+}
 
 EVENTS = "(SELECT event_type AS entity, value AS price, ts, event_id AS id FROM events)"
 USERS = "(SELECT user_id AS entity, value AS price, ts, event_id AS id FROM events)"

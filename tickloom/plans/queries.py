@@ -111,7 +111,7 @@ def trend_hourly(spark, sf):
 @query
 def trend_matrix(spark, sf):
     hourly = aggregate.trend(b.event_ticks(spark, sf), "hour")
-    return rounded(aggregate.trend_matrix(hourly, b.EVENT_TYPES), *b.EVENT_TYPES)
+    return rounded(aggregate.trend_matrix(hourly), *b.EVENT_TYPES)
 
 
 @query
@@ -246,7 +246,7 @@ def news_mentions_word(spark, sf):
 @query
 def news_mentions_join(spark, sf):
     words = dimensions.keyword_table(spark, b.EVENT_KEYWORDS)
-    found = match.match_entities_by_join(_doc_text(spark, sf), "text", words, max_words=2)
+    found = match.match_entities_by_join(_doc_text(spark, sf), "text", words)
     return aggregate.mention_counts(found)
 
 
@@ -422,6 +422,13 @@ def _stream(spark, sf, name):
     return readers.stream_table(sized, f"{sf}/{name}.parquet")
 
 
+def _late_events(spark, sf, path, batches=4):
+    """All events, dealt over files without regard to time, one file a batch."""
+    events = b.table(spark, sf, "events")
+    events.repartition(batches, F.xxhash64("event_id")).write.parquet(f"{path}/source")
+    return readers.stream_table(spark, f"{path}/source", max_files=1)
+
+
 @query
 def stream_dedupe(spark, sf):
     # The same text again is the same article; its arrival time is the clock.
@@ -455,20 +462,20 @@ def stream_ingest(spark, sf):
 def stream_alerts(spark, sf):
     path = scratch_dir(spark, "stream-alerts")
     streams.stream_changes(
-        b.as_ticks(_stream(spark, sf, "events"), "user_id"),
+        b.as_ticks(_late_events(spark, sf, path), "user_id"),
         f"{path}/out",
-        f"{path}/state",
+        f"{path}/archive",
         f"{path}/ckpt",
         threshold=5.0,
     ).awaitTermination()
-    return streams.read_batches(spark, f"{path}/out")
+    return streams.read_changes(spark, f"{path}/out")
 
 
 @query
 def stream_trend(spark, sf):
     path = scratch_dir(spark, "stream-trend")
     streams.stream_trend(
-        b.as_ticks(_stream(spark, sf, "events")), f"{path}/out", f"{path}/ckpt", width="1 hour"
+        b.as_ticks(_late_events(spark, sf, path)), f"{path}/out", f"{path}/ckpt", width="1 hour"
     ).awaitTermination()
-    found = streams.read_newest(spark, f"{path}/out", ["entity", "period"])
+    found = streams.read_trend(spark, f"{path}/out")
     return rounded(plain_ts(found, "period"), "price_avg")

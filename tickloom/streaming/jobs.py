@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.numbers import alert_class
 from tickloom.operators.clean import canonicalize
-from tickloom.operators.series import price_changes, recent, recent_per_entity
+from tickloom.operators.series import price_changes, recent
 from tickloom.sources.readers import decode_topic
 from tickloom.sources.sinks import BATCH, append_table
 
@@ -54,11 +54,10 @@ def _write_slot(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _read_slot(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """What a batch left behind, None if there is no such batch."""
-    try:
-        df = spark.read.parquet(f"{path}/slot={batch_id % 2}")
-    except AnalysisException:
+    """What a batch left behind, None before the first; a missing or broken one is an error."""
+    if batch_id < 0:
         return None
+    df = spark.read.parquet(f"{path}/slot={batch_id % 2}")
     return df.where(F.col("batch") == batch_id).drop("batch")
 
 
@@ -67,12 +66,16 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
-def read_newest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """For each key the row of the latest batch that updated it."""
-    df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c not in {*keys, "batch"}]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
-    return last.select(*keys, "_last.*")
+def read_trend(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics of every window, merged from all batches that had ticks of it."""
+    merged = spark.read.parquet(path).groupBy("entity", "period").agg(
+        F.sum("total").alias("_total"),
+        F.min("price_min").alias("price_min"),
+        F.max("price_max").alias("price_max"),
+        F.sum("n").alias("n"),
+    )
+    mean = F.try_divide(F.col("_total"), F.col("n")).alias("price_avg")
+    return merged.select("entity", "period", mean, "price_min", "price_max", "n")
 
 
 def first_seen(
@@ -82,12 +85,12 @@ def first_seen(
 
     The first stage spreads the copies of a key over ``salts`` tasks and passes
     on at most that many, so one heavily repeated key does not fill one task.
-    State older than the delay is dropped.
+    State older than the delay is dropped. The salt is the task that read the row,
+    so exact copies from different files are spread as well.
     """
-    rest = [c for c in sdf.columns if c != key]
     marked = sdf.withWatermark(time, delay)
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*rest), F.lit(salts))
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
         marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"])
     return marked.dropDuplicatesWithinWatermark([key]).drop("_salt")
 
@@ -112,64 +115,81 @@ def stream_trend(
     out: str,
     checkpoint: str,
     width: str = "1 minute",
-    delay: str = "10 minutes",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the windows each batch changed; read them with ``read_newest``.
+    """Write each batch's sums per entity and window; read them with ``read_trend``.
 
-    Only changed windows are written, and windows that are still open are
-    included, which append mode would hold back.
+    Sums of batches add up in any order, so late ticks count whenever they arrive.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        timed = batch.withColumn("ts", F.col("ts").cast("timestamp"))
+        sums = timed.groupBy("entity", F.window("ts", width).alias("w")).agg(
+            F.sum("price").alias("total"),
+            F.min("price").alias("price_min"),
+            F.max("price").alias("price_max"),
+            F.count("price").alias("n"),
+        )
+        sums = sums.withColumn("period", F.col("w.start")).drop("w")
+        sums.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
 
-    return run_batches(window_stats(sdf, width, delay), step, checkpoint, "update", trigger)
+    return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
 def stream_changes(
     sdf: DataFrame,
     out: str,
-    state: str,
+    archive: str,
     checkpoint: str,
     threshold: float | None = None,
     chunks: int | None = None,
     trigger: dict | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Change against the previous tick of the entity, across batches.
 
-    The last tick per entity is carried from batch to batch as a table; within a
-    batch the batch operator is used, which also splits hot entities. Equal to
-    the batch answer if files arrive in time order.
+    Ticks are archived by entity bucket. A batch computes the entities that it has
+    ticks of again, from the buckets that hold them, so a late tick also corrects
+    the rows after it. Read the result with ``read_changes``.
     """
     columns = ["entity", "ts", "id", "price"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*columns).persist()
-        try:
-            batch.count()  # fills the cache, so that its size is known
-            rows, rest = batch.withColumn("_new", F.lit(True)), None
-            before = _read_slot(batch.sparkSession, state, batch_id - 1)
-            if before is not None:
-                # Only entities with new ticks take part in the computation.
-                active = batch.select(F.col("entity").alias("_active")).distinct()
-                same = F.col("entity").eqNullSafe(F.col("_active"))
-                last_seen = before.join(active, same, "left_semi")
-                rows = rows.unionByName(last_seen.withColumn("_new", F.lit(False)))
-                rest = before.join(active, same, "left_anti")
-            changes = price_changes(rows, chunks=chunks).where("_new").drop("_new")
-            if threshold is not None:
-                changes = changes.withColumn("alert", alert_class("pct_change", threshold))
-                changes = changes.where(F.col("alert").isNotNull())
-            changes.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
-            last = recent_per_entity(rows.drop("_new"), 1)
-            _write_slot(last if rest is None else last.unionByName(rest), state, batch_id)
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64("entity"), F.lit(buckets)).cast("int")
+        ticks = batch.select(*columns).withColumn("bucket", bucket)
+        own = _batch_folder(archive, batch_id)
+        ticks.write.mode("overwrite").partitionBy("bucket").parquet(own)
+        touched = spark.read.parquet(own).select("entity", "bucket").distinct()
+        touched.drop("bucket").write.mode("overwrite").parquet(
+            _batch_folder(f"{out}/entities", batch_id)
+        )
+        held = [r.bucket for r in touched.select("bucket").distinct().collect()]
+        rows = spark.read.parquet(archive).where(
+            (F.col("batch") <= batch_id) & F.col("bucket").isin(held)
+        )
+        active = touched.select(F.col("entity").alias("_active"))
+        same = F.col("entity").eqNullSafe(F.col("_active"))
+        changes = price_changes(rows.join(active, same, "left_semi").select(*columns), chunks=chunks)
+        if threshold is not None:
+            changes = changes.withColumn("alert", alert_class("pct_change", threshold))
+            changes = changes.where(F.col("alert").isNotNull())
+        changes.write.mode("overwrite").parquet(_batch_folder(f"{out}/rows", batch_id))
 
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Each entity's rows from the latest batch that had ticks of it."""
+    last = spark.read.parquet(f"{path}/entities").groupBy("entity").agg(F.max("batch").alias("_last"))
+    last = last.withColumnRenamed("entity", "_entity")
+    rows = spark.read.parquet(f"{path}/rows")
+    same = F.col("entity").eqNullSafe(F.col("_entity")) & (F.col("batch") == F.col("_last"))
+    return rows.join(last, same, "left_semi").drop("batch")
+
+
 def ingest_stream(
     sdf: DataFrame,
     schema: T.StructType,
