@@ -162,6 +162,7 @@ def summary_text() -> Column:
         return out
 
     r2 = F.coalesce(F.format_string("%.4f", F.col("r2_test")), F.lit("-"))
+    # The wording of the sentence.
     return F.concat(
         F.lit("Harga "),
         F.col("entity"),

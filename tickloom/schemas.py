@@ -107,26 +107,6 @@ RAW_NEWS = struct(
     source="string",
     fetched_at="string",
 )
-TICK = struct(
-    entity="string",
-    price="double",
-    prev_price="double",
-    pct_change="double",
-    baseline="double",
-    unit="string",
-    ts="timestamp",
-    source="string",
-    region="string",
-)
-NEWS = struct(
-    title="string",
-    link="string",
-    summary="string",
-    published="timestamp",
-    source="string",
-    fetched_at="timestamp",
-)
-CORRELATION = struct(entity="string", n_news="int", avg_change_pct="double")
 ALIAS = struct(alias="string", entity="string")
 BASELINE = struct(entity="string", baseline="double")
 KEYWORD = struct(entity="string", keyword="string")
