@@ -7,9 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom import session
 from tickloom.operators import aggregate, combine, series, skew
-from tickloom.session import fits_one_task
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "entity string, ts timestamp, id long, price double, baseline double"
@@ -89,26 +87,56 @@ def test_chunks_are_small_and_ordered(spark):
     assert (pdf[pdf.entity == "hot"][skew.CHUNK].diff().dropna() >= 0).all()
 
 
-def test_small_input_is_not_split(spark):
+def test_default_plan_splits_hot_keys_at_any_size(spark):
     df = spark.range(100).select(
         F.lit("a").alias("entity"),
         F.timestamp_seconds("id").alias("ts"),
         "id",
         F.col("id").cast("double").alias("price"),
     )
-    assert fits_one_task(df)
-    assert skew.with_chunks(df, "entity", ["ts", "id"])[1] == []
+    cut, hot = skew.with_chunks(df, "entity", ["ts", "id"])
+    assert hot == ["a"] and cut.select(skew.CHUNK).distinct().count() > 1
 
 
-def test_hot_keys_are_exact(spark):
+def test_hot_keys(spark):
     rows = [("a",)] * 60 + [("b",)] * 30 + [(f"k{i}",) for i in range(9)] + [(None,)]
     df = spark.createDataFrame(rows, "entity string")
-    assert skew.hot_keys(df, "entity", 0.25) == {"a": 60, "b": 30}
-    assert skew.hot_keys(df.where("false"), "entity", 0.25) == {}
+    assert set(skew.key_and_time(df, "entity", F.lit(1.0), 4, 1000)[0]) == {"a", "b"}
+    assert skew.key_and_time(df.where("false"), "entity", F.lit(1.0), 4, 0) == ([], [])
+
+
+def test_unknown_entity_is_split_too(spark):
+    df = skewed(spark).withColumn("entity", F.when(F.col("entity") != "hot", F.col("entity")))
+    cut, hot = skew.with_chunks(df, "entity", ["ts", "id"], 10)
+    assert None in hot
+    sizes = cut.where("entity is null").groupBy(skew.CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] < df.count() / 5
+    want = pandas_sorted(df)
+    groups = want.groupby("entity", dropna=False)
+    want["prev"], want["idx"] = groups.price.shift(1), groups.cumcount()
+    got = skew.position(skew.previous_value(df, "price", "prev", 1, chunks=10), chunks=10)
+    merged = want.merge(got.toPandas(), on="id", suffixes=("", "_got"))
+    pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
+    assert (merged.idx == merged.time_idx).all()
+
+
+def test_more_chunks_than_borders(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BORDERS", 8)
+    df = skewed(spark, burst=True)
+    cut, _ = skew.with_chunks(df, "entity", ["ts", "id"], 40)
+    pdf = pandas_sorted(cut)
+    chunks = pdf[pdf.entity == "hot"][skew.CHUNK]
+    assert (chunks.diff().dropna() >= 0).all() and chunks.nunique() > 16
+    want = pandas_sorted(df)
+    want["prev"] = want.groupby("entity").price.shift(2)
+    got = skew.previous_value(df, "price", "prev", 2, chunks=40).toPandas()
+    merged = want.merge(got, on="id", suffixes=("", "_got"))
+    pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
 
 
 def test_sampled_borders_give_the_same_result(spark, monkeypatch):
     monkeypatch.setattr(skew, "SAMPLE_PER_CHUNK", 10)
+    monkeypatch.setattr(skew, "input_bytes", lambda df: 50_000)
     df = skewed(spark, burst=True)
     want = pandas_sorted(df)
     want["prev"] = want.groupby("entity").price.shift(1)
@@ -174,9 +202,7 @@ def test_trend_filled_covers_every_entity_and_period(spark):
     assert filled.count() == 9
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_trend_filled_equals_pandas(spark, monkeypatch, small):
-    monkeypatch.setattr(session, "SMALL_BYTES", small)
+def test_trend_filled_equals_pandas(spark):
     df = skewed(spark, 800).where("ts is not null and price is not null")
     tr = aggregate.trend(df)
     dim = df.groupBy("entity").agg(F.max("price").alias("baseline"))

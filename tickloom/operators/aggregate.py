@@ -11,7 +11,7 @@ from tickloom.functions.numbers import sign_class, trend_band
 from tickloom.functions.text import holds, needles
 from tickloom.functions.times import truncate_time
 from tickloom.operators.match import match_entities
-from tickloom.session import stored_if_large
+from tickloom.session import stored
 
 
 def volatility(ticks: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def trend_matrix(
 
     Columns are the entities that occur in these periods, or the given ones.
     """
-    tr = stored_if_large(tr, "trend")
+    tr = stored(tr, "trend")
     newest = tr.select("period").distinct().orderBy(F.desc("period")).limit(n)
     recent = tr.join(newest, "period", "left_semi")
     names = list(entities) if entities is not None else None

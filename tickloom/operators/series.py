@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import alert_class, pct_change
 from tickloom.operators.skew import position, previous_value
-from tickloom.session import stored_if_large
+from tickloom.session import stored
 
 
 def price_changes(
@@ -50,9 +50,9 @@ def trend_filled(tr: DataFrame, dim: DataFrame) -> DataFrame:
     the run of periods up to the next known one, so it is spread over that run
     directly: no product of entities and periods and no window over the grid.
     """
-    dim = stored_if_large(dim.select("entity", "baseline"), "baselines")
+    dim = stored(dim.select("entity", "baseline"), "baselines")
     tr = tr.where(F.col("period").isNotNull())
-    tr = stored_if_large(tr.join(dim.select("entity"), "entity", "left_semi"), "trend")
+    tr = stored(tr.join(dim.select("entity"), "entity", "left_semi"), "trend")
     periods = tr.select("period").distinct().withColumn("_day", F.to_date("period"))
     # Number the periods within each day and shift by the periods of earlier days;
     # the running sum sees one row per day.

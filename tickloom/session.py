@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One task can sort this much (compressed) input even if it all has one key.
-SMALL_BYTES = 32 * 1024 * 1024
+# Compressed input of one partition of a stream's shuffles.
+STREAM_PARTITION_BYTES = 32 * 1024 * 1024
 
 
 def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
@@ -56,27 +56,16 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """Whether the input is so small that splitting it up costs more than it saves.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A frame that several branches of a plan read, such as a grouped trend.
 
-    This only chooses between plans with equal results.
+    It is written to the shared scratch space once, so that its input is not read
+    again by every branch, nor after the loss of an executor.
     """
-    return input_bytes(df) <= SMALL_BYTES
-
-
-def stored_if_large(df: DataFrame, name: str) -> DataFrame:
-    """A frame that several branches of a plan read.
-
-    Over a large input it is written to the shared scratch space once, so that
-    the input is not read again by every branch; over a small one it stays as
-    it is.
-    """
-    if fits_one_task(df):
-        return df
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stream_session(spark: SparkSession, source: DataFrame) -> SparkSession:
@@ -88,7 +77,7 @@ def stream_session(spark: SparkSession, source: DataFrame) -> SparkSession:
     """
     name = "spark.sql.shuffle.partitions"
     cores = spark.sparkContext.defaultParallelism
-    wanted = max(cores, input_bytes(source) // SMALL_BYTES)
+    wanted = max(cores, input_bytes(source) // STREAM_PARTITION_BYTES)
     sized = spark.newSession()
     sized.conf.set(name, min(int(spark.conf.get(name)), wanted))
     sized.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
