@@ -18,6 +18,10 @@ TEXTS = [
     "&lt;b&gt;Beras&lt;/b&gt; naik",
     "&amp;lt;b&amp;gt;",
     "&copy; 2026 &middot; caf&eacute; &#233; &#xE9; &amp &ampx &nosuch; R&D &",
+    "&#0; &#128; &#x81; &#xD800; &#1114112; &#x110000; &#99999999999999999999; &#xFFFFFFFFFFFFFFFFF; a",
+    "&#1;&#11;&#14;&#127;&#xFDD0;&#xFFFE;&#x1FFFF;&#13;&#10;&#9;x &#x1F600; &#0000000065; &#x0000041",
+    "&notit; &notin; &CounterClockwiseContourIntegral; &NotEqualTilde; &ampamp; &#; &#x; &#xg; &;",
+    "&lt&gt;&quotx &frac12 &frac12345 &sup1; &thisnameisfartoolongtobeanykindofentityname; &AMP",
     "  <p class='x'>Harga\n\t GULA</p><br/>turun  ",
     "a  b&nbsp;c",
     "1 < 2 and 3 > 2",

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import html
+import json
 from collections.abc import Iterable
 from functools import reduce
+from html.entities import html5
 from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # White space in the Unicode sense, for Java's regex engine.
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
@@ -25,6 +24,14 @@ COMMON_ENTITIES = {
     "&nbsp;": " ",
     "&amp;": "&",
 }
+# Any reference: by number, by hexadecimal number, or by a name with or without its end.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that count without an end, also with other text behind them; longest first.
+_OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+# Numbers 128 to 159 mean the characters of that code page, where it has one.
+_LATIN_WINDOWS = [
+    bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)
+]
 _OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)[#A-Za-z]"
 
 
@@ -32,12 +39,46 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _python_unescape(text: Column) -> Column:
-    # A local function travels with the plan, so workers need no copy of this package.
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+def _char(code: Column) -> Column:
+    """The character of a number; some numbers stand for another one or for none."""
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    none = (
+        code.between(1, 8)
+        | (code == 0xB)
+        | code.between(0xE, 0x1F)
+        | (code == 0x7F)
+        | code.between(0xFDD0, 0xFDEF)
+        | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
+    unknown = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    windows = F.element_at(F.lit(_LATIN_WINDOWS), (code - 0x7F).cast("int"))
+    return (
+        F.when(code.between(0x80, 0x9F), windows)
+        .when(unknown, "\ufffd")
+        .when(none, "")
+        .otherwise(utf32)
+    )
 
-    return F.pandas_udf(decode, T.StringType())(text)
+
+def _decode(reference: Column) -> Column:
+    """One reference with its ampersand; what is none stays as it is."""
+    digits = F.regexp_extract(reference, "^&#0*([0-9]*);?$", 1)
+    hexadecimal = F.regexp_extract(reference, "^&#[xX]0*([0-9a-fA-F]*);?$", 1)
+    beyond = F.lit(0x110000).cast("long")
+    by_hex = F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10).cast("long")
+    by_digits = F.concat(F.lit("0"), digits).cast("long")
+    code = F.when(
+        reference.rlike("^&#[xX]"), F.when(F.length(hexadecimal) > 6, beyond).otherwise(by_hex)
+    ).otherwise(F.when(F.length(digits) > 7, beyond).otherwise(by_digits))
+    name = F.substring(reference, 2, 40)
+    # A literal that the optimizer folds into one map.
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    start = F.regexp_extract(name, f"^(?:{'|'.join(_OPEN_NAMES)})", 0)
+    rest = F.substring(name, F.length(start) + 1, F.lit(40))
+    named = F.coalesce(
+        F.try_element_at(names, name), F.concat(F.try_element_at(names, start), rest), reference
+    )
+    return F.when(reference.startswith("&#"), _char(code)).otherwise(named)
 
 
 def unescape(text: Column | str, exact: bool = True) -> Column:
@@ -45,7 +86,7 @@ def unescape(text: Column | str, exact: bool = True) -> Column:
 
     Text without an ampersand is passed through. The common references are
     plain string replacements. With ``exact`` the rare rows that hold any other
-    reference go through Python in Arrow batches; all other rows send a null.
+    reference are cut at their references, each of which is decoded.
     """
     text = _col(text)
     decoded = reduce(
@@ -53,7 +94,12 @@ def unescape(text: Column | str, exact: bool = True) -> Column:
     )
     if exact:
         rare = F.contains(text, F.lit("&")) & text.rlike(_OTHER_ENTITY)
-        decoded = F.when(rare, _python_unescape(F.when(rare, text))).otherwise(decoded)
+        parts = F.zip_with(
+            F.split(text, _REFERENCE, -1),
+            F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)),
+            lambda before, found: F.concat(before, F.coalesce(_decode(found), F.lit(""))),
+        )
+        decoded = F.when(rare, F.array_join(parts, "")).otherwise(decoded)
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
