@@ -170,12 +170,17 @@ def test_report(spark):
     )
     rows = sinks.report_rows({"volatility": vol, "trend": trend}, local_names=True)
     labels = ["volatilitas", "tren_harga", "prediksi_mlllib"]
-    doc = json.loads(sinks.report_document(rows, labels).first().document)
+    doc = json.loads("".join(r.line for r in sinks.report_document(rows, labels).collect()))
     assert [v["komoditas"] for v in doc["volatilitas"]] == ["b", "a"]
     assert [t["periode"] for t in doc["tren_harga"]] == ["2026-01-01 00:00", "2026-01-02 03:04"]
     assert doc["prediksi_mlllib"] == [] and doc["generated_at"]
     new = sinks.report_rows({"trend": trend.limit(1)}, local_names=True)
     merged = sinks.merge_report(new, rows, ["tren_harga"])
     assert merged.groupBy("section").count().count() == 2 and merged.count() == 3
-    with pytest.raises(ValueError):
-        sinks.report_document(rows, labels, max_rows=3)
+    many = spark.range(5000).select(
+        F.lit("a").alias("entity"), F.timestamp_seconds("id").alias("period"), F.lit(1.5).alias("price_avg")
+    )
+    twice = sinks.report_rows({"trend": many.union(many)}, local_names=True)
+    doc = json.loads("".join(r.line for r in sinks.report_document(twice, labels).collect()))
+    shown = [t["periode"] for t in doc["tren_harga"]]
+    assert len(shown) == 10_000 and shown == sorted(shown) and doc["volatilitas"] == []

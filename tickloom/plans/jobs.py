@@ -150,10 +150,16 @@ def build_analysis(spark: SparkSession, base: str, known_only: bool = False) ->
 
 
 def build_models(spark: SparkSession, base: str, penalty: str = "mllib") -> None:
-    """Fit and forecast every known entity."""
+    """Fit and forecast every known entity, from its ticks and the stored trend."""
     known = dimensions.baseline_table(spark).select("entity")
     ticks = versions.as_of(spark, f"{base}/clean/ticks").join(known, "entity", "left_semi")
-    split = series.split_by_time(series.ml_features(model_input(ticks), order=("ts", "price")))
+    try:
+        history = readers.read_table(spark, f"{base}/analysis/trend")
+        history = history.join(known, "entity", "left_semi")
+    except AnalysisException:  # no analysis has run yet
+        history = None
+    rows = model_input(ticks, history)
+    split = series.split_by_time(series.ml_features(rows, order=("ts", "price")))
     report = model.model_report(split, penalty=penalty)
     sinks.overwrite_table(report, f"{base}/analysis/models")
     _update_report(
@@ -173,7 +179,7 @@ def summary(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def export_report(spark: SparkSession, base: str, path: str) -> None:
-    """The latest report as one JSON document."""
+    """The latest report as a folder of files that together are one JSON document."""
     rows = versions.as_of(spark, f"{base}/report")
     sections = [label for label, _ in schemas.REPORT_FIELDS.values()]
     sinks.report_document(rows, sections).write.mode("overwrite").text(path)

@@ -226,6 +226,17 @@ NAMED_CHANGES = f"""(
     ON EXISTS (SELECT 1 FROM {TYPE_KEYWORDS} k
         WHERE k.entity = e.entity AND contains(t.name, k.keyword)))"""
 
+ALLOWED = f"""
+SELECT id, link, source FROM (
+    SELECT *, lower(regexp_extract(link, '^[^:]+://([^/?#]*)', 1)) AS host,
+        lower(regexp_extract(link, '^[^:]+://[^/?#]*([^?#]*)', 1)) AS path FROM {PAGES})
+WHERE CASE source
+    WHEN 'com' THEN host LIKE '%example.com' AND NOT (host LIKE 'blog.%'
+        OR host LIKE 'm.%' OR contains(path, '/fr/') OR contains(path, '/de/'))
+    WHEN 'net' THEN host LIKE '%example.net' AND NOT (host LIKE 'www.%'
+        OR contains(path, '/es/'))
+    ELSE true END"""
+
 ORACLE: dict[str, str] = {
     "silver_ticks": f"""
         SELECT {canonical('entity')} AS entity, {TYPED}, id FROM ({deduped('entity')})""",
@@ -304,7 +315,7 @@ ORACLE: dict[str, str] = {
             CASE WHEN a.price > o.price THEN 'up' WHEN a.price < o.price THEN 'down' ELSE '' END
                 AS flash
         FROM {newest(USERS)} a
-        LEFT JOIN {newest(f"(SELECT * FROM {USERS} WHERE ts < TIMESTAMP '2024-01-29')")} o
+        LEFT JOIN {newest(f"(SELECT * FROM {USERS} WHERE ts < (SELECT date_trunc('day', max(ts)) FROM events))")} o
             ON a.entity = o.entity""",
     "recent_ticks": f"SELECT * FROM {EVENTS} ORDER BY ts DESC, id DESC LIMIT 200",
     "recent_news": """
@@ -363,16 +374,10 @@ ORACLE: dict[str, str] = {
             SELECT *, ' ' || trim(regexp_replace({plain_text('text')}, '[^\\p{{L}}\\p{{N}}]+', ' ',
                 'g')) || ' ' AS w FROM documents)
         WHERE {any_of('w', ['tion', 'that', 'oure', 'nicht'], 'word')}""",
-    "allowed_pages": f"""
-        SELECT id, link, source FROM (
-            SELECT *, lower(regexp_extract(link, '^[^:]+://([^/?#]*)', 1)) AS host,
-                lower(regexp_extract(link, '^[^:]+://[^/?#]*([^?#]*)', 1)) AS path FROM {PAGES})
-        WHERE CASE source
-            WHEN 'com' THEN host LIKE '%example.com' AND NOT (host LIKE 'blog.%'
-                OR host LIKE 'm.%' OR contains(path, '/fr/') OR contains(path, '/de/'))
-            WHEN 'net' THEN host LIKE '%example.net' AND NOT (host LIKE 'www.%'
-                OR contains(path, '/es/'))
-            ELSE true END""",
+    "allowed_pages": ALLOWED,
+    "relevant_pages": f"""
+        SELECT p.id, p.link, p.source FROM {PAGES} p JOIN ({ALLOWED}) a ON p.id = a.id
+        WHERE {any_of(plain_text("title || ' ' || summary"), ['tion', 'eaux', 'schen', 'mente'])}""",
     "page_plain_text": f"SELECT id, {plain_text('summary')} AS text FROM {PAGES}",
     "news_payload": f"""
         SELECT title, link, left(summary, 500) AS summary, source, left(md5(link), 12) AS key
@@ -408,6 +413,20 @@ ORACLE: dict[str, str] = {
             count(*) FILTER (direction = 'NAIK') AS n_up,
             count(*) FILTER (direction = 'TURUN') AS n_down
         FROM r""",
+    "model_directions": f"""
+        WITH r AS (SELECT entity, coef_time FROM {fitted(EVENTS)})
+        SELECT coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time > 0), '-') AS up,
+            coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time <= 0), '-') AS down
+        FROM r""",
+    "report_document": f"""
+        SELECT CAST(entity AS VARCHAR) AS komoditas, CAST(NULL AS VARCHAR) AS periode,
+            CAST(NULL AS DOUBLE) AS harga_rata, price_max AS harga_max,
+            volatility_pct AS volatilitas_pct
+        FROM (SELECT {VOLATILITY} FROM {USERS} GROUP BY entity)
+        UNION ALL
+        SELECT CAST(entity AS VARCHAR), strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M'),
+            round(avg(price), 8), NULL, NULL
+        FROM {USERS} GROUP BY entity, date_trunc('hour', ts)""",
     "report_sections": f"""
         SELECT 'volatility' AS section, count(DISTINCT entity) AS items FROM {EVENTS}
         UNION ALL SELECT 'trend', count(DISTINCT (entity, date_trunc('minute', ts))) FROM {EVENTS}

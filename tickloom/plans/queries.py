@@ -170,7 +170,8 @@ def pct_change_prev2_split(spark, sf):
 @query
 def price_flash(spark, sf):
     events = b.event_ticks(spark, sf, "user_id")
-    before = events.where(F.col("ts") < F.lit("2024-01-29").cast("timestamp_ntz"))
+    last_day = events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp_ntz")).scalar()
+    before = events.where(F.col("ts") < last_day)
     return aggregate.price_flash(
         aggregate.newest(before, ["ts", "id"]), aggregate.newest(events, ["ts", "id"])
     )
@@ -296,6 +297,16 @@ def allowed_pages(spark, sf):
     return match.filter_links(b.page_items(spark, sf), rules).select("id", "link", "source")
 
 
+@query
+def relevant_pages(spark, sf):
+    """On its source's own site, and about the topic."""
+    pages = match.filter_links(
+        b.page_items(spark, sf), dimensions.link_rule_table(spark, b.PAGE_RULES)
+    )
+    kept = match.filter_relevant(pages, ["title", "summary"], b.TOPIC_WORDS)
+    return kept.select("id", "link", "source")
+
+
 @query
 def page_plain_text(spark, sf):
     pages = b.spread(b.page_items(spark, sf).select("id", "summary"))
@@ -393,6 +404,31 @@ def model_leaderboard(spark, sf):
     return rounded(board, "best_r2", "worst_r2")
 
 
+@query
+def model_directions(spark, sf):
+    split = series.split_by_time(series.ml_features(b.event_ticks(spark, sf)))
+    report = model.scored_models(split, model.fit(split))
+    return model.direction_lists(report, b.EVENT_TYPES)
+
+
+@query
+def report_document(spark, sf):
+    """The items of a written report, read back from its lines."""
+    ticks = b.event_ticks(spark, sf, "user_id")
+    sections = {
+        "volatility": aggregate.volatility(ticks),
+        "trend": aggregate.trend(ticks, "hour"),
+    }
+    names = [schemas.REPORT_FIELDS[s][0] for s in sections]
+    path = scratch_dir(spark, "report")
+    sinks.report_document(sinks.report_rows(sections, local_names=True), names).write.text(path)
+    item = F.regexp_extract("value", r'^,?(\{"komoditas".*\})$', 1)
+    fields = "komoditas string, periode string, harga_rata double, harga_max double, volatilitas_pct double"
+    items = spark.read.text(path).select(F.from_json(item, fields).alias("i"))
+    found = items.where("i.komoditas is not null").select("i.*")
+    return rounded(found, "harga_rata", "harga_max", "volatilitas_pct")
+
+
 @query
 def report_sections(spark, sf):
     ticks = b.event_ticks(spark, sf)

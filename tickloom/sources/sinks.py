@@ -134,19 +134,38 @@ def merge_report(new: DataFrame, previous: DataFrame, replaced: Sequence[str]) -
     return new.unionByName(kept)
 
 
-def report_document(rows: DataFrame, sections: Sequence[str], max_rows: int = 100_000) -> DataFrame:
-    """The whole report as one JSON document, for reports small enough to be one.
+def report_document(rows: DataFrame, sections: Sequence[str]) -> DataFrame:
+    """The report as ordered lines that together are one JSON document.
 
-    The size is checked first; a larger report is an error here and should
-    stay a table.
+    Each item is a line, equal items share one. The lines are sorted over range
+    partitions and written as files that follow each other, so no section is ever
+    in one row or task.
     """
-    if rows.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows")
-    parts = []
-    for name in sections:
-        entry = F.when(F.col("section") == name, F.struct("pos", "item"))
-        items = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["item"])
-        parts.append(F.concat(F.lit(f',"{name}":['), F.array_join(items, ","), F.lit("]")))
+    spark = rows.sparkSession
+    items = rows.where(F.col("section").isin(list(sections)))
+    items = items.groupBy("section", "pos", "item").agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    # One item per section: the only one without a comma before it.
+    heads = items.groupBy("section").agg(F.min(F.struct("pos", "item")).alias("_head")).collect()
+    is_head = F.lit(False)
+    for r in heads:
+        pos, item = r["_head"]
+        here = F.col("pos").eqNullSafe(F.lit(pos)) & (F.col("item") == item)
+        is_head = is_head | ((F.col("section") == r["section"]) & here)
+    text = F.array_join(F.array_repeat("item", F.col("_n")), ",")
+    body = items.select(
+        F.array_position(F.lit(list(sections)), F.col("section")).cast("int").alias("_place"),
+        F.lit(1).alias("_part"),
+        "pos",
+        F.when(is_head, text).otherwise(F.concat(F.lit(","), text)).alias("line"),
+    )
+    frame = [(len(sections) + 1, 0, None, "}")]
+    for place, name in enumerate(sections, 1):
+        frame += [(place, 0, None, f',"{name}":['), (place, 2, None, "]")]
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    head = F.concat(F.lit('{"generated_at":"'), now, F.lit('"'))
-    return rows.agg(F.concat(head, *parts, F.lit("}")).alias("document"))
+    opening = F.concat(F.lit('{"generated_at":"'), now, F.lit('"'))
+    schema = "_place int, _part int, pos double, line string"
+    first = spark.createDataFrame([(0, 0, None, None)], schema).withColumn("line", opening)
+    lines = body.unionByName(spark.createDataFrame(frame, schema)).unionByName(first)
+    # Items of one place are in the order of their text, the one without a comma first.
+    key = [F.col("_place"), F.col("_part"), F.col("pos"), F.ltrim(F.col("line"), F.lit(","))]
+    return lines.orderBy(*key).select("line")
