@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import r2_band
+from tickloom.session import stored
 
 # Wording of the model summary.
 QUALITY_TEXT = {
@@ -96,6 +97,19 @@ def fit(split: DataFrame, reg: float = 0.01, penalty: str = "mllib") -> DataFram
     )
 
 
+def fit_once(
+    split: DataFrame, reg: float = 0.01, penalty: str = "mllib"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows and their fit, both written to the scratch space.
+
+    Scores and forecasts read them from there, so the ticks are sorted once only.
+    """
+    rows = stored(
+        split.select("entity", "time_idx", "hour", "price", "n_total", "is_train"), "features"
+    )
+    return rows, stored(fit(rows, reg, penalty), "coefficients")
+
+
 def predicted(time_idx: Column, hour: Column) -> Column:
     """Model value; the frame holds the columns of ``fit``."""
 
@@ -202,7 +216,7 @@ def model_report(
     start_hour: Column | None = None,
 ) -> DataFrame:
     """One record per entity: fit, scores, forecast array, direction and text."""
-    model = fit(split, reg, penalty)
+    split, model = fit_once(split, reg, penalty)
     ahead = forecast(model, steps, start_hour)
     points = F.array_sort(F.collect_list(F.struct("step", "time_idx", "hour", "price_pred")))
     ahead = ahead.groupBy("entity").agg(points.alias("forecast"))

@@ -301,7 +301,7 @@ def allowed_pages(spark, sf):
 def relevant_pages(spark, sf):
     """On its source's own site, and about the topic."""
     pages = match.filter_links(
-        b.page_items(spark, sf), dimensions.link_rule_table(spark, b.PAGE_RULES)
+        b.spread(b.page_items(spark, sf)), dimensions.link_rule_table(spark, b.PAGE_RULES)
     )
     kept = match.filter_relevant(pages, ["title", "summary"], b.TOPIC_WORDS)
     return kept.select("id", "link", "source")
@@ -376,8 +376,8 @@ def price_model_ridge_sum(spark, sf):
 
 @query
 def model_metrics(spark, sf):
-    split = series.split_by_time(_features(spark, sf))
-    return rounded(model.metrics(split, model.fit(split)), *SCORES)
+    split, fitted = model.fit_once(series.split_by_time(_features(spark, sf)))
+    return rounded(model.metrics(split, fitted), *SCORES)
 
 
 @query
@@ -399,15 +399,17 @@ def model_report(spark, sf):
 
 @query
 def model_leaderboard(spark, sf):
-    split = series.split_by_time(_features(spark, sf))
-    board = model.leaderboard(model.scored_models(split, model.fit(split)))
+    split, fitted = model.fit_once(series.split_by_time(_features(spark, sf)))
+    board = model.leaderboard(model.scored_models(split, fitted))
     return rounded(board, "best_r2", "worst_r2")
 
 
 @query
 def model_directions(spark, sf):
-    split = series.split_by_time(series.ml_features(b.event_ticks(spark, sf)))
-    report = model.scored_models(split, model.fit(split))
+    split, fitted = model.fit_once(
+        series.split_by_time(series.ml_features(b.event_ticks(spark, sf)))
+    )
+    report = model.scored_models(split, fitted)
     return model.direction_lists(report, b.EVENT_TYPES)
 
 
