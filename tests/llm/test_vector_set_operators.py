@@ -56,6 +56,16 @@ def test_top_k(spark, monkeypatch, small):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_one_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    rows = [(7, [1.0, float(i % 2)]) for i in range(300)] + [(50, [1.0, 1.0])] * 90
+    rows += [(50, [2.0, float(i)]) for i in range(40)] + [(i, [0.5, i / 9]) for i in range(51, 90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.where("vec_id = 50"))
+    assert sorted(map(tuple, got.collect())) == plain_top(sorted(set((i, tuple(v)) for i, v in rows)), {50}, topk.K)
+
+
 def test_coordinates_never_lose_a_candidate():
     rng = np.random.default_rng(2)
     unit = rng.normal(size=(4000, 5))

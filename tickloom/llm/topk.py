@@ -9,7 +9,8 @@ decide, so results are exact.
 
 Blocks: candidates of a length group are spread over blocks of bounded size, queries
 likewise, and a task takes a block of each; results of a query are merged by k rows
-a block. Shares are by hash, so equal and similar vectors spread evenly.
+a block. Repeated rows count once; shares are by hash of id and vector, so vectors of
+one id and equal vectors of many ids spread evenly.
 
 Defined cases: vectors that are null or hold null or non-finite components take no
 part; vectors are compared with those of the same dimension only; a candidate with
@@ -182,8 +183,9 @@ def top_k(
     scale: float = SCALE,
 ) -> DataFrame:
     """The k best candidates of every query: query_id, rank, vec_id, score."""
-    rows = stored(vectors(candidates, id, vector, scale), "vectors")
-    asked = stored(vectors(queries, id, vector, scale), "queries")
+    # Repeated rows change no result; they are merged before the shuffle.
+    rows = stored(vectors(candidates, id, vector, scale).distinct(), "vectors")
+    asked = stored(vectors(queries, id, vector, scale).distinct(), "queries")
     # Length groups: powers of two, so that a block's buckets are of similar length.
     norm = F.aggregate("vector", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
     group = F.floor(F.log2(norm + 1)).cast("int")
@@ -195,7 +197,7 @@ def top_k(
     asked = asked.withColumn("dim", F.size("vector"))
     parts = asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("parts"))
     plan = stored(sizes.join(parts, "dim"), "blocks")
-    spread = F.xxhash64("vec_id")
+    spread = F.xxhash64("vec_id", "vector")
     # A candidate meets every query block, a query every candidate block.
     left = rows.join(plan, ["dim", "length"]).select(
         "dim",
@@ -219,8 +221,11 @@ def top_k(
 
     def task(key: tuple, batches: Iterator[pa.Table]) -> pa.Table:
         asks = pc.equal(batches.column("asks"), True)
-        query_ids, queries = arrays(batches.filter(asks).combine_chunks().to_batches()[0])
-        ids, found = arrays(batches.filter(pc.invert(asks)).combine_chunks().to_batches()[0])
+        both = [batches.filter(side).combine_chunks().to_batches() for side in (asks, pc.invert(asks))]
+        if not all(both):  # a block that by chance got no row
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
+        query_ids, queries = arrays(both[0][0])
+        ids, found = arrays(both[1][0])
         best = search_block(query_ids, queries, Buckets(ids, found), k)
         counts = [len(b[0]) for b in best]
         return pa.table(
