@@ -157,3 +157,18 @@ def test_without_news(spark, base):
     stored = jobs.model_input(ticks, tables["trend"])
     # Trend rows on the minute of a tick are the tick's own, so none is counted twice.
     assert stored.count() == ticks.select("entity", "ts").distinct().count()
+
+
+def test_last_record_of_an_array_wins(spark, tmp_path):
+    def tick(price, minute=0):
+        return {"komoditas": "Beras", "harga": price, "timestamp": f"2026-05-11T09:{minute:02d}:00"}
+
+    records = [tick(14000), tick(15000), tick(13000), tick(14000), tick(12000, 1), tick(12500, 1)]
+    (tmp_path / "ticks.json").write_text(json.dumps(records))
+    lake = str(tmp_path / "lake")
+    jobs.ingest_raw(spark, [("array", str(tmp_path / "ticks.json"))], [], lake, batch_id="b")
+    jobs.build_clean(spark, lake)
+    ticks = versions.as_of(spark, f"{lake}/clean/ticks")
+    assert ticks.count() == 5
+    rows = jobs.model_input(ticks).orderBy("ts").collect()
+    assert [r.price for r in rows] == [14000.0, 12500.0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,13 +11,27 @@ from tickloom.functions.times import parse_time, with_date_parts
 from tickloom.operators.dedupe import dedupe
 
 
+# Place of a record in the array that it came in.
+POSITION = "_position"
+
+
 def with_ingest_meta(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_ingested_at": F.current_timestamp(), "_source": F.lit(source)})
 
 
 def with_meta(schema: T.StructType) -> T.StructType:
     """A raw schema with the columns that ``with_ingest_meta`` adds."""
-    return T.StructType(list(schema.fields)).add("_ingested_at", "timestamp").add("_source", "string")
+    meta = T.StructType(list(schema.fields)).add(POSITION, "long")
+    return meta.add("_ingested_at", "timestamp").add("_source", "string")
+
+
+def arrival(df: DataFrame) -> Column:
+    """A number that grows with load time and place in the loaded file; else with the event time."""
+    if POSITION not in df.columns:
+        return F.unix_micros("ts").cast("decimal(38,0)")
+    loaded = F.unix_micros("_ingested_at").cast("decimal(20,0)")
+    place = F.coalesce(POSITION, F.lit(0)).cast("decimal(18,0)")
+    return (loaded * F.lit(10**15).cast("decimal(16,0)") + place).cast("decimal(38,0)")
 
 
 def filter_valid_price(df: DataFrame, price: str = "price") -> DataFrame:
@@ -53,6 +67,8 @@ def clean_ticks(
     if aliases is not None and canonicalize_first:
         df = canonicalize(df, aliases)
     order = [c for c in ("id", "_ingested_at") if c in raw.columns]
+    if POSITION in raw.columns:  # of copies the last one that arrived, so that it can win
+        order = [-arrival(raw)]
     df = dedupe(df, ["ts", "entity", "price"], order)
     numbers = [c for c in ("price", "prev_price", "pct_change", "baseline") if c in df.columns]
     df = df.withColumns({c: F.col(c).try_cast("double") for c in numbers})

@@ -48,7 +48,7 @@ def ingest_raw(
         ("news", "rss", news_sources, schemas.RAW_NEWS, schemas.NEWS_FIELDS),
     )
     for table, origin, sources, schema, fields in feeds:
-        df = readers.read_first_available(spark, list(sources), schema, fields)
+        df = readers.read_first_available(spark, list(sources), schema, fields, clean.POSITION)
         sinks.append_table(clean.with_ingest_meta(df, origin), f"{base}/raw/{table}", batch_id)
 
 
@@ -115,15 +115,18 @@ def analyse(
 
 
 def model_input(ticks: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Ticks for the model, completed by stored trend rows; ticks win."""
-    live = ticks.select("entity", "ts", "price", F.unix_micros("ts").alias("arrival"))
+    """Ticks for the model, completed by stored trend rows; ticks win.
+
+    Of several ticks of an entity and time the last to arrive wins.
+    """
+    live = ticks.select("entity", "ts", "price", clean.arrival(ticks).alias("arrival"))
     if history is None:
-        return live
+        history = live.limit(0).withColumnsRenamed({"ts": "period", "price": "price_avg"})
     past = history.select(
         "entity",
         F.col("period").cast("timestamp").alias("ts"),
         F.col("price_avg").alias("price"),
-        F.unix_micros(F.col("period").cast("timestamp")).alias("arrival"),
+        F.unix_micros(F.col("period").cast("timestamp")).cast("decimal(38,0)").alias("arrival"),
     )
     return combine.merge_priority(live, past)
 

@@ -79,19 +79,24 @@ def read_first_available(
     sources: Iterable[tuple[str, str]],
     schema: T.StructType,
     fields: Mapping[str, str] | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """The first source that can be reached; ``sources`` are (kind, path) pairs.
 
     The kind is ``lines`` or ``array``. Without any, the result is empty.
+    ``position`` names a column for the place in an array, null for lines.
     """
+    extra = [T.StructField(position, T.LongType())] if position else []
     for kind, path in sources:
         try:
             spark.read.text(path)  # lists the files, reads none
-            read = {"lines": read_jsonl, "array": read_json_array}[kind]
-            return read(spark, path, schema, fields)
+            if kind == "array":
+                return read_json_array(spark, path, schema, fields, position)
+            lines = {"lines": read_jsonl}[kind](spark, path, schema, fields)
+            return lines.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra})
         except (AnalysisException, Py4JJavaError):
             continue
-    return empty_like(spark, schema)
+    return empty_like(spark, T.StructType(schema.fields + extra))
 
 
 def count_trigger(rows: int, longest_wait: str = "1 minute") -> dict[str, str]:
