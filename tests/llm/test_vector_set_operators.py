@@ -205,6 +205,31 @@ def test_mix(spark):
     assert mixing.mix(fixtures.empty(spark)).count() == 0
 
 
+def test_mix_reaches_every_target(spark):
+    rng = random.Random(9)
+    docs = [("hot", 300)] * 110 + [(f"mid{i}", rng.randint(200, 400)) for i in range(5) for _ in range(30)]
+    docs += [(f"tiny{i}", rng.randint(20, 80)) for i in range(200)] + [("one", 1), ("none", 0), (None, 7)]
+    rows = [(i, " ".join(f"w{i}" for _ in range(n)), source) for i, (source, n) in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = Counter()
+    for source, n in docs:
+        sizes[source] += n
+    taken, target = Counter(), {}
+    for r in mixing.mix(df).collect():
+        taken[r.source] += r.taken
+        target[r.source] = math.floor(r.target + 0.5)
+    assert {s: taken[s] for s in target} == target
+    found = plain_targets(sizes)
+    assert all(abs(target[s] - found[s]) <= 0.5 + 1e-6 for s in target)
+    plan = mixing.slots(mixing.targets(mixing.sized(df))).collect()
+    assert len({r.slot for r in plan}) == len(plan)
+    ranks: dict = {}
+    for r in plan:
+        ranks.setdefault(r.idx, []).append((r.slot, r["rank"]))
+    # In the order of the slots, a source's ranks go up by one from 0.
+    assert all([k for _, k in sorted(v)] == list(range(len(v))) for v in ranks.values())
+
+
 def test_best_boundaries():
     rng = random.Random(6)
     for _ in range(60):

@@ -4,7 +4,9 @@ Slot ``i`` of the mix gets the point ``frac((i + 1) * golden ratio)``, which the
 cumulative shares map to a source; a source's slots are ranked. Its documents,
 in a shuffled order, are laid end to end as one line of words and cut into equal
 blocks. Rank ``r`` takes block ``r`` of the line, again from its start once the
-line ends. The slot that reaches the source's target is cut there.
+line ends. The slot that reaches the source's target is cut there. Sources that the
+golden-ratio slots leave short, such as those smaller than a block, get the slots
+that they lack in rounds after them, so every source reaches its target.
 
 Targets: the sources share ``total`` of all sizes by weight; no target is above
 ``most`` times its source's size, and what is cut off is shared again by weight.
@@ -31,7 +33,7 @@ MOST = 2
 GOLDEN = 0.6180339887498949
 # Blocks for a document of average size: finer blocks come nearer to the targets.
 BLOCKS_PER_DOC = 4
-# Slots beyond the mix's size, as a part of it, so that few sources stay below target.
+# Golden-ratio slots beyond the mix's size, as a part of it, so that few sources lack some.
 SPARE = 0.02
 # Rows that one window sorts.
 CHUNK_ROWS = 4096
@@ -91,10 +93,33 @@ def targets(docs: DataFrame) -> DataFrame:
     return per.select("source", "idx", "weight", "source_size", target.alias("target"), block.alias("block"))
 
 
-def slots(sources: DataFrame) -> DataFrame:
+def lacking(ranked: DataFrame, shares: DataFrame, count: int) -> DataFrame:
+    """The slots, from ``count`` on, that sources lack for their targets.
+
+    Every round gives a slot to each source that is still short. A source lacks as
+    many slots as its passes over its line have short last blocks, and the few by
+    which golden-ratio slots differ from its share.
+    """
+    got = ranked.groupBy("idx").agg(F.count("*").alias("got"))
+    wanted = F.floor(F.col("target") + 0.5).cast("long")
+    blocks = F.ceil(F.col("source_size") / F.col("block"))
+    needed = F.floor(wanted / F.col("source_size")) * blocks + F.ceil(
+        wanted % F.col("source_size") / F.col("block")
+    )
+    short = shares.join(got, "idx", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    short = short.withColumn("needed", needed).where("needed > got")
+    rows = short.withColumn("rank", F.explode(F.sequence(F.col("got"), F.col("needed") - 1)))
+    # Window without partitions: these are a few rows per source.
+    order = Window.orderBy(F.col("rank") - F.col("got"), "idx")
+    slot = F.row_number().over(order) + F.lit(count - 1).cast("long")
+    return rows.withColumn("slot", slot).select(*ranked.columns)
+
+
+def slots(sources: DataFrame, reach: bool = True) -> DataFrame:
     """The schedule: slot, idx, rank of the slot within its source, block, take.
 
-    ``take`` is how many words the slot takes from its block's start.
+    ``take`` is how many words the slot takes from its block's start. Without
+    ``reach`` the schedule ends with the golden-ratio slots, whatever sources lack.
     """
     spark = sources.sparkSession
     shares = sources.where("target > 0")
@@ -121,6 +146,9 @@ def slots(sources: DataFrame) -> DataFrame:
     ranked = running_total(
         placed, ["idx"], ["slot"], F.lit(1), "rank", F.floor(F.col("slot") / CHUNK_ROWS)
     )
+    if reach:
+        ranked = stored(ranked, "slots")
+        ranked = ranked.unionByName(lacking(ranked, shares, count))
     blocks = F.ceil(F.col("source_size") / F.col("block"))
     ranked = ranked.withColumn("nth", F.col("rank") % blocks)
     start = F.col("nth") * F.col("block")
@@ -141,10 +169,17 @@ def pieces(placed: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    reach: bool = True,
+) -> DataFrame:
     """What the mix takes of each document.
 
     Columns: doc_id, place, source, size, source_size, target, taken, offset.
+    Without ``reach`` sources may stay below their targets, see ``slots``.
     """
     rows = stored(sized(docs, id, text, source), "sizes")
     sources = stored(targets(rows), "sources")
@@ -160,7 +195,7 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     )
     line = stored(line, "line")
     parts = pieces(line)
-    plan = slots(sources).select("idx", "nth", "start", "take")
+    plan = slots(sources, reach).select("idx", "nth", "start", "take")
     low = F.greatest(F.col("offset"), F.col("start"))
     high = F.least(F.col("offset") + F.col("size"), F.col("start") + F.col("take"))
     took = F.greatest(F.lit(0), high - low)
@@ -186,8 +221,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op8: the mix of all documents."""
-    mixed = mix(table(spark, sf_dir, "documents"))
+    """op8: the mix of all documents, by the golden-ratio slots only, as its SQL twin says."""
+    mixed = mix(table(spark, sf_dir, "documents"), reach=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
