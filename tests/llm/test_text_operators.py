@@ -159,6 +159,16 @@ def test_secret_matches_are_not_retried(spark, tmp_path):
     assert found == want
 
 
+def test_secrets_of_repeated_rows(spark, tmp_path):
+    text = "x token=abcdefgh1, secret=12345678 z"
+    rows = [(1, text), (1, text), (1, text), (None, "y " + text), (None, "y " + text), (5, text)]
+    pattern = re.compile(secrets.BASE[0].pattern)
+    want = Counter((i, "assign", *m.span()) for i, t in rows for m in pattern.finditer(t))
+    assert len(want) == 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert secret_rows(spark, docs, str(tmp_path / "l")) == want
+
+
 def test_secrets_special_rows(spark, tmp_path):
     docs = fixtures.frame(spark)
     paths = secrets.update(docs, str(tmp_path / "a"))

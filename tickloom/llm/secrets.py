@@ -6,8 +6,9 @@ scans one copy of each blob for the rule versions it lacks, adds the results to
 the ledger and joins all findings back to every path that holds the blob.
 
 Defined cases: a null text is an empty one; a null path is a path of its own;
-repeated rows get equal results; an empty table gives an empty result and an
-empty ledger entry; other columns of the input are left out.
+repeated rows get equal results (where such a row is the copy to scan, all its
+repeats are read and merge before positions are added up); an empty table gives an
+empty result and an empty ledger entry; other columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -138,14 +139,18 @@ def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             )
         ).alias("nth", "part"),
     )
-    upto = Window.partitionBy("blob", "rule").orderBy("nth")
-    end = F.sum(F.col("part.gap") + F.col("part.length")).over(upto)
+    # Repeated rows of a blob give equal parts, which may count once only.
+    parts = parts.select("blob", "rule", "nth", "part.gap", "part.length", "part.counts").distinct()
+    upto = Window.partitionBy("blob", "rule").orderBy("nth").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    end = F.sum(F.col("gap") + F.col("length")).over(upto)
     placed = parts.select(
         "blob",
         "rule",
-        (end - F.col("part.length")).cast("int").alias("start"),
+        (end - F.col("length")).cast("int").alias("start"),
         end.cast("int").alias("end"),
-        F.col("part.counts").alias("counts"),
+        "counts",
     )
     return placed.where("counts").drop("counts")
 
