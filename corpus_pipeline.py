@@ -6,9 +6,9 @@ All stages but the last return the columns of their input.
 
 quality      documents that the classifier rejects go
 lines        lines that at least five documents share stay in one of them
-near_copies  of documents with the same or nearly the same shingles the least id
-             stays; rows of one doc_id are one document and stay together; rows
-             without a doc_id all stay
+near_copies  of texts with the same or nearly the same shingles those of the least
+             id stay, all of them; different texts of one doc_id are judged each on
+             their own; rows without a doc_id all stay
 mix          a document appears as often as the mix takes its words, a last part
              counted as a whole; what the mix does not reach goes; of equal rows
              each appears the same number of times, rounded up
@@ -40,9 +40,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.join(docs)
-    extra = found.where("class_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return lines.without(docs, "doc_id", stored(extra, "near-copies"))
+    found = jaccard.rows_of(docs)
+    extra = found.where("class_id <> doc_id").select(F.struct("doc_id", "mark").alias("_extra")).distinct()
+    named = docs.withColumn("_row", F.struct("doc_id", jaccard.mark_of("text").alias("mark")))
+    return lines.without(named, "_row", stored(extra, "near-copies")).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,6 +115,48 @@ def test_chosen_paths_find_every_pair(spark, split, block):
     assert [r.class_id for r in jaccard.join(twice).collect()] == [79, 79]
 
 
+def plain_rows(docs):
+    sets = [(i, shingle_set(text)) for i, text in docs]
+    near = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    for i, x in sets:
+        members = {x}
+        while more := {y for _, y in sets if y not in members and any(near(y, z) for z in members)}:
+            members |= more
+        yield (
+            i,
+            min(j for j, y in sets if y in members),
+            min(j for j, y in sets if y == x),
+            sum(near(x, y) for _, y in sets) - 1,
+            len({y for _, y in sets if y != x and near(x, y)}),
+        )
+
+
+def changed(text, at):
+    found = text.split(" ")
+    found[at] = "other"
+    return " ".join(found)
+
+
+@pytest.mark.parametrize(("split", "block"), [(jaccard.SPLIT, jaccard.BLOCK), (2, 1)])
+def test_join_of_repeated_rows_and_reused_ids(spark, split, block):
+    rng = random.Random(8)
+    one, two, three = (fixtures.words(rng, 100) for _ in range(3))
+    docs = [(20, one), (20, one), (20, one), (30, changed(one, 50)), (31, changed(one, 10))]  # repeated
+    docs += [(40, two), (40, three), (10, changed(two, 5)), (50, changed(three, 7)), (50, three)]  # reused
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, jaccard.join(df, split=split, block=block).collect()))
+    assert got == Counter(plain_rows(docs))
+
+
+def test_near_copies_keep_a_text_of_every_class(spark):
+    rng = random.Random(8)
+    one, two = (fixtures.words(rng, 100) for _ in range(2))
+    docs = [(3, one), (5, changed(one, 9)), (5, two), (5, two), (9, two), (None, two)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = Counter(map(tuple, corpus_pipeline.near_copies(spark, df, "").collect()))
+    assert got == Counter([(3, one), (5, two), (5, two), (None, two)])
+
+
 def test_join_on_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     want = plain_join([tuple(r) for r in docs.collect()])

@@ -1,6 +1,7 @@
 """Jaccard join of word shingle sets by chosen paths.
 
-Texts with the same shingle set are one record. In every run a record chooses the
+Texts with the same shingle set are one record, numbered when records are stored;
+its own number, not a doc_id, names it until the end. In every run a record chooses the
 two shingles of its set that come first in the run's order, and goes to the bucket
 of each. Buckets above a size are split again by the next order's two first
 shingles, so a record's place is a path of chosen shingles that similar records
@@ -12,12 +13,12 @@ are repeated until the miss probability at the threshold is below the target's.
 Buckets that stay large, such as many near copies of one text, are compared in
 pairs of blocks, a task for each; nothing is capped. Pairs are not given out:
 records get their number of links and the least record that a block links them to,
-and connected components make the classes.
+and connected components of records make the classes.
 
 Defined cases: texts without words are in no pair and a class of their own, null
 texts likewise; texts of one to four words have one shingle; rows of null doc_id
 have a null class and no links; rows of one doc_id count as copies or near copies
-of each other like any; an empty table gives an empty result; other columns of the
+of each other like any, and different texts of one doc_id have a class each; an empty table gives an empty result; other columns of the
 input are left out.
 """
 
@@ -48,7 +49,7 @@ BLOCK = 512
 SKETCH = 128
 MARGIN = 0.2
 SEED = 0x5851F42D4C957F2D
-RECORD = "a bigint, b bigint, n int, sketch binary, picks array<bigint>"
+RECORD = "mark bigint, a bigint, b bigint, n int, sketch binary, picks array<bigint>"
 
 
 def step_recall(similarity: float = SIMILARITY) -> float:
@@ -112,26 +113,31 @@ def name(items: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
+def mark_of(text: str) -> Column:
+    """A number that tells different texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def describe(docs: DataFrame, id: str, text: str, runs: int) -> DataFrame:
-    """Set name, size, sketch and choices of every document that has a word."""
+    """Mark, set name, size, sketch and choices of every document that has a word."""
     orders = runs * LEVELS
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"doc_id": [], "a": [], "b": [], "n": [], "sketch": [], "picks": []}
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, items in zip(ids, shingles.sets(batch.column("text")), strict=True):
+            rows = {"doc_id": [], "mark": [], "a": [], "b": [], "n": [], "sketch": [], "picks": []}
+            ids, marks = (batch.column(k).to_pylist() for k in ("doc_id", "mark"))
+            for doc_id, mark, items in zip(ids, marks, shingles.sets(batch.column("text")), strict=True):
                 if len(items):
                     a, b = name(items)
                     picks = chosen(items, orders).ravel().view(np.int64)
-                    for k, v in zip(rows, (doc_id, a, b, len(items), sketch(items), picks), strict=True):
+                    for k, v in zip(rows, (doc_id, mark, a, b, len(items), sketch(items), picks), strict=True):
                         rows[k].append(v)
-            kinds = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+            kinds = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
             columns = [pa.array(v, t) for v, t in zip(rows.values(), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=list(rows))
 
     rows = docs.where(F.col(id).isNotNull()).select(
-        F.col(id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")
+        F.col(id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), mark_of(text).alias("mark")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(task, f"doc_id {kind}, {RECORD}")
@@ -171,7 +177,7 @@ def buckets(records: DataFrame, runs: int, split: int = SPLIT) -> DataFrame:
 def blocks(leaves: DataFrame, records: DataFrame, block: int = BLOCK) -> DataFrame:
     """Records with all their leaves, once for every pair of blocks to compare them in."""
     own = leaves.groupBy("rec").agg(F.collect_set(F.struct("leaf", "m")).alias("places"))
-    rows = records.select("rec", "copies", "a", "b", "n", "sketch").join(own, "rec")
+    rows = records.select("rec", "copies", "n", "sketch").join(own, "rec")
     rows = rows.withColumn("leaves", F.col("places.leaf")).withColumn("place", F.explode("places"))
     parts = F.ceil(F.col("place.m") / block).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("rec"), F.col("parts")).cast("int"))
@@ -181,7 +187,7 @@ def blocks(leaves: DataFrame, records: DataFrame, block: int = BLOCK) -> DataFra
         F.least("own", "other").alias("one"),
         F.greatest("own", "other").alias("two"),
         "own",
-        *["rec", "copies", "a", "b", "n", "sketch", "leaves"],
+        *["rec", "copies", "n", "sketch", "leaves"],
     )
 
 
@@ -309,22 +315,31 @@ def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(task, schema)
 
 
-def with_sets(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Candidate rows with their record's shingles, made again from its text."""
-    places = rows.groupBy("rec", "a", "b", "copies", "leaves").agg(
+def with_sets(rows: DataFrame, records: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """Candidate rows with their record's shingles, made again from one of its texts.
+
+    A record's text is that of its least (doc_id, mark). Where that row is repeated,
+    a task keeps the first it meets; ``verified`` drops repeats of several tasks.
+    """
+    places = rows.groupBy("rec", "copies", "leaves").agg(
         F.collect_list(F.struct(*GROUP, "own")).alias("places")
     )
-    texts = docs.select(F.col(id).alias("rec"), F.col(text).alias("text")).where("text is not null")
-    joined = texts.join(places.hint("shuffle_hash"), "rec")
+    places = places.join(records.select("rec", "copy_id", "mark", "a", "b"), "rec")
+    texts = docs.where(F.col(text).isNotNull()).select(
+        F.col(id).alias("copy_id"), mark_of(text).alias("mark"), F.col(text).alias("text")
+    )
+    joined = texts.join(places.hint("shuffle_hash"), ["copy_id", "mark"]).drop("copy_id", "mark")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
             found = shingles.sets(batch.column("text"))
             rest = batch.drop_columns(["text"]).to_pylist()
             for row, items in zip(rest, found, strict=True):
-                # Another row may have the same id and another text.
-                if not len(items) or name(items) != (row["a"], row["b"]):
+                # Another text of the same id may have the same mark.
+                if row["rec"] in done or not len(items) or name(items) != (row["a"], row["b"]):
                     continue
+                done.add(row["rec"])
                 n, data = len(row["places"]), items.tobytes()
                 columns = {
                     **{k: [p[k] for p in row["places"]] for k in (*GROUP, "own")},
@@ -333,16 +348,14 @@ def with_sets(rows: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame
                 }
                 yield pa.RecordBatch.from_pydict(columns, schema=arrow)
 
-    kind = rows.schema["rec"].dataType.simpleString()
     schema = (
-        f"leaf bigint, one int, two int, own int, rec {kind}, copies bigint, "
+        "leaf bigint, one int, two int, own int, rec bigint, copies bigint, "
         "leaves array<bigint>, items binary"
     )
-    numbers = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     arrow = pa.schema(
         [
             ("leaf", pa.int64()), ("one", pa.int32()), ("two", pa.int32()), ("own", pa.int32()),
-            ("rec", numbers[kind]), ("copies", pa.int64()), ("leaves", pa.list_(pa.int64())),
+            ("rec", pa.int64()), ("copies", pa.int64()), ("leaves", pa.list_(pa.int64())),
             ("items", pa.binary()),
         ]
     )
@@ -363,7 +376,6 @@ def least_linked(pairs: np.ndarray) -> np.ndarray:
 
 def verified(rows: DataFrame, similarity: float) -> DataFrame:
     """Exact links of every group: rec, texts and docs it links to, least record linked."""
-    kind = rows.schema["rec"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in grouped(batches):
@@ -375,9 +387,9 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if high - low < 2:
                     continue
-                # Ascending records, so that the least row is the least record.
+                # Ascending records, each once, so that the least row is the least record.
                 ids = rec.slice(low, high - low).to_pylist()
-                order = sorted(range(len(ids)), key=ids.__getitem__)
+                order = [i for _, i in sorted({r: i for i, r in enumerate(ids)}.items())]
                 at = [low + i for i in order]
                 found = [np.frombuffer(items[i].as_py(), np.uint64) for i in at]
                 sizes = np.array([len(x) for x in found], float)
@@ -396,11 +408,22 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
             columns = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=list(out))
 
-    schema = f"rec {kind}, texts bigint, docs bigint, least {kind}"
+    schema = "rec bigint, texts bigint, docs bigint, least bigint"
     return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(task, schema)
 
 
-def join(
+def class_ids(links: DataFrame, records: DataFrame) -> DataFrame:
+    """The least doc_id of each linked record's connected class: rec, class_id."""
+    found = stored(components(links.select(F.col("rec").alias("a"), F.col("least").alias("b"))), "components")
+    # The least record of a component has no row of its own.
+    roots = found.select(F.col("component").alias("node"), "component").distinct()
+    members = found.unionByName(roots).select(F.col("node").alias("rec"), "component")
+    members = stored(members.join(records.select("rec", "copy_id"), "rec"), "members")
+    least = members.groupBy("component").agg(F.min("copy_id").alias("class_id"))
+    return members.join(stored(least, "classes"), "component").select("rec", "class_id")
+
+
+def rows_of(
     docs: DataFrame,
     id: str = "doc_id",
     text: str = "text",
@@ -409,39 +432,38 @@ def join(
     split: int = SPLIT,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Classes and links of every document.
-
-    Columns: doc_id, class_id (least doc_id of its connected class), copy_id (least
-    doc_id with the same shingle set), n_links (other documents at the similarity or
-    above, copies included), n_text_links (different sets among them).
-    """
+    """Classes and links of every row: the columns of ``join``, and its text's mark."""
     runs = runs_for(recall, similarity)
     described = stored(describe(docs, id, text, runs), "sets")
     same = described.groupBy("a", "b").agg(
-        F.min("doc_id").alias("rec"),
+        F.min(F.struct("doc_id", "mark")).alias("least"),
         F.count("*").alias("copies"),
         *[F.first(c).alias(c) for c in ("n", "sketch", "picks")],
     )
-    records = stored(same, "records")
+    same = same.select(
+        F.col("least.doc_id").alias("copy_id"), F.col("least.mark").alias("mark"),
+        *["a", "b", "copies", "n", "sketch", "picks"],
+    )
+    # The numbers are those that this write stores.
+    records = stored(same.withColumn("rec", F.monotonically_increasing_id()), "records")
     leaves = stored(buckets(records, runs, split), "leaves")
     likely_rows = stored(candidates(blocks(leaves, records, block), similarity), "candidates")
-    links = stored(verified(with_sets(likely_rows, docs, id, text), similarity), "links")
-    classes = components(links.select(F.col("rec").alias("a"), F.col("least").alias("b")))
+    links = stored(verified(with_sets(likely_rows, records, docs, id, text), similarity), "links")
     totals = links.groupBy("rec").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     known = (
-        records.select("a", "b", "rec", "copies")
+        records.select("a", "b", "rec", "copy_id", "copies")
         .join(totals, "rec", "left")
-        .join(classes.withColumnRenamed("node", "rec"), "rec", "left")
+        .join(class_ids(links, records), "rec", "left")
         .select(
             "a",
             "b",
-            F.col("rec").alias("copy_id"),
-            F.coalesce("component", "rec").alias("class_id"),
+            "copy_id",
+            F.coalesce("class_id", "copy_id").alias("class_id"),
             (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
         )
     )
-    found = described.select("doc_id", "a", "b").join(known, ["a", "b"]).drop("a", "b")
+    found = described.select("doc_id", "mark", "a", "b").join(known, ["a", "b"]).drop("a", "b")
     has_word = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rest = docs.where(F.col(id).isNull() | ~has_word).select(
         F.col(id).alias("doc_id"),
@@ -449,9 +471,27 @@ def join(
         F.col(id).alias("copy_id"),
         F.lit(0).cast("long").alias("n_links"),
         F.lit(0).cast("long").alias("n_text_links"),
+        mark_of(text).alias("mark"),
     )
-    columns = ["doc_id", "class_id", "copy_id", "n_links", "n_text_links"]
-    return found.select(*columns).unionByName(rest)
+    return found.select(*rest.columns).unionByName(rest)
+
+
+def join(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    split: int = SPLIT,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Classes and links of every document.
+
+    Columns: doc_id, class_id (least doc_id of its connected class), copy_id (least
+    doc_id with the same shingle set), n_links (other documents at the similarity or
+    above, copies included), n_text_links (different sets among them).
+    """
+    return rows_of(docs, id, text, similarity, recall, split, block).drop("mark")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
