@@ -65,6 +65,12 @@ def test_long_runs_are_linear():
         pii.find(text)
 
 
+def test_long_runs_of_zeros_in_addresses():
+    text = "0" * 5000 + ".1.1.1"
+    assert [(s.kind, s.start, s.end) for s in pii.find(text) if s.kind == "ip"] == [("ip", 0, len(text))]
+    assert not [s for s in pii.find("0" * 5000 + "256.1.1.1") if s.kind == "ip"]
+
+
 def test_personal_data_rows(spark):
     docs = fixtures.frame(spark)
     rows = pii.report(pii.scan(docs)).collect()
