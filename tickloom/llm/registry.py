@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tickloom.llm import classifier, fertility, jaccard, lines, mixing, packing, pii, secrets, tokens, topk
+from tickloom.llm import (
+    classifier,
+    copies,
+    fertility,
+    jaccard,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    pii,
+    secrets,
+    tokens,
+    topk,
+    whitening,
+)
 
 QUERIES = {
     "op1_norm_buckets": topk.query,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_source_schedule": mixing.query,
     "op9_length_buckets": packing.query,
     "op10_wavelet_shards": tokens.query,
+    "op11_threshold_negatives": negatives.query,
+    "op12_bloom_dedup": copies.query,
+    "op13_lanczos_whitening": whitening.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -23,4 +40,6 @@ ORACLE = {
     "op4_line_dedup": lines.SQL,
     "op6_secret_ledger": secrets.SQL,
     "op8_source_schedule": mixing.SQL,
+    "op11_threshold_negatives": negatives.SQL,
+    "op12_bloom_dedup": copies.SQL,
 }
