@@ -194,7 +194,7 @@ def threshold_join(rows: DataFrame, plan: DataFrame, asks: DataFrame, k: int) ->
     spread = F.xxhash64("vec_id", "label", "vector")
     asks = asks.withColumn("dim", F.size("vector"))
     parts = asks.groupBy("dim").agg(F.ceil(F.count("*") / ASKS).cast("long").alias("parts"))
-    plan = stored(plan.join(parts, "dim"), "ask-blocks")
+    plan = plan.join(parts, "dim")
     keys = ["dim", "length", "block", "part"]
     # A row meets every block of asks, an ask every block of rows.
     left = rows.join(plan, ["dim", "length"]).select(
@@ -250,8 +250,8 @@ def filled(
         if last:
             results.append(found)
             break
-        full = found.groupBy("ask").agg(F.count("*").alias("n")).where(F.col("n") >= k)
-        full = stored(full.select("ask"), f"{name}-{turn}-full")
+        # An ask has its k-th row or none.
+        full = found.where(F.col("rank") == k).select("ask")
         results.append(found.join(full, "ask", "left_semi"))
         asks = stored(asks.join(full, "ask", "left_anti"), f"{name}-{turn}-rest")
         if asks.isEmpty():
