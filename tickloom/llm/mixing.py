@@ -13,7 +13,8 @@ Targets: the sources share ``total`` of all sizes by weight; no target is above
 
 Defined cases: a null text has size 0; null is a source of its own, the last;
 documents of size 0 are never taken; repeated rows are documents of their own
-(equal rows tie, whichever comes first gets the same total); an empty table gives
+(equal rows tie, whichever comes first gets the same total); more than
+``MAX_SOURCES`` sources are an error; an empty table gives
 an empty result; other columns of the input are left out.
 """
 
@@ -24,7 +25,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import running_total, stored, table, word_count
+from tickloom.llm.tables import each_copy, running_total, stored, table, word_count
 
 # Fixed values of the mix.
 WEIGHTS = (3, 1, 2)
@@ -33,10 +34,14 @@ MOST = 2
 GOLDEN = 0.6180339887498949
 # Blocks for a document of average size: finer blocks come nearer to the targets.
 BLOCKS_PER_DOC = 4
+# Cells of the line that points and sources meet in, at least.
+CELLS = 1 << 12
 # Golden-ratio slots beyond the mix's size, as a part of it, so that few sources lack some.
 SPARE = 0.02
 # Rows that one window sorts.
 CHUNK_ROWS = 4096
+# Sources are ordered by one task, which is checked against this bound.
+MAX_SOURCES = 1 << 20
 
 
 def place_of(id: str, text: str) -> Column:
@@ -61,7 +66,7 @@ def targets(docs: DataFrame) -> DataFrame:
     sources in that order, the first ``k`` are capped where the share of the
     others, ``(total - capped) / weights left``, stays below the next cap.
     """
-    # Window without partitions: these are rows of sources, not of documents.
+    # Windows without partitions: these are rows of sources, at most MAX_SOURCES.
     per = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("idx") % len(WEIGHTS) + 1).cast("int"))
@@ -115,40 +120,46 @@ def lacking(ranked: DataFrame, shares: DataFrame, count: int) -> DataFrame:
     return rows.withColumn("slot", slot).select(*ranked.columns)
 
 
-def slots(sources: DataFrame, reach: bool = True) -> DataFrame:
+def slots(sources: DataFrame) -> DataFrame:
     """The schedule: slot, idx, rank of the slot within its source, block, take.
 
-    ``take`` is how many words the slot takes from its block's start. Without
-    ``reach`` the schedule ends with the golden-ratio slots, whatever sources lack.
+    ``take`` is how many words the slot takes from its block's start.
     """
     spark = sources.sparkSession
     shares = sources.where("target > 0")
     ends = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shares = shares.withColumn("high", F.sum("target").over(ends))
-    # A few numbers per source, not per document, go to the driver and into the plan.
-    rows = shares.orderBy("idx").collect()
-    if not rows:
+    shares = stored(shares.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("idx")), F.lit(0.0))), "shares")
+    last = shares.agg(F.max("high"), F.max("block"), F.count("*")).first()
+    total, block, n_sources = last
+    if not n_sources:
         return spark.createDataFrame([], "slot long, idx int, rank long, nth long, start long, take long")
-    total, block = rows[-1]["high"], rows[-1]["block"]
     count = int(total / block * (1 + SPARE)) + 1
     point = (F.col("slot") + 1) * F.lit(GOLDEN)
     points = spark.range(count).withColumnRenamed("id", "slot")
     points = points.withColumn("at", (point - F.floor(point)) * F.lit(total))
-    place = F.size(F.filter(F.lit([r["high"] for r in rows]), lambda high: high <= F.col("at")))
-    points = points.withColumn("place", place + 1).where(F.col("place") <= len(rows))
+    # Points meet sources in cells of the line from 0 to the total. A source lies in
+    # the cells that its share covers, so the slots of a hot source spread over many.
+    cells = max(CELLS, n_sources)
 
-    def of(name: str) -> Column:
-        return F.element_at(F.lit([r[name] for r in rows]), F.col("place")).alias(name)
+    def cell(at: str) -> Column:
+        return F.floor(F.col(at) / F.lit(total) * F.lit(cells))
 
-    placed = points.select(
-        "slot", of("idx"), of("source_size"), of("target"), F.lit(block).alias("block")
+    covered = shares.select(
+        "idx", "source_size", "target", "block", "low", "high",
+        F.explode(F.sequence(cell("low"), cell("high"))).alias("cell"),
+    )
+    placed = (
+        points.withColumn("cell", cell("at"))
+        .join(covered, "cell")
+        .where((F.col("at") >= F.col("low")) & (F.col("at") < F.col("high")))
+        .select("slot", "idx", "source_size", "target", "block")
     )
     ranked = running_total(
         placed, ["idx"], ["slot"], F.lit(1), "rank", F.floor(F.col("slot") / CHUNK_ROWS)
     )
-    if reach:
-        ranked = stored(ranked, "slots")
-        ranked = ranked.unionByName(lacking(ranked, shares, count))
+    ranked = stored(ranked, "slots")
+    ranked = ranked.unionByName(lacking(ranked, shares, count))
     blocks = F.ceil(F.col("source_size") / F.col("block"))
     ranked = ranked.withColumn("nth", F.col("rank") % blocks)
     start = F.col("nth") * F.col("block")
@@ -170,19 +181,19 @@ def pieces(placed: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    reach: bool = True,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
     """What the mix takes of each document.
 
     Columns: doc_id, place, source, size, source_size, target, taken, offset.
-    Without ``reach`` sources may stay below their targets, see ``slots``.
     """
     rows = stored(sized(docs, id, text, source), "sizes")
+    n_sources = rows.select("source").distinct().count()
+    if n_sources > MAX_SOURCES:
+        raise ValueError(f"{n_sources} sources, at most {MAX_SOURCES} can be mixed")
     sources = stored(targets(rows), "sources")
+    # Equal rows are one entry with a number of copies, which lie side by side.
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
     known = sources.withColumnRenamed("source", "_source")
     line = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     # Chunks of a line: so many digits of the place that a chunk has a few thousand rows.
@@ -191,11 +202,19 @@ def mix(
     while n > cells * CHUNK_ROWS // 4:
         digits, cells = digits + 1, cells * 16
     line = running_total(
-        line, ["idx"], ["place", "doc_id"], F.col("size"), "offset", F.substring("place", 1, digits)
+        line,
+        ["idx"],
+        ["place", "doc_id"],
+        F.col("size") * F.col("copies"),
+        "offset",
+        F.substring("place", 1, digits),
     )
-    line = stored(line, "line")
+    line = each_copy(line, "copies", "nth").withColumn(
+        "offset", F.col("offset") + F.col("nth") * F.col("size")
+    )
+    line = stored(line.drop("copies", "nth"), "line")
     parts = pieces(line)
-    plan = slots(sources, reach).select("idx", "nth", "start", "take")
+    plan = slots(sources).select("idx", "nth", "start", "take")
     low = F.greatest(F.col("offset"), F.col("start"))
     high = F.least(F.col("offset") + F.col("size"), F.col("start") + F.col("take"))
     took = F.greatest(F.lit(0), high - low)
@@ -221,8 +240,8 @@ def mix(
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op8: the mix of all documents, by the golden-ratio slots only, as its SQL twin says."""
-    mixed = mix(table(spark, sf_dir, "documents"), reach=False)
+    """op8: the mix of all documents."""
+    mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -259,39 +278,14 @@ def mix_sql(documents: str = "documents") -> str:
     ),
     aimed AS (
         SELECT idx, source, source_size,
-            CASE WHEN o.ord >= l.ord THEN l.share * weight ELSE CAST(source_size * {MOST} AS DOUBLE) END AS target,
-            greatest(1, floor((sum(source_size) OVER ())::BIGINT / (sum(n) OVER ())::BIGINT / {BLOCKS_PER_DOC}))::BIGINT AS block
+            CASE WHEN o.ord >= l.ord THEN l.share * weight ELSE CAST(source_size * {MOST} AS DOUBLE) END AS target
         FROM ordered o, level l
     ),
-    shares AS (
-        SELECT *, sum(target) OVER (ORDER BY idx) AS high,
-            coalesce(sum(target) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low
-        FROM aimed WHERE target > 0
-    ),
-    total AS (SELECT max(high) AS total, max(block) AS block FROM shares),
-    points AS (
-        SELECT slot, ((slot + 1) * {GOLDEN}::DOUBLE - floor((slot + 1) * {GOLDEN}::DOUBLE)) * total AS at
-        FROM (SELECT total, unnest(range(0, CAST(floor(total / block * {1 + SPARE}::DOUBLE) AS BIGINT) + 1)) AS slot
-              FROM total)
-    ),
-    ranked AS (
-        SELECT idx, source_size, target, block,
-            row_number() OVER (PARTITION BY idx ORDER BY slot) - 1 AS rank
-        FROM points p JOIN shares s ON p.at >= s.low AND p.at < s.high
-    ),
-    reached AS (
-        SELECT idx, least(
-            any_value(floor(target + 0.5)::BIGINT),
-            max((rank // ceil(source_size / block)::BIGINT) * source_size
-                + least(source_size, (rank % ceil(source_size / block)::BIGINT + 1) * block))
-        ) AS taken
-        FROM ranked GROUP BY idx
-    ),
     lines AS (
-        SELECT z.doc_id, z.text, z.source, z.size, a.source_size, a.target, coalesce(r.taken, 0) AS all_taken,
+        SELECT z.doc_id, z.text, z.source, z.size, a.source_size, a.target, floor(a.target + 0.5)::BIGINT AS all_taken,
             coalesce(sum(z.size) OVER (PARTITION BY a.idx ORDER BY z.place, z.doc_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
-        FROM sizes z JOIN aimed a ON z.source IS NOT DISTINCT FROM a.source LEFT JOIN reached r ON r.idx = a.idx
+        FROM sizes z JOIN aimed a ON z.source IS NOT DISTINCT FROM a.source
     ),
     mixed AS (
         SELECT doc_id, text, source, size, source_size, target,

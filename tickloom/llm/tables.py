@@ -13,6 +13,8 @@ from tickloom.session import scratch_dir
 BLANK = r"\x20\x09-\x0D"
 WORD = f"[^{BLANK}]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
+# Copies of one row that one task makes at once.
+COPIES = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def each_copy(rows: DataFrame, copies: str, nth: str) -> DataFrame:
+    """A row for each of its copies, numbered from 0.
+
+    A row with very many copies is first cut into parts that are dealt over tasks.
+    """
+    zero, number = F.lit(0).cast("long"), F.col(copies)
+    few = rows.where(number <= COPIES).withColumn(nth, F.explode(F.sequence(zero, number - 1)))
+    part = F.explode(F.sequence(zero, F.floor((number - 1) / COPIES)))
+    many = rows.where(number > COPIES).withColumn("_part", part)
+    start = F.col("_part") * COPIES
+    end = F.least(start + COPIES, number) - 1
+    many = many.repartition("_part").withColumn(nth, F.explode(F.sequence(start, end)))
+    return few.unionByName(many.drop("_part"))
+
+
 def word_count(text: Column | str) -> Column:
     """Words of a text as long; null has none."""
     text = F.col(text) if isinstance(text, str) else text
