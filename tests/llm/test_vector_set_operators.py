@@ -263,6 +263,8 @@ def test_mix_reaches_every_target(spark):
     assert {s: taken[s] for s in target} == target
     found = plain_targets(sizes)
     assert all(abs(target[s] - found[s]) <= 0.5 + 1e-6 for s in target)
+    rows = mixing.mix(df.limit(0)).count() + mixing.mix(df.where("source = 'none'")).count()
+    assert rows == 1
     plan = mixing.slots(mixing.targets(mixing.sized(df))).collect()
     assert len({r.slot for r in plan}) == len(plan)
     ranks: dict = {}
@@ -289,6 +291,47 @@ def test_best_boundaries():
         assert len(ends) <= k and cost(ends) == best
 
 
+def test_boundaries_of_many_lengths():
+    rng = np.random.default_rng(8)
+    lengths, counts = np.unique(np.floor(np.exp(rng.normal(6, 1.5, 3000))).astype(int), return_counts=True)
+    bins = list(zip(lengths.tolist(), counts.tolist(), strict=True))
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    cost = np.concatenate([[0.0], np.full(len(bins), np.inf)])
+    for _ in range(7):  # every split is tried
+        cost = np.array([0.0] + [
+            (cost[:j] + lengths[j - 1] * (upto[j] - upto[:j])).min() for j in range(1, len(bins) + 1)
+        ])
+    ends = np.array(packing.boundaries(bins, 7))
+    assert (ends[np.searchsorted(ends, lengths)] * counts).sum() == cost[-1]
+
+
+def test_copies_of_one_row_are_mixed_and_packed(spark, monkeypatch):
+    from tickloom.llm import tables
+
+    monkeypatch.setattr(tables, "COPIES", 16)
+    rows = [(1, "a b c", "s")] * 500 + [(i, "x " * (i % 9 + 1), f"s{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(df).collect()
+    assert Counter(r.doc_id for r in mixed) == Counter(r[0] for r in rows)
+    assert len({(r.source, r.offset) for r in mixed}) == len(mixed)
+    assert all(r.taken <= 2 * r.size for r in mixed)
+    packed = packing.pack(df, budget=64).collect()
+    assert Counter(r.doc_id for r in packed) == Counter(r[0] for r in rows)
+    assert len({(r.bucket, r.batch, r.place) for r in packed}) == len(packed)
+
+
+def test_padding_of_long_documents_is_least(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "EXACT", 32)
+    lengths = [5, 30, 33, 70, 71, 1000, 1001, 5000, 5001, 5002]
+    df = spark.createDataFrame([(i, "t", n) for i, n in enumerate(lengths)], "doc_id long, text string, tokens int")
+    found = packing.pack(df, buckets=4, length=F.col("tokens")).collect()
+    assert {r.length: r.bucket for r in found} == {
+        5: 33, 30: 33, 33: 33, 70: 71, 71: 71, 1000: 1001, 1001: 1001, 5000: 5002, 5001: 5002, 5002: 5002,
+    }
+
+
 def test_packing(spark):
     rows = packing.pack(fixtures.frame(spark), budget=1000).collect()
     lengths = Counter((d[0], len(WORD.findall(d[1] or ""))) for d in fixtures.documents())
@@ -312,7 +355,7 @@ def test_bins_hold_their_lengths(spark):
     rows = spark.range(0, 200_000, 7).select("id", packing.bin_top(F.col("id")).alias("top")).collect()
     tops = [r.top for r in rows]
     assert tops == sorted(tops)
-    assert all(r.id <= r.top <= max(r.id, 512) * 1.04 for r in rows)
+    assert all(r.id <= r.top <= max(r.id, packing.EXACT) * 1.04 for r in rows)
 
 
 def test_pipeline_stages(spark, tmp_path):
