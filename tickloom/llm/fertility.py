@@ -35,7 +35,7 @@ BLANKS = b" \t\n\x0b\x0c\r"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-# A worker forgets the encoded words when it has this many.
+# A worker numbers words anew when it has this many; it still knows the tokens of those.
 MAX_WORDS = 300_000
 
 
@@ -85,13 +85,20 @@ class Words:
         self.encoder = SentencePieceProcessor(model_file=path)
         self.numbers: dict[bytes, int] = {}
         self.tokens: list[bytes] = []
+        self.older: tuple[dict[bytes, int], list[bytes]] = ({}, [])
 
     def learn(self, texts: list[list[bytes]]) -> None:
         if len(self.tokens) > MAX_WORDS:
+            self.older = self.numbers, self.tokens
             self.numbers, self.tokens = {}, []
-        new = list(set().union(*texts) - self.numbers.keys())
+        missing = set().union(*texts) - self.numbers.keys()
+        numbers, tokens = self.older
+        known = list(missing & numbers.keys())
+        new = list(missing.difference(known))
         ids = self.encoder.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-        self.numbers.update(zip(new, range(len(self.tokens), len(self.tokens) + len(new)), strict=True))
+        first = len(self.tokens)
+        self.numbers.update(zip(known + new, range(first, first + len(missing)), strict=True))
+        self.tokens.extend(tokens[numbers[w]] for w in known)
         self.tokens.extend(array("H", i).tobytes() for i in ids)
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
