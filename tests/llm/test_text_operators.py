@@ -234,7 +234,7 @@ def test_pieces_give_the_same_ids(text):
     encoder = tokens.encoder_of(public_tokenizers.path(tokens.VOCABULARY))
     for value in (text, f"it's  {text}\n\nwe'll", text + "日本 <|endoftext|>"):
         want = encoder.tokenizer.encode(value, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode([value])[0], np.uint16).tolist() == want
+        assert np.frombuffer(encoder.encode(value), np.uint16).tolist() == want
 
 
 @settings(max_examples=100, deadline=None)
@@ -261,9 +261,12 @@ def test_token_files(spark, tmp_path, tokenizer, shard_tokens):
     shards = tokens.read_shards(spark, path)
     rows = tokens.decoded(shards).join(tokens.shard_starts(shards), ["part", "shard"]).collect()
     rows.sort(key=lambda r: r.before + r.offset)
-    source = sorted(fixtures.documents(), key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
+    named = docs.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) AS name").collect()
+    source = sorted(named, key=lambda d: (d[0] is not None, d[0] or 0, d[2]))
+    sums = tokens.decoded(shards, digest=True).collect()
+    assert Counter(r.ids_crc32 for r in sums) == Counter(zlib.crc32(r.ids) for r in rows)
     at = 0
-    for row, (doc_id, text, *_) in zip(rows, source, strict=True):
+    for row, (doc_id, text, _) in zip(rows, source, strict=True):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, tokens.END]
         assert (row.doc_id, row.before + row.offset) == (doc_id, at)
         assert np.frombuffer(row.ids, "<u4").tolist() == ids
@@ -272,6 +275,47 @@ def test_token_files(spark, tmp_path, tokenizer, shard_tokens):
     assert tokens.decoded(tokens.read_shards(spark, str(tmp_path / "none"))).count() == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b'll", "it's", "x\ny", "é,", "\n", "", " ", "\t", "7th", "end.\n\nNew"]), max_size=30))
+def test_words_give_the_same_ids(parts):
+    encoder = tokens.encoder_of(public_tokenizers.path(tokens.VOCABULARY))
+    for value in (" ".join(parts), "".join(parts)):
+        want = encoder.tokenizer.encode(value, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(value), np.uint16).tolist() == want
+
+
+def test_memory_keeps_what_is_in_use(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_PIECES", 8)
+    monkeypatch.setattr(fertility, "MAX_WORDS", 8)
+    encoder = tokens.Encoder(public_tokenizers.path(tokens.VOCABULARY))
+    fresh = fertility.Words(public_tokenizers.path(fertility.VOCABULARY))
+    rng = random.Random(4)
+    for _ in range(60):
+        words = [f"word{rng.randrange(30)}" for _ in range(20)]
+        want = encoder.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(" ".join(words)), np.uint16).tolist() == want
+        assert len(encoder.pieces) <= 4 and len(encoder.pieces.older) <= 4
+        raw = [w.encode() for w in words]
+        fresh.learn([raw])
+        numbers, ids = fresh.encode(raw)
+        assert len(set(numbers.tolist())) == len(set(words))
+        assert ids.tolist() == [i for w in words for i in fresh.encoder.encode(w)]
+
+
+def test_a_hot_id_fills_several_files(spark, tmp_path):
+    rows = [(7, f"text {i}") for i in range(2000)] + [(8, "same")] * 2000 + [(i, "t") for i in range(500)]
+    path = str(tmp_path / "hot")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    tokens.write_shards(df, path)
+    shards = tokens.read_shards(spark, path)
+    decoded = tokens.decoded(shards).select("part", "doc_id").collect()
+    for hot in (7, 8):
+        assert len({r.part for r in decoded if r.doc_id == hot}) > 1
+    ordered = [r.doc_id for r in sorted(decoded, key=lambda r: r.part)]
+    assert Counter(ordered) == Counter(r[0] for r in rows)
+    assert ordered == sorted(ordered)
+
+
 def test_random_lines(spark):
     rng = random.Random(5)
     shared = [f"{c * 45} {i}" for i, c in enumerate("abcdefg")]
