@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import aggregate, combine, series, skew
+from tickloom.operators import aggregate, combine, ranges, series, skew
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "entity string, ts timestamp, id long, price double, baseline double"
@@ -47,7 +47,7 @@ def test_split_lag_equals_plain_lag(spark, burst, n, chunks):
     df = skewed(spark, burst=burst)
     want = pandas_sorted(df)
     want["prev"] = want.groupby("entity").price.shift(n)
-    got = skew.previous_value(df, "price", "prev", n, chunks=chunks).toPandas()
+    got = ranges.previous_value(df, "price", "prev", n, chunks=chunks).toPandas()
     merged = want.merge(got, on="id", suffixes=("", "_got"))
     assert len(got) == len(want) == len(merged)
     pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
@@ -72,7 +72,7 @@ def test_unknown_times_and_text_ids_are_split_too(spark):
     for df in (no_time, skewed(spark, burst=True).withColumn("id", F.format_string("%05d", "id"))):
         want = pandas_sorted(df)
         want["prev"] = want.groupby("entity").price.shift(1)
-        got = skew.previous_value(df, "price", "prev", 1, chunks=10).toPandas()
+        got = ranges.previous_value(df, "price", "prev", 1, chunks=10).toPandas()
         merged = want.merge(got, on="id", suffixes=("", "_got"))
         pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
 
@@ -114,7 +114,7 @@ def test_unknown_entity_is_split_too(spark):
     want = pandas_sorted(df)
     groups = want.groupby("entity", dropna=False)
     want["prev"], want["idx"] = groups.price.shift(1), groups.cumcount()
-    got = skew.position(skew.previous_value(df, "price", "prev", 1, chunks=10), chunks=10)
+    got = skew.position(ranges.previous_value(df, "price", "prev", 1, chunks=10), chunks=10)
     merged = want.merge(got.toPandas(), on="id", suffixes=("", "_got"))
     pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
     assert (merged.idx == merged.time_idx).all()
@@ -129,18 +129,18 @@ def test_more_chunks_than_borders(spark, monkeypatch):
     assert (chunks.diff().dropna() >= 0).all() and chunks.nunique() > 16
     want = pandas_sorted(df)
     want["prev"] = want.groupby("entity").price.shift(2)
-    got = skew.previous_value(df, "price", "prev", 2, chunks=40).toPandas()
+    got = ranges.previous_value(df, "price", "prev", 2, chunks=40).toPandas()
     merged = want.merge(got, on="id", suffixes=("", "_got"))
     pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
 
 
 def test_sampled_borders_give_the_same_result(spark, monkeypatch):
     monkeypatch.setattr(skew, "SAMPLE_PER_CHUNK", 10)
-    monkeypatch.setattr(skew, "input_bytes", lambda df: 50_000)
+    monkeypatch.setattr(ranges, "input_bytes", lambda df: 50_000)
     df = skewed(spark, burst=True)
     want = pandas_sorted(df)
     want["prev"] = want.groupby("entity").price.shift(1)
-    got = skew.previous_value(df, "price", "prev", 1, chunks=25).toPandas()
+    got = ranges.previous_value(df, "price", "prev", 1, chunks=25).toPandas()
     merged = want.merge(got, on="id", suffixes=("", "_got"))
     pd.testing.assert_series_equal(merged.prev, merged.prev_got, check_names=False)
     sizes = skew.with_chunks(df, "entity", ["ts", "id"], 25)[0].groupBy("entity", skew.CHUNK)
@@ -314,3 +314,27 @@ def test_split_by_time(spark):
 def test_unreadable_time_is_hour_zero(spark):
     out = series.ml_features(ticks(spark, [("a", None, 1, 1.0), ("a", at(180), 2, 1.0)])).orderBy("id")
     assert [(r.time_idx, r.hour) for r in out.collect()] == [(0, 0), (1, 3)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_lag_of_short_entities_over_many_ranges(spark, n):
+    """Entities that span several ranges, end inside one or are shorter than the lag."""
+    sizes = {"a": 1, "b": 2, "c": 5, "d": 40, None: 3, "e": 1, "f": 17}
+    rows = [(e, None if i == 0 else i, i, float(i)) for e, size in sizes.items() for i in range(size)]
+    df = spark.createDataFrame(rows, "entity string, ts int, id int, price double").repartition(3)
+    for parts in (1, 4, 30, 200):
+        found = ranges.previous_value(df, "price", "prev", n, chunks=parts).collect()
+        assert len(found) == len(rows)
+        assert all(r.prev == (r.price - n if r.price >= n else None) for r in found)
+    both = ranges.previous_value(df, "price", "prev", n, chunks=5)
+    twice = both.unionByName(both).collect()
+    assert all(r.prev == (r.price - n if r.price >= n else None) for r in twice)
+    assert ranges.previous_value(df.limit(0), "price", "prev", n).count() == 0
+
+
+def test_lag_reads_one_exchange_of_the_rows(spark):
+    df = ranges.previous_value(skewed(spark), "price", "prev", 2, chunks=6)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Exchange rangepartitioning") == 1 and "ReusedExchange" in final

@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import alert_class, pct_change
-from tickloom.operators.skew import position, previous_value
+from tickloom.operators.ranges import previous_value
+from tickloom.operators.skew import position
 from tickloom.session import stored
 
 

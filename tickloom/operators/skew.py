@@ -1,4 +1,4 @@
-"""Ordered computations per entity that do not put a hot entity into one task.
+"""Positions within an entity that do not put a hot entity into one task.
 
 A window over ``entity`` sorts each entity in a single task. That is fine for
 many small entities, not for one that holds a third of 100 TB. Hot entities are
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.times import micros
-from tickloom.session import input_bytes
+from tickloom.operators.ranges import ROW_BYTES, size_of
 
 CHUNK = "_chunk"
 CHUNK_BYTES = 256 * 1024 * 1024
@@ -39,19 +39,10 @@ CHUNK_BYTES = 256 * 1024 * 1024
 BORDERS = 4096
 # Items of the sketch of hot keys; it misses no key with more than 4 / TRACKED of the rows.
 TRACKED = 1 << 18
-# From here on the optimizer's size says that it knows none.
-UNKNOWN = 1 << 62
 # Stands for an unknown value in an order column; below any time in microseconds.
 BEFORE_ALL = -float(2**62)
-# Rows looked at per chunk to find hot keys and borders, and the bytes of a row.
+# Rows looked at per chunk to find hot keys and borders.
 SAMPLE_PER_CHUNK = 200
-ROW_BYTES = 100
-
-
-def size_of(df: DataFrame) -> int:
-    """Bytes of the input; rows of a source of unknown size are counted."""
-    size = input_bytes(df)
-    return size if size < UNKNOWN else df.count() * ROW_BYTES
 
 
 def default_chunks(df: DataFrame, size: int) -> int:
@@ -170,52 +161,6 @@ def with_carry(rows: DataFrame, carry: DataFrame, by: str) -> DataFrame:
     return rows.join(carry, same, "left")
 
 
-def previous_value(
-    df: DataFrame,
-    value: str,
-    out: str,
-    n: int = 1,
-    by: str = "entity",
-    order: Sequence[str] = ("ts", "id"),
-    chunks: int | None = None,
-) -> DataFrame:
-    """``value`` of the row ``n`` steps earlier within the same entity."""
-    cut, hot = with_chunks(df, by, order, chunks)
-    if not hot:
-        window = W.partitionBy(by).orderBy(*order)
-        return df.withColumn(out, F.lag(value, n).over(window))
-
-    # Last n rows of every chunk of the split entities. The filter on the row
-    # number is applied before the shuffle as well, so little is moved.
-    newest_first = W.partitionBy(by, CHUNK).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    tails = (
-        cut.where(one_of(by, hot))
-        .select(by, CHUNK, *order, F.col(value).alias("_v"))
-        .withColumn("_rev", F.row_number().over(newest_first))
-        .where(F.col("_rev") <= n)
-    )
-    along = W.partitionBy(by).orderBy(*order)
-    carry = (
-        tails.withColumns(
-            {
-                "_before": F.lag(CHUNK).over(along),
-                **{f"_c{j}": F.lag("_v", j).over(along) for j in range(1, n + 1)},
-            }
-        )
-        .where(F.col("_before").isNull() | (F.col("_before") != F.col(CHUNK)))
-        .select(by, CHUNK, *[f"_c{j}" for j in range(1, n + 1)])
-    )
-    local = W.partitionBy(by, CHUNK).orderBy(*order)
-    rows = cut.withColumns(
-        {"_lag": F.lag(value, n).over(local), "_rn": F.row_number().over(local)}
-    )
-    rows = with_carry(rows, carry, by)
-    result = F.col("_lag")
-    for rn in range(1, n + 1):
-        result = F.when(F.col("_rn") == rn, F.col(f"_c{n - rn + 1}")).otherwise(result)
-    return rows.withColumn(out, result).select(*df.columns, out)
-
-
 def position(
     df: DataFrame,
     out: str = "time_idx",
