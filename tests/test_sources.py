@@ -120,6 +120,9 @@ def test_append_is_idempotent_per_batch(spark, tmp_path):
     sinks.append_table(df, path, "b2")
     assert readers.read_table(spark, path).count() == 20
     plain = str(tmp_path / "p")
+    sinks.append_table(df.where("false"), path, "b2")
+    assert spark.read.parquet(path).count() == df.count()
+    sinks.append_table(df, path, "b2")
     sinks.append_table(df, plain)
     sinks.append_table(df, plain)
     assert readers.read_table(spark, plain).count() == 20

@@ -10,7 +10,7 @@ from tickloom import dimensions, schemas
 from tickloom.operators import aggregate, series
 from tickloom.plans import bindings
 from tickloom.sources import readers, sinks
-from tickloom.streaming import jobs
+from tickloom.streaming import jobs, levels
 
 ONE_FILE = {"max_files": 1}
 
@@ -41,7 +41,7 @@ def test_late_files_lose_nothing(spark, late_files, tmp_path):
     out = {n: str(tmp_path / n) for n in ("trend", "changes", "archive", "c1", "c2")}
     query = jobs.stream_trend(source, out["trend"], out["c1"], "1 day")
     query.awaitTermination()
-    assert spark.read.parquet(out["trend"]).select("batch").distinct().count() == 5
+    assert levels.current(spark, out["trend"]) == [(1, 0), (0, 4)]
     assert jobs.read_trend(spark, out["trend"]).agg(F.sum("n")).first()[0] == ticks.count()
     jobs.stream_changes(source, out["changes"], out["archive"], out["c2"]).awaitTermination()
     want = series.price_changes(ticks)
@@ -49,8 +49,40 @@ def test_late_files_lose_nothing(spark, late_files, tmp_path):
     assert rows(got) == rows(want)
 
 
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+def test_late_ticks_repair_only_their_neighbours(spark, sf_dir, tmp_path):
+    """Each tick is written once, and again only if its previous one is new."""
+    path = str(tmp_path / "ticks")
+    ticks = bindings.event_ticks(spark, sf_dir, "user_id")
+    ticks.repartition(8, F.xxhash64("id")).write.parquet(path)
+    out, archive = str(tmp_path / "out"), str(tmp_path / "archive")
+    source = readers.stream_table(spark, path, **ONE_FILE)
+    jobs.stream_changes(source, out, archive, str(tmp_path / "ckpt"), threshold=5.0).awaitTermination()
+    want = series.alerts(ticks)
+    assert rows(jobs.read_changes(spark, out).select(want.columns)) == rows(want)
+    written, received = spark.read.parquet(out), spark.read.parquet(f"{archive}/ticks")
+    per_batch = written.groupBy("batch").count().join(
+        received.groupBy("batch").agg(F.count("*").alias("n")), "batch"
+    )
+    assert per_batch.count() == 8 and per_batch.where("count > 2 * n").isEmpty()
+
+
+def test_ticks_that_come_twice_or_without_time(spark, tmp_path):
+    path = str(tmp_path / "ticks")
+    schema = "entity string, ts timestamp, id long, price double"
+    t = dt.datetime(2026, 5, 11, 9)
+    for part in ([("a", t, 1, 10.0)], [("a", t, 1, 10.0), ("a", None, 2, 5.0)], [("a", None, 1, 4.0)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    out = str(tmp_path / "out")
+    source = readers.stream_table(spark, path, **ONE_FILE)
+    jobs.stream_changes(source, out, str(tmp_path / "a"), str(tmp_path / "c")).awaitTermination()
+    want = series.price_changes(spark.read.parquet(path))
+    assert sorted(map(repr, rows(jobs.read_changes(spark, out).select(want.columns), key=repr))) == sorted(
+        map(repr, rows(want, key=repr))
+    )
+
+
+def rows(df, key=None):
+    return sorted((tuple(r) for r in df.collect()), key=key)
 
 
 def test_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
@@ -61,7 +93,7 @@ def test_changes_equal_the_batch_answer(spark, tick_files, tmp_path):
         got = jobs.read_changes(spark, out)
         want = series.price_changes(spark.read.parquet(tick_files))
         assert rows(got.select(want.columns)) == rows(want)
-    assert spark.read.parquet(f"{out}/rows").select("batch").distinct().count() == 4
+    assert spark.read.parquet(out).select("batch").distinct().count() == 4
 
 
 def test_entities_pause_and_return(spark, tmp_path):
@@ -191,7 +223,7 @@ def test_ingest_normalises_archives_and_keeps_the_newest(spark, tmp_path):
     archive = spark.read.parquet(names["archive"])
     assert archive.count() == 30
     assert {r.entity for r in archive.select("entity").distinct().collect()} == {"Beras", "Jagung"}
-    view = jobs.read_view(spark, names["view"])
+    view = jobs.read_view(spark, names["view"], 12)
     assert view.count() == 12
     assert sorted({r.ts[:10] for r in view.collect()}) == ["2026-05-02", "2026-05-03"]
 
@@ -226,3 +258,23 @@ def test_refresh_runs_after_enough_rows(spark, tick_files, tmp_path):
             want.append(total)
             pending = 0
     assert sizes == want and len(want) >= 1
+
+
+def test_levels_merge_and_replay(spark, tmp_path):
+    path = str(tmp_path / "sums")
+
+    def merge(df):
+        return df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def batch(i):
+        return spark.createDataFrame([("a", 1), (f"b{i % 3}", 10)], "k string, n long")
+
+    for i in range(33):
+        for _ in range(2 if i in (3, 15, 20, 31) else 1):  # some batches run twice
+            levels.add(batch(i), path, i, merge)
+        total = {r.k: r.n for r in merge(levels.read(spark, path)).collect()}
+        assert total["a"] == i + 1 and sum(total.values()) == 11 * (i + 1)
+    assert levels.current(spark, path) == [(2, 0), (2, 16), (0, 32)]
+    assert len(levels.complete(spark, path)) <= 8
+    levels.add(batch(0).where("false"), path, 33, merge)
+    assert sum(r.n for r in levels.read(spark, path).collect()) == 11 * 33

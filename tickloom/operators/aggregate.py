@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.numbers import sign_class, trend_band
 from tickloom.functions.text import holds, needles
 from tickloom.functions.times import truncate_time
+from tickloom.operators.latest import extreme
 from tickloom.operators.match import match_entities
 from tickloom.session import stored
 
@@ -149,7 +150,13 @@ def keyword_correlation(
 
 
 def newest(df: DataFrame, order: Sequence[str | Column], by: str = "entity") -> DataFrame:
-    """The last row per entity by ``order``, combined before the shuffle."""
+    """The last row per entity by ``order``, combined before the shuffle.
+
+    Rows of numbers and times are aggregated by hash, others by sorting.
+    """
+    found = extreme(df, [by], order, last=True)
+    if found is not None:
+        return found.select(by, *[c for c in df.columns if c != by])
     rest = [c for c in df.columns if c != by]
     last = F.max_by(F.struct(*rest), F.struct(*order))
     return df.groupBy(by).agg(last.alias("_last")).select(by, "_last.*")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.dedupe import dedupe
+from tickloom.operators.latest import extreme
 
 
 def merge_priority(
@@ -19,12 +20,18 @@ def merge_priority(
     """Union in which live rows win over history rows of the same key.
 
     Among live rows of a key the last arrival wins, among history rows the
-    first. ``arrival`` is a number.
+    first. ``arrival`` is a number. Rows of one key and arrival are told apart by a
+    hash of the other columns, so the survivor is the same on every run.
     """
-    both = live.withColumn("_rank", F.lit(0)).unionByName(
-        history.withColumn("_rank", F.lit(1))
+    both = live.withColumn("_rank", F.lit(False)).unionByName(
+        history.withColumn("_rank", F.lit(True))
     )
-    turn = F.when(F.col("_rank") == 0, -F.col(arrival)).otherwise(F.col(arrival))
+    turn = F.when(~F.col("_rank"), -F.col(arrival)).otherwise(F.col(arrival))
+    rest = [c for c in both.columns if c not in keys]
+    tie = F.pmod(F.xxhash64(*rest), F.lit(1 << 31)).cast("int")
+    found = extreme(both, list(keys), ["_rank", turn, tie], last=False)
+    if found is not None:
+        return found.drop("_rank")
     return dedupe(both, list(keys), ["_rank", turn]).drop("_rank")
 
 

@@ -437,6 +437,7 @@ ORACLE: dict[str, str] = {
     "topic_roundtrip": f"SELECT entity AS _key, entity, price, ts, id FROM {EVENTS}",
     "stream_dedupe": "SELECT DISTINCT sha256(text) AS link FROM documents",
     "stream_ingest": f"SELECT * FROM {EVENTS}",
+    "stream_view": f"SELECT * FROM {EVENTS} ORDER BY ts DESC, id DESC LIMIT 200",
     "stream_alerts": f"""
         SELECT entity, ts, id, price, prev_price, pct_change, alert FROM {alerts(USERS)}""",
     "stream_trend": f"""

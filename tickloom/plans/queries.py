@@ -480,10 +480,9 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(f"{path}/out")
 
 
-@query
-def stream_ingest(spark, sf):
-    path = scratch_dir(spark, "stream-ingest")
-    ticks = b.as_ticks(_stream(spark, sf, "events")).withColumn("entity", F.upper("entity"))
+def _ingested(spark, sf, name):
+    path = scratch_dir(spark, name)
+    ticks = b.as_ticks(_late_events(spark, sf, path)).withColumn("entity", F.upper("entity"))
     streams.ingest_stream(
         sinks.encode_topic(ticks, "entity"),
         EVENT_TOPIC,
@@ -493,14 +492,27 @@ def stream_ingest(spark, sf):
         f"{path}/ckpt",
         order=("ts", "id"),
     ).awaitTermination()
+    return path
+
+
+@query
+def stream_ingest(spark, sf):
+    path = _ingested(spark, sf, "stream-ingest")
     return readers.read_table(spark, f"{path}/archive").drop(sinks.BATCH)
 
 
+@query
+def stream_view(spark, sf):
+    """The newest 200 ticks after several batches that are not in the order of time."""
+    path = _ingested(spark, sf, "stream-view")
+    return streams.read_view(spark, f"{path}/view", order=("ts", "id"))
+
+
 @query
 def stream_alerts(spark, sf):
     path = scratch_dir(spark, "stream-alerts")
     streams.stream_changes(
-        b.as_ticks(_late_events(spark, sf, path), "user_id"),
+        b.as_ticks(_late_events(spark, sf, path, batches=8), "user_id"),
         f"{path}/out",
         f"{path}/archive",
         f"{path}/ckpt",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,18 +19,17 @@ def append_table(df: DataFrame, path: str, batch_id: str | int | None = None) ->
     """Append rows as they are.
 
     With a batch id, writing the same batch again replaces it instead of
-    doubling its rows.
+    doubling its rows, also if it has none any more.
     """
     if batch_id is None:
         df.write.mode("append").parquet(path)
         return
-    (
-        df.withColumn(BATCH, F.lit(str(batch_id)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    # The batch's own folder, which a batch without rows replaces as well.
+    df.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: str | int) -> str:
+    return f"{path}/{BATCH}={quote(str(batch_id), safe='')}"
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -7,18 +7,21 @@ replayed after a failure replaces its own folder, so every row counts once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.numbers import alert_class
+from tickloom.functions.numbers import alert_class, pct_change
 from tickloom.operators.clean import canonicalize
-from tickloom.operators.series import price_changes, recent
+from tickloom.operators.ranges import previous_value
+from tickloom.operators.series import recent
 from tickloom.sources.readers import decode_topic
-from tickloom.sources.sinks import BATCH, append_table
+from tickloom.sources.sinks import BATCH, append_table, batch_folder
+from tickloom.streaming import levels
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -43,38 +46,25 @@ def _batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch={batch_id}"
 
 
-def _write_slot(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write what the next batch starts from.
-
-    Two folders take turns, so that a batch never replaces the one it was made
-    from and old ones do not pile up.
-    """
-    marked = df.withColumn("batch", F.lit(batch_id).cast("long"))
-    marked.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
-
-
-def _read_slot(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """What a batch left behind, None before the first; a missing or broken one is an error."""
-    if batch_id < 0:
-        return None
-    df = spark.read.parquet(f"{path}/slot={batch_id % 2}")
-    return df.where(F.col("batch") == batch_id).drop("batch")
-
-
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """All rows written by a stream's batches."""
     return spark.read.parquet(path).drop("batch")
 
 
-def read_trend(spark: SparkSession, path: str) -> DataFrame:
-    """The statistics of every window, merged from all batches that had ticks of it."""
-    merged = spark.read.parquet(path).groupBy("entity", "period").agg(
-        F.sum("total").alias("_total"),
+def merge_sums(sums: DataFrame) -> DataFrame:
+    """Sums per entity and window of several batches to one."""
+    return sums.groupBy("entity", "period").agg(
+        F.sum("total").alias("total"),
         F.min("price_min").alias("price_min"),
         F.max("price_max").alias("price_max"),
         F.sum("n").alias("n"),
     )
-    mean = F.try_divide(F.col("_total"), F.col("n")).alias("price_avg")
+
+
+def read_trend(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics of every window, merged from all batches that had ticks of it."""
+    merged = merge_sums(levels.read(spark, path))
+    mean = F.try_divide(F.col("total"), F.col("n")).alias("price_avg")
     return merged.select("entity", "period", mean, "price_min", "price_max", "n")
 
 
@@ -120,6 +110,7 @@ def stream_trend(
     """Write each batch's sums per entity and window; read them with ``read_trend``.
 
     Sums of batches add up in any order, so late ticks count whenever they arrive.
+    Batches are merged level by level.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -131,7 +122,7 @@ def stream_trend(
             F.count("price").alias("n"),
         )
         sums = sums.withColumn("period", F.col("w.start")).drop("w")
-        sums.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        levels.add(sums, out, batch_id, merge_sums)
 
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
@@ -144,50 +135,97 @@ def stream_changes(
     threshold: float | None = None,
     chunks: int | None = None,
     trigger: dict | None = None,
-    buckets: int = 64,
+    cell: str = "day",
 ) -> StreamingQuery:
-    """Change against the previous tick of the entity, across batches.
-
-    Ticks are archived by entity bucket. A batch computes the entities that it has
-    ticks of again, from the buckets that hold them, so a late tick also corrects
-    the rows after it. Read the result with ``read_changes``.
+    """Change against the previous tick of the entity, across batches; late ticks repair.
+
+    The archive holds the ticks by cells of (entity, period ``cell``) and, for each batch
+    and cell, its first and last tick. A new tick's neighbours are in its own cell or at
+    the end of another cell of the entity, so a batch reads the cells that it has ticks
+    of and, beside them, only such end ticks. It writes its own ticks and the rows whose
+    previous tick is now one of them: at most two rows for each new tick. Read the result
+    with ``read_changes``, which takes the latest row of every tick.
     """
-    columns = ["entity", "ts", "id", "price"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("entity"), F.lit(buckets)).cast("int")
-        ticks = batch.select(*columns).withColumn("bucket", bucket)
-        own = _batch_folder(archive, batch_id)
-        ticks.write.mode("overwrite").partitionBy("bucket").parquet(own)
-        touched = spark.read.parquet(own).select("entity", "bucket").distinct()
-        touched.drop("bucket").write.mode("overwrite").parquet(
-            _batch_folder(f"{out}/entities", batch_id)
+        cells = Observation()
+        own = archived(spark, batch, archive, batch_id, cell, cells)
+        span = cells.get
+        if not span["n"]:
+            return
+        earlier = F.col("batch") < batch_id
+        in_span = F.col("period").isNull() | F.col("period").between(span["first"], span["last"])
+        ticks = spark.read.schema(own.schema).parquet(f"{archive}/ticks").where(earlier)
+        ends = spark.read.schema(own.schema).parquet(f"{archive}/ends").where(earlier)
+        # Hashes tell cells and entities; one that is met by chance only adds a candidate.
+        near = ticks.where(in_span).join(own.select("cell").distinct(), "cell", "left_semi")
+        aside = ends.join(own.select("who").distinct(), "who", "left_semi").join(
+            own.select("cell").distinct(), "cell", "left_anti"
         )
-        held = [r.bucket for r in touched.select("bucket").distinct().collect()]
-        rows = spark.read.parquet(archive).where(
-            (F.col("batch") <= batch_id) & F.col("bucket").isin(held)
+        candidates = near.unionByName(aside).withColumn("_new", F.lit(False))
+        candidates = candidates.unionByName(own.withColumn("_new", F.lit(True)))
+        candidates = candidates.select(*TICK, F.struct("price", "_new").alias("_tick"))
+        found = previous_value(
+            candidates, "_tick", "_previous", order=["ts", "id", "batch", "nth"], chunks=chunks
         )
-        active = touched.select(F.col("entity").alias("_active"))
-        same = F.col("entity").eqNullSafe(F.col("_active"))
-        changes = price_changes(rows.join(active, same, "left_semi").select(*columns), chunks=chunks)
+        changed = F.col("_tick._new") | F.coalesce("_previous._new", F.lit(False))
+        found = found.where(changed).withColumn("prev_price", F.col("_previous.price"))
+        changes = found.withColumn("pct_change", pct_change("price", "prev_price", zero=None))
         if threshold is not None:
             changes = changes.withColumn("alert", alert_class("pct_change", threshold))
-            changes = changes.where(F.col("alert").isNotNull())
-        changes.write.mode("overwrite").parquet(_batch_folder(f"{out}/rows", batch_id))
+        changes = changes.drop("_tick", "_previous").withColumnRenamed("batch", "tick_batch")
+        changes.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
 
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
+# A tick is told apart from all others by its batch and its number there.
+TICK = ["entity", "ts", "id", "price", "batch", "nth"]
+
+
+def archived(
+    spark: SparkSession, batch: DataFrame, archive: str, batch_id: int, cell: str, cells: Observation
+) -> DataFrame:
+    """Write a batch's ticks by cell, and each cell's first and last one; give the ticks back."""
+    period = F.date_trunc(cell, F.col("ts").cast("timestamp")).alias("period")
+    ticks = batch.select(
+        "entity",
+        "ts",
+        "id",
+        "price",
+        F.monotonically_increasing_id().alias("nth"),
+        F.xxhash64("entity").alias("who"),
+        F.xxhash64("entity", period).alias("cell"),
+        period,
+    )
+    ticks = ticks.observe(
+        cells,
+        F.count(F.lit(1)).alias("n"),
+        F.min("period").alias("first"),
+        F.max("period").alias("last"),
+    )
+    # Sorted by period, so that a reader of a span of time skips the other row groups.
+    folder = _batch_folder(f"{archive}/ticks", batch_id)
+    ticks.sortWithinPartitions("period", "who").write.mode("overwrite").parquet(folder)
+    own = spark.read.schema(ticks.schema).parquet(folder)
+    own = own.withColumn("batch", F.lit(batch_id).cast("long"))
+    place = F.struct("ts", "id", "nth")
+    ends = own.groupBy("cell").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    ends = ends.select(F.explode(F.array_distinct(F.array("first.nth", "last.nth"))).alias("nth"))
+    at_ends = own.drop("batch").join(ends, "nth", "left_semi")
+    at_ends.write.mode("overwrite").parquet(_batch_folder(f"{archive}/ends", batch_id))
+    return own
+
+
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Each entity's rows from the latest batch that had ticks of it."""
-    last = spark.read.parquet(f"{path}/entities").groupBy("entity").agg(F.max("batch").alias("_last"))
-    last = last.withColumnRenamed("entity", "_entity")
-    rows = spark.read.parquet(f"{path}/rows")
-    same = F.col("entity").eqNullSafe(F.col("_entity")) & (F.col("batch") == F.col("_last"))
-    return rows.join(last, same, "left_semi").drop("batch")
+    """The latest row of every tick; with a threshold, those that are alerts."""
+    rows = spark.read.parquet(path)
+    tick = ["tick_batch", "nth"]
+    # Only ticks that were written again have older rows; numbers are compared, not rows.
+    last = rows.groupBy(*tick).agg(F.max("batch").alias("batch"))
+    latest = rows.join(last, [*tick, "batch"], "left_semi").drop(*tick, "batch")
+    return latest.where(F.col("alert").isNotNull()) if "alert" in rows.columns else latest
 
 
 def ingest_stream(
@@ -204,28 +242,27 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Decode a topic, unify names, archive all rows and keep the newest ones.
 
-    The archive has a folder per batch; the view of a batch is made from the
-    view of the batch before and the new rows.
+    The archive has a folder per batch, and so has the view: the newest rows of a batch.
+    No batch depends on what an earlier one left; the newest rows of all are among the
+    newest of each. Batches of the view are merged level by level. Read it with
+    ``read_view``.
     """
+    newest = partial(recent, n=n_recent, order=order)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = canonicalize(decode_topic(batch, schema, fields).drop("_key"), aliases).persist()
-        try:
-            append_table(rows, archive, batch_id)
-            before = _read_slot(batch.sparkSession, view, batch_id - 1)
-            both = rows if before is None else rows.unionByName(before)
-            _write_slot(recent(both, n_recent, order), view, batch_id)
-        finally:
-            rows.unpersist()
+        rows = canonicalize(decode_topic(batch, schema, fields).drop("_key"), aliases)
+        append_table(rows, archive, batch_id)
+        own = batch.sparkSession.read.schema(rows.schema).parquet(batch_folder(archive, batch_id))
+        levels.add(newest(own), view, batch_id, newest)
 
     return run_batches(sdf, step, checkpoint, trigger=trigger)
 
 
-def read_view(spark: SparkSession, view: str) -> DataFrame:
-    """The latest version of a rolling view."""
-    df = spark.read.parquet(view)
-    newest = df.agg(F.max("batch")).first()[0]
-    return df.where(F.col("batch") == newest).drop("batch", "slot")
+def read_view(
+    spark: SparkSession, view: str, n_recent: int = 200, order: Sequence[str] = ("ts",)
+) -> DataFrame:
+    """The newest rows of all batches."""
+    return recent(levels.read(spark, view), n_recent, order)
 
 
 def refresh_after(
