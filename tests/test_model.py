@@ -135,7 +135,13 @@ def test_model_report(spark):
     r2 = {e: r.r2_test for e, r in rows.items()}
     assert (best.best, best.worst) == (max(r2, key=r2.get), min(r2, key=r2.get))
     assert best.n_up + best.n_down == 3
-    lists = model.direction_lists(report, ["line", "a", "b"]).first()
+    for first in ((), ["line", "b"]):
+        lists = model.direction_lists(report, first).first()
+        order = sorted(rows, key=lambda e: (first.index(e) if e in first else len(first), e))
+        for found, direction in ((lists.up, "NAIK"), (lists.down, "TURUN")):
+            assert found == (", ".join(e for e in order if rows[e].direction == direction) or "-")
+    none = model.direction_lists(report.where("false")).first()
+    assert tuple(none) == ("-", "-")
     assert "line" in lists.up and set(f"{lists.up}, {lists.down}".split(", ")) >= set(rows)
     assert not any(math.isnan(r.rmse_test) for r in rows.values())
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import (
@@ -19,6 +19,10 @@ from tickloom.functions.text import (
 )
 
 
+# Cells of the filter of first words.
+FILTER = 1 << 16
+
+
 def match_entities(
     df: DataFrame,
     text: str,
@@ -38,23 +42,45 @@ def match_entities(
     return df.withColumn(out, F.explode(hits)).drop("_hay")
 
 
+def first_words(keywords: DataFrame) -> Callable[[Column], Column]:
+    """Whether a word may be the first one of a keyword.
+
+    The keywords' hashes fill a table of ``FILTER`` cells, whatever their number; a
+    fuller table lets more words through to the join.
+    """
+
+    def cell(word: Column) -> Column:
+        return F.pmod(F.xxhash64(word), F.lit(FILTER)).cast("int")
+
+    first = F.element_at(F.split(F.trim(word_text(F.lower("keyword"))), " "), 1)
+    filled = {r[0] for r in keywords.select(cell(first)).distinct().collect()}
+    table = F.lit([i in filled for i in range(FILTER)])
+    return lambda word: F.element_at(table, cell(word) + 1)
+
+
 def match_entities_by_join(
     df: DataFrame, text: str, keywords: DataFrame, out: str = "entity"
 ) -> DataFrame:
     """Word-mode match for keyword tables too long for one expression.
 
-    Every distinct word, and every run of as many words as the longest keyword
-    has, is joined to the keyword table. The result is one (id, entity) row per match; the
-    texts themselves are never shuffled.
+    Runs of words, up to as many as the longest keyword has, are joined to the keyword
+    table. They are built only where a word may begin a keyword: a Bloom filter of the
+    keywords' first words, of fixed size, is tested on the word array inside its row.
+    The result is one (id, entity) row per match; the texts are never shuffled.
     """
     n_words = F.size(F.split(F.trim(word_text("keyword")), " "))
     max_words = keywords.agg(F.max(n_words)).first()[0] or 1
-    run = terms = F.col("_w")
-    for n in range(2, max_words + 1):
-        # Runs of n words: each run of n-1 words with the word after it.
-        after = F.slice("_w", n, F.greatest(F.size("_w"), F.lit(1)))
-        run = F.zip_with(run, after, lambda a, b: F.concat(a, F.lit(" "), b))
-        terms = F.concat(terms, F.array_compact(run))
+    begins = first_words(keywords)
+    word = F.col("_w")
+    starts = F.array_compact(F.transform(word, lambda w, i: F.when(begins(w), i + 1)))
+
+    def runs(i: Column) -> Column:
+        longest = F.least(F.lit(max_words), F.size(word) - i + 1)
+        return F.transform(
+            F.sequence(F.lit(1), longest), lambda n: F.array_join(F.slice(word, i, n), " ")
+        )
+
+    terms = F.flatten(F.transform(starts, runs))
     lookup = keywords.select(F.lower("keyword").alias("_term"), F.col("entity").alias(out))
     return (
         df.select("id", F.split(F.trim(word_text(text)), " ").alias("_w"))

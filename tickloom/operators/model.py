@@ -241,15 +241,23 @@ def leaderboard(report: DataFrame) -> DataFrame:
     )
 
 
-def direction_lists(report: DataFrame, entities: Sequence[str]) -> DataFrame:
-    """The given entities that rise and that fall, comma-separated, '-' if none."""
+def direction_lists(report: DataFrame, first: Sequence[str] = ()) -> DataFrame:
+    """All entities that rise and that fall, comma-separated, '-' if none.
+
+    Those of ``first`` come first and in that order, the others by name.
+    """
+    place = F.array_position(F.lit(list(first)).cast("array<string>"), F.col("entity").cast("string"))
+    named = report.select(
+        F.col("entity").cast("string").alias("_name"),
+        F.when(place > 0, place).otherwise(len(first) + 1).alias("_place"),
+        "direction",
+    )
 
     def names(direction: str) -> Column:
-        hits = [
-            F.max(F.when((F.col("entity") == e) & (F.col("direction") == direction), F.lit(e)))
-            for e in entities
-        ]
-        listed = F.array_join(F.array_compact(F.array(*hits)), ", ")
-        return F.when(listed == "", "-").otherwise(listed)
+        listed = F.expr(
+            f"listagg(CASE WHEN direction = '{direction}' THEN _name END, ', ') "
+            "WITHIN GROUP (ORDER BY _place, _name)"
+        )
+        return F.coalesce(F.nullif(listed, F.lit("")), F.lit("-"))
 
-    return report.agg(names("NAIK").alias("up"), names("TURUN").alias("down"))
+    return named.agg(names("NAIK").alias("up"), names("TURUN").alias("down"))

@@ -32,17 +32,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows with costly texts, over all cores.
-
-    The driver's tables are single files that may be read by one task. Only
-    when there are fewer input tasks than cores are the rows spread first; a
-    table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def event_ticks(spark: SparkSession, sf: str, entity: str = "event_type") -> DataFrame:
     return as_ticks(table(spark, sf, "events"), entity)
 

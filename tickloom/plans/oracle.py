@@ -418,6 +418,47 @@ ORACLE: dict[str, str] = {
         SELECT coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time > 0), '-') AS up,
             coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time <= 0), '-') AS down
         FROM r""",
+    "model_directions_users": f"""
+        WITH r AS (SELECT CAST(entity AS VARCHAR) AS entity, coef_time FROM {fitted(USERS)})
+        SELECT coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time > 0), '-') AS up,
+            coalesce(string_agg(entity, ', ' ORDER BY entity) FILTER (coef_time <= 0), '-') AS down
+        FROM r""",
+    "jsonl_ticks": f"SELECT * FROM {EVENTS}",
+    "array_ticks": f"""
+        SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY id) - 1 AS place
+        FROM {EVENTS}""",
+    "feed_items": f"""
+        SELECT trim(link) AS link, make_timestamp(id * 3600000000) AS published, 'feed' AS source,
+            CAST(length(trim(summary)) AS INTEGER) AS n_chars
+        FROM {PAGES} WHERE id % 5 <> 0""",
+    "version_history": f"""
+        SELECT 0::BIGINT AS version, 'WRITE' AS operation, count(*) AS n, round(sum(price), 8) AS total FROM {EVENTS}
+        UNION ALL SELECT 1, 'UPDATE', count(*), round(sum(price), 8) FROM {FLOORED}
+        UNION ALL SELECT 2, 'DELETE', count(*), round(sum(price), 8) FROM {FLOORED} WHERE entity <> 'signup'""",
+    "version_as_of": f"SELECT entity, price, ts, id FROM {FLOORED}",
+    "appended_batches": f"""
+        SELECT entity, 'api' AS origin, 'batch ' || (id % 2) AS batch, count(*) AS n FROM {EVENTS}
+        WHERE id % 2 = 0 OR entity <> 'signup' GROUP BY ALL""",
+    "overwritten_table": f"SELECT *, CAST(ts AS DATE) AS date FROM {EVENTS} WHERE entity <> 'view'",
+    "report_rounding": f"""
+        SELECT entity, round_even(max(price), 0) AS price_max, round_even(min(price), 0) AS price_min,
+            round_even(CASE WHEN min(price) <= 0 THEN 0.0
+                ELSE (max(price) - min(price)) / min(price) * 100 END, 2) AS volatility_pct
+        FROM {USERS} GROUP BY entity""",
+    "local_hours": f"""
+        SELECT CAST((hour(ts) + 7) % 24 AS INTEGER) AS hour, count(*) AS n FROM {EVENTS} GROUP BY ALL""",
+    "trend_lines": f"""
+        SELECT entity AS komoditas, strftime(period, '%Y-%m-%d %H:%M') AS periode,
+            CAST(row_number() OVER (PARTITION BY entity ORDER BY period) AS INTEGER) AS nth
+        FROM {HOURS}""",
+    "stream_refresh": """
+        WITH parts AS (SELECT event_id % 5 AS part, count(*) AS n FROM events GROUP BY ALL),
+        least AS (SELECT (count(*) // 3) AS least FROM events),
+        -- Equal parts: every second batch reaches a third of all rows.
+        runs AS (SELECT unnest([1, 3]) AS upto)
+        SELECT event_type AS entity, count(*) AS n FROM events JOIN runs ON event_id % 5 <= upto
+        GROUP BY event_type, upto""",
+    "stream_lines": f"SELECT * FROM {EVENTS}",
     "report_document": f"""
         SELECT CAST(entity AS VARCHAR) AS komoditas, CAST(NULL AS VARCHAR) AS periode,
             CAST(NULL AS DOUBLE) AS harga_rata, price_max AS harga_max,
@@ -445,4 +486,5 @@ ORACLE: dict[str, str] = {
             min(price) AS price_min, max(price) AS price_max, count(price) AS n
         FROM {EVENTS} GROUP BY ALL""",
 }
+ORACLE["first_available_ticks"] = ORACLE["array_ticks"]
 ORACLE["news_mentions_join"] = ORACLE["news_mentions_word"]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom import dimensions, schemas
+from tickloom.functions import numbers, times
 from tickloom.functions.numbers import trend_band
 from tickloom.functions.text import contains_any, plain_text, search_text
 from tickloom.operators import (
@@ -21,7 +22,7 @@ from tickloom.operators import (
     versions,
 )
 from tickloom.plans import bindings as b
-from tickloom.session import scratch_dir, stream_session
+from tickloom.session import scratch_dir
 from tickloom.sources import readers, sinks
 from tickloom.streaming import jobs as streams
 
@@ -228,7 +229,7 @@ def snapshot_diff(spark, sf):
 
 
 def _doc_text(spark, sf):
-    docs = b.spread(b.documents(spark, sf).select("id", "text"))
+    docs = b.documents(spark, sf).select("id", "text")
     return docs.select("id", search_text("text").alias("text"))
 
 
@@ -301,7 +302,7 @@ def allowed_pages(spark, sf):
 def relevant_pages(spark, sf):
     """On its source's own site, and about the topic."""
     pages = match.filter_links(
-        b.spread(b.page_items(spark, sf)), dimensions.link_rule_table(spark, b.PAGE_RULES)
+        b.page_items(spark, sf), dimensions.link_rule_table(spark, b.PAGE_RULES)
     )
     kept = match.filter_relevant(pages, ["title", "summary"], b.TOPIC_WORDS)
     return kept.select("id", "link", "source")
@@ -309,7 +310,7 @@ def relevant_pages(spark, sf):
 
 @query
 def page_plain_text(spark, sf):
-    pages = b.spread(b.page_items(spark, sf).select("id", "summary"))
+    pages = b.page_items(spark, sf).select("id", "summary")
     return pages.select("id", plain_text("summary").alias("text"))
 
 
@@ -410,7 +411,14 @@ def model_directions(spark, sf):
         series.split_by_time(series.ml_features(b.event_ticks(spark, sf)))
     )
     report = model.scored_models(split, fitted)
-    return model.direction_lists(report, b.EVENT_TYPES)
+    return model.direction_lists(report)
+
+
+@query
+def model_directions_users(spark, sf):
+    """Lists of all fitted entities, none of which is named beforehand."""
+    split, fitted = model.fit_once(series.split_by_time(_features(spark, sf)))
+    return model.direction_lists(model.scored_models(split, fitted))
 
 
 @query
@@ -446,6 +454,159 @@ def report_sections(spark, sf):
     return rows.groupBy("section").agg(F.count("item").alias("items"))
 
 
+# Files, written and read back
+
+
+PUBLISHED = {"komoditas": "entity", "harga": "price", "timestamp": "ts"}
+TICK_LINE = schemas.struct(entity="string", price="double", ts="timestamp_ntz", id="bigint")
+
+
+def _published(spark, sf):
+    """Events under their published field names."""
+    return b.event_ticks(spark, sf).withColumnsRenamed({v: k for k, v in PUBLISHED.items()})
+
+
+def _write_lines(ticks, path):
+    ticks.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+
+
+@query
+def jsonl_ticks(spark, sf):
+    """JSON lines under their published names, with lines that are no JSON among them."""
+    path = scratch_dir(spark, "jsonl")
+    _write_lines(_published(spark, sf), path)
+    broken = b.event_ticks(spark, sf).select(F.concat(F.lit('{"komoditas": '), "id").alias("value"))
+    broken.write.mode("append").text(path)
+    return readers.read_jsonl(spark, path, TICK_LINE, PUBLISHED)
+
+
+def _write_arrays(spark, sf, path):
+    """One array a day, in order of the ids."""
+    row = F.to_json(F.struct("komoditas", "harga", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "id"))
+    days = _published(spark, sf).groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.array_sort(F.collect_list(F.struct("id", row.alias("item")))).alias("items")
+    )
+    text = F.concat(F.lit("["), F.array_join("items.item", ",\n"), F.lit("]"))
+    days.select("day", text.alias("value")).write.partitionBy("day").option("lineSep", "\n\n").text(path)
+
+
+@query
+def array_ticks(spark, sf):
+    """JSON arrays, a file a day, with the place of each tick in its array."""
+    path = scratch_dir(spark, "arrays")
+    _write_arrays(spark, sf, path)
+    return readers.read_json_array(spark, f"{path}/day=*", TICK_LINE, PUBLISHED, position="place")
+
+
+@query
+def first_available_ticks(spark, sf):
+    """The first source does not exist, the second one is read."""
+    path = scratch_dir(spark, "available")
+    _write_lines(_published(spark, sf), f"{path}/lines")
+    _write_arrays(spark, sf, f"{path}/arrays")
+    sources = [("lines", f"{path}/none"), ("array", f"{path}/arrays/day=*"), ("lines", f"{path}/lines")]
+    return readers.read_first_available(spark, sources, TICK_LINE, PUBLISHED, position="place")
+
+
+@query
+def feed_items(spark, sf):
+    """Pages as items of feed files; those without a link are skipped."""
+    path = scratch_dir(spark, "feed")
+    stamp = F.date_format(F.timestamp_seconds(F.col("id") * 3600), "EEE, dd MMM yyyy HH:mm:ss")
+    pages = b.page_items(spark, sf).select(
+        "title",
+        F.when(F.col("id") % 5 == 0, F.lit("  ")).otherwise(F.col("link")).alias("link"),
+        F.col("summary").alias("description"),
+        F.concat(stamp, F.lit(" +0000")).alias("pubDate"),
+    )
+    pages.write.format("xml").option("rowTag", "item").option("rootTag", "rss").save(path)
+    items = readers.read_feed_items(spark, path, source="feed")
+    return plain_ts(items.select("link", "published", "source", F.length("summary").alias("n_chars")), "published")
+
+
+def _versions(spark, sf):
+    """A table of three versions: as loaded, a floor for one entity, without another."""
+    path = scratch_dir(spark, "versions")
+    versions.commit(b.event_ticks(spark, sf), path)
+    low = (F.col("entity") == "view") & (F.col("price") < 5)
+    versions.update_table(spark, path, low, {"price": F.lit(5.0)})
+    versions.commit(versions.as_of(spark, path).where("entity <> 'signup'"), path, "DELETE")
+    return path
+
+
+@query
+def version_history(spark, sf):
+    """Every version with its operation and what it holds."""
+    path = _versions(spark, sf)
+    rows = [
+        versions.as_of(spark, path, v).agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("total")).withColumn("version", F.lit(v).cast("long"))
+        for v in range(3)
+    ]
+    held = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    found = versions.history(spark, path).join(held, "version").select("version", "operation", "n", "total")
+    return rounded(found, "total")
+
+
+@query
+def version_as_of(spark, sf):
+    return versions.as_of(spark, _versions(spark, sf), 1)
+
+
+@query
+def appended_batches(spark, sf):
+    """Batches by month with load metadata; the second one came three times, at last without rows of one type."""
+    path = scratch_dir(spark, "appended")
+    ticks = clean.with_ingest_meta(b.event_ticks(spark, sf), "api")
+    for day in (0, 1, 1):
+        sinks.append_table(ticks.where(F.col("id") % 2 == day), path, f"batch {day}")
+    sinks.append_table(ticks.where("id % 2 = 1 AND entity <> 'signup'"), path, "batch 1")
+    rows = spark.read.parquet(path).where(F.col("_ingested_at").isNotNull())
+    return rows.groupBy("entity", F.col("_source").alias("origin"), F.col(sinks.BATCH).alias("batch")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def overwritten_table(spark, sf):
+    """A table by date that replaces another one."""
+    path = scratch_dir(spark, "overwritten")
+    ticks = b.event_ticks(spark, sf).withColumn("date", F.to_date("ts"))
+    sinks.overwrite_table(ticks.where("entity = 'view'"), path, ["date"])
+    sinks.overwrite_table(ticks.where("entity <> 'view'"), path, ["date"])
+    return readers.read_table(spark, path)
+
+
+@query
+def report_rounding(spark, sf):
+    """Published figures: half-even rounding and the local clock."""
+    vol = aggregate.volatility(b.event_ticks(spark, sf, "user_id"))
+    digits = {"price_max": 0, "price_min": 0, "volatility_pct": 2}
+    return numbers.round_for_report(vol, digits).select("entity", *digits)
+
+
+@query
+def local_hours(spark, sf):
+    """Events by hour of the local clock."""
+    local = times.local_time("ts")
+    ticks = b.event_ticks(spark, sf)
+    return ticks.groupBy(F.hour(local).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def trend_lines(spark, sf):
+    """Places of the trend's items in the written report, in the order of its periods."""
+    path = scratch_dir(spark, "report-order")
+    trend = aggregate.trend(b.event_ticks(spark, sf), "hour")
+    rows = sinks.report_rows({"trend": trend}, local_names=True)
+    lines = sinks.report_document(rows, [schemas.REPORT_FIELDS["trend"][0]])
+    lines.write.text(path)
+    files = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    item = F.from_json(F.regexp_extract("value", r'^,?(\{"komoditas".*\})$', 1), "komoditas string, periode string")
+    found = files.withColumn("i", item).where("i.komoditas is not null")
+    nth = F.row_number().over(Window.partitionBy("i.komoditas").orderBy("file", "place"))
+    return found.select("i.komoditas", "i.periode", nth.alias("nth"))
+
+
 # Topics and streams
 
 
@@ -455,11 +616,6 @@ def topic_roundtrip(spark, sf):
     return readers.decode_topic(sinks.encode_topic(ticks, "entity"), EVENT_TOPIC)
 
 
-def _stream(spark, sf, name):
-    sized = stream_session(spark, b.table(spark, sf, name))
-    return readers.stream_table(sized, f"{sf}/{name}.parquet")
-
-
 def _late_events(spark, sf, path, batches=4):
     """All events, dealt over files without regard to time, one file a batch."""
     events = b.table(spark, sf, "events")
@@ -471,7 +627,9 @@ def _late_events(spark, sf, path, batches=4):
 def stream_dedupe(spark, sf):
     # The same text again is the same article; its arrival time is the clock.
     path = scratch_dir(spark, "stream-dedupe")
-    docs = _stream(spark, sf, "documents").select(
+    docs = b.table(spark, sf, "documents").select("doc_id", "text")
+    docs.repartition(3, F.xxhash64("doc_id")).write.parquet(f"{path}/source")
+    docs = readers.stream_table(spark, f"{path}/source", max_files=1).select(
         F.sha2("text", 256).alias("link"), F.current_timestamp().alias("fetched_at")
     )
     first = streams.first_seen(docs, "link", "fetched_at").select("link")
@@ -521,6 +679,34 @@ def stream_alerts(spark, sf):
     return streams.read_changes(spark, f"{path}/out")
 
 
+@query
+def stream_refresh(spark, sf):
+    """An analysis of the whole archive whenever enough rows have come in."""
+    path = scratch_dir(spark, "stream-refresh")
+    events = b.table(spark, sf, "events")
+    for part in range(5):
+        events.where(F.col("event_id") % 5 == part).coalesce(1).write.mode("append").parquet(f"{path}/source")
+
+    def analyse(rows):
+        counts = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("append").parquet(f"{path}/analyses")
+
+    least = events.count() // 3
+    step = streams.refresh_after(f"{path}/archive", f"{path}/done", analyse, min_rows=least)
+    source = readers.stream_table(spark, f"{path}/source", max_files=1)
+    streams.run_batches(source, step, f"{path}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{path}/analyses").select(F.col("event_type").alias("entity"), "n")
+
+
+@query
+def stream_lines(spark, sf):
+    """A stream archived as JSON lines and read back."""
+    path = scratch_dir(spark, "stream-lines")
+    ticks = b.as_ticks(_late_events(spark, sf, path)).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    sinks.stream_to_jsonl(ticks, f"{path}/out", f"{path}/ckpt").awaitTermination()
+    return readers.read_jsonl(spark, f"{path}/out", TICK_LINE)
+
+
 @query
 def stream_trend(spark, sf):
     path = scratch_dir(spark, "stream-trend")

@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Compressed input of one partition of a stream's shuffles.
-STREAM_PARTITION_BYTES = 32 * 1024 * 1024
-
 
 def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on.
@@ -66,19 +63,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def stream_session(spark: SparkSession, source: DataFrame) -> SparkSession:
-    """A session whose shuffles suit a stream over the given source.
-
-    A stateful stream keeps the partition count of its first start for good, and
-    adaptive execution cannot merge its partitions afterwards. The count is taken
-    from the size of the source, never above the session's own setting.
-    """
-    name = "spark.sql.shuffle.partitions"
-    cores = spark.sparkContext.defaultParallelism
-    wanted = max(cores, input_bytes(source) // STREAM_PARTITION_BYTES)
-    sized = spark.newSession()
-    sized.conf.set(name, min(int(spark.conf.get(name)), wanted))
-    sized.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    return sized
