@@ -54,8 +54,9 @@ def first_words(keywords: DataFrame) -> Callable[[Column], Column]:
 
     first = F.element_at(F.split(F.trim(word_text(F.lower("keyword"))), " "), 1)
     filled = {r[0] for r in keywords.select(cell(first)).distinct().collect()}
-    table = F.lit([i in filled for i in range(FILTER)])
-    return lambda word: F.element_at(table, cell(word) + 1)
+    # One byte a cell, in one literal.
+    table = F.lit(bytes(i in filled for i in range(FILTER)))
+    return lambda word: F.substring(table, cell(word) + 1, F.lit(1)) == F.lit(b"\x01")
 
 
 def match_entities_by_join(
