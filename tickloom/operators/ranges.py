@@ -136,8 +136,11 @@ def previous_value(
 ) -> DataFrame:
     """``value`` of the row ``n`` steps earlier within the same entity.
 
-    ``chunks`` is the number of ranges; by default it follows from the input's size.
+    ``chunks`` is the number of ranges; by default it follows from the input's size. The
+    new column comes last and replaces one of its name.
     """
+    if out != value:
+        df = df.drop(out)  # a column of that name is replaced
     ranges = chunks or number_of_ranges(df)
     sorted_ranges = df.repartitionByRange(ranges, by, *order).sortWithinPartitions(by, *order)
     shifted_schema = T.StructType(
