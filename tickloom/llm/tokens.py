@@ -13,7 +13,8 @@ uint32), planes (highest digit first, each padded to whole bytes), zeros (of eac
 plane, uint32). All numbers are little-endian.
 
 Defined cases: a null text is an empty one, which has the end id alone; null ids
-come first; rows of equal id follow each other by text, and equal rows tie; an
+come first; rows of equal id follow each other by a hash of the text, equal rows tie,
+and both may fill several files; an
 empty table gives an empty result; other columns of the input are left out.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -40,8 +42,8 @@ END = 0
 SHARD_TOKENS = 1 << 21
 # Characters of text for one file.
 FILE_CHARS = 1 << 25
-# A worker forgets the encoded pieces when it has this many.
-MAX_PIECES = 1_000_000
+# Pieces that a worker remembers; beyond, the half that is unused the longest goes.
+MAX_PIECES = 1_500_000
 # Letters, numbers and blanks up to U+00FF, as the vocabulary's splitter has them.
 LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -53,47 +55,70 @@ PIECE = re.compile(
 WIDE = re.compile("[^\x00-\xff]")
 
 
+def byte_letters() -> dict[int, str]:
+    """The vocabulary's letter for every byte: printable ones stand for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
+class Memory(dict):
+    """What was used lately: beyond ``most`` entries those unused the longest go, half of all."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.half, self.older = most // 2, {}
+
+    def recall(self, key: str) -> bytes | None:
+        """An entry that is no longer among the latest ones."""
+        value = self.older.get(key)
+        if value is not None:
+            self.add(key, value)
+        return value
+
+    def add(self, key: str, value: bytes) -> None:
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Encoder:
     """Ids of texts as little-endian uint16.
 
     The vocabulary never joins two pieces of its splitter, so a piece is encoded
-    once and remembered. Texts with characters above U+00FF, or with a special
-    token's brackets, are encoded whole.
+    once and remembered. Texts with characters above U+00FF, or with a special token's
+    brackets, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.line = self._direct("\n")
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.pieces = Memory(MAX_PIECES)
 
-    def _direct(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        """Encode new pieces in one call, a line each; blank pieces one by one."""
-        words = [p for p in new if not p.isspace()]
-        if words:
-            ids = np.frombuffer(self._direct("\n".join(words)), np.uint16)
-            ends = np.flatnonzero(ids == np.frombuffer(self.line, np.uint16)[0])
-            data, start = ids.tobytes(), 0
-            for word, end in zip(words, [*ends.tolist(), len(ids)], strict=True):
-                self.known[word] = data[2 * start : 2 * end]
-                start = end + 1
-        for piece in new:
-            if piece.isspace():
-                self.known[piece] = self._direct(piece)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        pieces = [None if WIDE.search(t) or "<|" in t else PIECE.findall(t) for t in texts]
-        self._learn(set().union(*[p for p in pieces if p]) - self.known.keys())
-        return [
-            self._direct(t) if p is None else b"".join(map(self.known.__getitem__, p))
-            for t, p in zip(texts, pieces, strict=True)
-        ]
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece; the model is asked without splitting it again."""
+        known = self.pieces.get(piece) or self.pieces.recall(piece)
+        if known is None:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            known = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            self.pieces.add(piece, known)
+        return known
+
+    def encode(self, text: str) -> bytes:
+        if not text.isascii() and WIDE.search(text) or "<|" in text:
+            return self._whole(text)
+        pieces = PIECE.findall(text)
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            found = [self._piece(p) if f is None else f for p, f in zip(pieces, found, strict=True)]
+        return b"".join(found)
 
 
 @functools.cache
@@ -270,8 +295,10 @@ def write_shards(
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     # Ranges of ids, and in them equal ids by text: the files follow each other in this order.
     files = max(docs.sparkSession.sparkContext.defaultParallelism, chars // FILE_CHARS)
-    ranges = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first())
-    ranges = ranges.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # An id with very many rows fills several files, and so do equal rows.
+    rows = rows.withColumns({"name": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_first(), "name", "nth"]
+    ranges = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("name", "nth")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, shard = encoder_of(source), TaskContext.get().partitionId(), 0
@@ -289,10 +316,10 @@ def write_shards(
             kind = batch.schema.field("doc_id").type
             for start in range(0, batch.num_rows, 256):
                 piece = batch.slice(start, 256)
-                encoded = encoder.encode(piece.column("text").to_pylist())
-                for doc_id, data in zip(piece.column("doc_id").to_pylist(), encoded, strict=True):
+                texts = piece.column("text").to_pylist()
+                for doc_id, text in zip(piece.column("doc_id").to_pylist(), texts, strict=True):
                     doc_ids.append(doc_id)
-                    ids.append(data + array("H", [END]).tobytes())
+                    ids.append(encoder.encode(text) + array("H", [END]).tobytes())
                     size += len(ids[-1]) // 2
                     if size >= shard_tokens:
                         yield closed()
@@ -308,8 +335,11 @@ def read_shards(spark: SparkSession, path: str, id_type: str = "bigint") -> Data
     return spark.read.schema(shard_schema(id_type)).parquet(path)
 
 
-def decoded(shards: DataFrame, id_type: str = "bigint") -> DataFrame:
-    """Documents of the files: part, shard, doc_id, offset, n_tokens, ids (uint32 bytes)."""
+def decoded(shards: DataFrame, id_type: str = "bigint", digest: bool = False) -> DataFrame:
+    """Documents of the files: part, shard, doc_id, offset, n_tokens, ids (uint32 bytes).
+
+    With ``digest`` the ids stay in their task and ids_crc32 tells their checksum.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,8 +349,12 @@ def decoded(shards: DataFrame, id_type: str = "bigint") -> DataFrame:
                 lengths, matrix = from_row(row)
                 ids = matrix.decode().astype("<u4", copy=False)
                 starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-                data = [ids[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)]
-                n = len(data)
+                data = (ids[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False))
+                if digest:
+                    last = pa.array([zlib.crc32(d) for d in data], pa.int64())
+                else:
+                    last = pa.array(list(data), pa.binary())
+                n = len(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * n, pa.int32()),
@@ -328,13 +362,14 @@ def decoded(shards: DataFrame, id_type: str = "bigint") -> DataFrame:
                         pa.array(row["doc_ids"], kind),
                         pa.array(starts[:-1], pa.int64()),
                         pa.array(lengths.astype(np.int64), pa.int64()),
-                        pa.array(data, pa.binary()),
+                        last,
                     ],
-                    names=["part", "shard", "doc_id", "offset", "n_tokens", "ids"],
+                    names=["part", "shard", "doc_id", "offset", "n_tokens", name],
                 )
 
+    name, content = ("ids_crc32", "bigint") if digest else ("ids", "binary")
     schema = (
-        f"part int, shard int, doc_id {id_type}, offset bigint, n_tokens bigint, ids binary"
+        f"part int, shard int, doc_id {id_type}, offset bigint, n_tokens bigint, {name} {content}"
     )
     return shards.mapInArrow(task, schema)
 
@@ -351,7 +386,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-shards")
     write_shards(table(spark, sf_dir, "documents"), path)
     shards = read_shards(spark, path)
-    rows = decoded(shards).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = decoded(shards, digest=True)
     return rows.join(shard_starts(shards), ["part", "shard"]).select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
