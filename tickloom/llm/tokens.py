@@ -34,14 +34,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.tables import table
+from tickloom.operators.ranges import size_of
 from tickloom.session import scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 # A shard is closed once it has this many tokens; a document is never divided.
 SHARD_TOKENS = 1 << 21
-# Characters of text for one file.
-FILE_CHARS = 1 << 25
+# Bytes of input for one file.
+FILE_BYTES = 1 << 24
 # Pieces that a worker remembers; beyond, the half that is unused the longest goes.
 MAX_PIECES = 1_500_000
 # Letters, numbers and blanks up to U+00FF, as the vocabulary's splitter has them.
@@ -292,9 +293,8 @@ def write_shards(
     source = vocabulary or public_tokenizers.path(VOCABULARY)
     rows = docs.select(F.col(id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     # Ranges of ids, and in them equal ids by text: the files follow each other in this order.
-    files = max(docs.sparkSession.sparkContext.defaultParallelism, chars // FILE_CHARS)
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, size_of(docs) // FILE_BYTES)
     # An id with very many rows fills several files, and so do equal rows.
     rows = rows.withColumns({"name": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
     order = [F.col("doc_id").asc_nulls_first(), "name", "nth"]
