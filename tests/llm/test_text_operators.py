@@ -55,6 +55,18 @@ def test_personal_data_examples():
     kinds = Counter(s.kind for s in pii.find(text))
     assert kinds == {"card": 1, "phone": 1, "email": 1, "iban": 1}
     assert not [s for s in pii.find("DE89 3704 0044 0532 0130 01") if s.kind == "iban"]
+    for account, after in (
+        ("DE89 3704 0044 0532 0130 00", " AND MORE"),
+        ("DE89370400440532013000", " BIC COBADEFF"),
+        ("GB82 WEST 1234 5698 7654 32", " DE8 "),
+        ("NO9386011117947", " 12 34"),
+        ("MT84MALT011000012345MTLCAST001S", "."),
+    ):
+        text = f"to DE89 {account}{after}"
+        found = [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"]
+        assert found == [account]
+        two = f"{account} {account}"
+        assert len([s for s in pii.find(two) if s.kind == "iban"]) == 2
     assert [s.kind for s in pii.find("my ssn is 123-45-6789")] == ["ssn"]
     assert not pii.find("part 123-45-6789")
     assert pii.score("call +491234567890", "phone", 5, 18) > pii.score("x +491234567890", "phone", 2, 15)
@@ -213,6 +225,27 @@ def test_line_dedup_rows(spark, monkeypatch):
     assert lines.dedup(fixtures.empty(spark)).count() == 0
 
 
+def test_long_documents_that_lose_most_lines(spark):
+    shared = [f"  Shared line number {i} with some more words\t" for i in range(20_000)]
+    docs = [(i, "\n".join([*shared, f"own {i}" * 12]), None, None) for i in range(6)]
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in lines.dedup(df).collect())
+    assert got == Counter(plain_lines(docs))
+
+
+def test_one_id_with_most_documents_and_lines(spark):
+    docs = [(7, "\n".join(f"A line of the hot one {i % 50} with more words {i % 3}" for i in range(n, n + 40))) for n in range(60)]
+    docs += [(i, docs[0][1]) for i in range(8, 14)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = lines.dedup(df).collect()
+    assert len(got) == len(docs)
+    # All ids but the largest lose what they share with at least four others.
+    assert {r.n_dropped for r in got if 7 < r.doc_id < 13} == {40}
+    assert {r.n_dropped for r in got if r.doc_id == 13} == {0}
+    first = set(docs[0][1].split("\n"))
+    assert all(set(r.text.split("\n")).isdisjoint(first) for r in got if r.doc_id == 7)
+
+
 def test_line_filter_keeps_repeats_across_partitions(spark):
     hashes = spark.range(5000).selectExpr("xxhash64(id % 4000) as h").repartition(7)
     bits = lines.filter_bits(5000)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -56,6 +57,13 @@ def test_top_k(spark, monkeypatch, small):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_refuses_scores_beyond_63_bits(spark):
+    rows = [(50, [1e30, 1.0]), (51, [2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="63 bits"):
+        topk.top_k(df, df.where("vec_id = 50")).collect()
+
+
 def test_top_k_of_one_hot_id(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 16)
     monkeypatch.setattr(topk, "QUERIES", 4)
@@ -192,6 +200,35 @@ def test_classifier_on_held_out_labels(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_fit_against_one_plain_solve(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in quality]
+    stats, marks, kept = [], [], []
+    for doc_id, text in rows:
+        name = str(doc_id)
+        if zlib.crc32(name.encode()) % 3 != 1:
+            stats.append(classifier.statistics((text or "").encode()))
+            marks.append(quality[doc_id])
+            kept.append(zlib.crc32(name[::-1].encode()) % classifier.CALIBRATE == 0)
+    x, y, kept = np.array(stats), np.array(marks, float), np.array(kept)
+    scale = np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    z = classifier.features(x, x.mean(0), scale)
+    fitted = z[~kept]
+    penalty = classifier.RIDGE * max(1, len(fitted)) * np.eye(z.shape[1])
+    penalty[-1, -1] = 1e-9
+    weights = np.linalg.lstsq(fitted.T @ fitted + penalty, fitted.T @ y[~kept], rcond=None)[0]
+    model = classifier.train(docs, labels)
+    assert np.allclose(model.raw(x), z @ weights, atol=1e-6)
+    # Calibrated scores rise with the raw ones.
+    order = np.argsort(model.raw(x))
+    assert (np.diff(model.score(x)[order]) >= -1e-12).all()
+    described = classifier.describe(docs, "doc_id", "text")
+    whole = classifier.learn(described, labels, "doc_id", "quality")
+    assert np.allclose(model.weights, whole.weights) and np.allclose(model.levels, whole.levels)
+
+
 def test_classifier_special_rows(spark):
     docs = fixtures.frame(spark)
     labels = spark.createDataFrame(

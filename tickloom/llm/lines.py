@@ -15,6 +15,7 @@ the input are kept; the added ones must not be among them.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -181,6 +182,29 @@ def repeated(
     return losing.groupBy("doc").agg(F.collect_list("key").alias("keys"))
 
 
+def without_lost(min_length: int):
+    """A column function: a text without the long lines whose key is lost, and how many went."""
+    lower = str.maketrans(UPPER, LOWER)
+
+    def digest(line: str) -> bytes:
+        return hashlib.md5(line.strip(BLANK_CHARS).translate(lower).encode()).digest()
+
+    @F.pandas_udf("text string, dropped long")
+    def cut(texts: pd.Series, lost: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, keys in zip(texts, lost, strict=True):
+            if keys is None:
+                rows.append((text, 0))
+                continue
+            # One look-up per line, whatever the number of keys.
+            gone, found = {bytes(k) for k in keys}, (text or "").split("\n")
+            kept = [x for x in found if len(x) < min_length or digest(x) not in gone]
+            rows.append(("\n".join(kept), len(found) - len(kept)))
+        return pd.DataFrame(rows, columns=["text", "dropped"])
+
+    return cut
+
+
 def dedup(
     docs: DataFrame,
     id: str = "doc_id",
@@ -195,22 +219,18 @@ def dedup(
     bits = filter_bits(losing.count())
     ids = merged_filter(losing.select(F.xxhash64("_doc")), bits, "once")
     may_lose = maybe_in(ids, bits)(F.xxhash64(id))
-    all_lines = split_lines(F.col(text))
-    kept = F.filter(all_lines, lambda x: ~F.array_contains("_keys", F.unhex(F.md5(key(x)))))
     # The same join at every size; texts need no sorting for it.
     lost = losing.hint("shuffle_hash")
     joined = docs.where(may_lose).join(lost, F.col(id).eqNullSafe(F.col("_doc")), "left")
-    joined = joined.withColumn("_kept", F.when(F.col("_keys").isNotNull(), kept))
+    joined = joined.withColumn("_kept", without_lost(min_length)(text, "_keys"))
 
     def result(rows: DataFrame, new_text: Column, dropped: Column) -> DataFrame:
         columns = [new_text.alias(c) if c == text else F.col(c) for c in docs.columns]
-        n_lines = F.size(all_lines).cast("long").alias("n_lines")
+        n_lines = F.size(split_lines(F.col(text))).cast("long").alias("n_lines")
         return rows.select(*columns, n_lines, dropped.cast("long").alias("n_dropped"))
 
     clean = result(docs.where(~may_lose), F.col(text), F.lit(0))
-    new_text = F.coalesce(F.array_join("_kept", "\n"), F.col(text))
-    dropped = F.coalesce(F.size(all_lines) - F.size("_kept"), F.lit(0))
-    return clean.unionByName(result(joined, new_text, dropped))
+    return clean.unionByName(result(joined, F.col("_kept.text"), F.col("_kept.dropped")))
 
 
 def without(docs: DataFrame, id: str, ids: DataFrame) -> DataFrame:

@@ -15,8 +15,9 @@ one id and equal vectors of many ids spread evenly.
 Defined cases: vectors that are null or hold null or non-finite components take no
 part; vectors are compared with those of the same dimension only; a candidate with
 the query's id never counts; if an id has several vectors, a pair of ids has its best
-score; ties go to the smaller id; null ids take no part; scores must fit 63 bits; an
-empty table gives an empty result; other columns of the input are left out.
+score; ties go to the smaller id; null ids take no part; if two lengths multiply to
+2^63 or more, whose score may not fit, an error is raised; an empty table gives an empty
+result; other columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ ROWS = 256
 COORDINATE_FROM = 0.6
 # Products of vectors with shorter lengths than this are exact in double.
 EXACT_NORM = 2.0**26
+# Products of two lengths must stay below this, less what rounding may hide.
+MOST_SCORE = 2.0**63 * (1 - 1e-9)
 
 
 def vectors(rows: DataFrame, id: str, vector: str, scale: float) -> DataFrame:
@@ -123,6 +126,8 @@ def search_block(
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     best = [none] * len(query_ids)
     lengths = np.sqrt((queries.astype(float) ** 2).sum(1))
+    if lengths.max(initial=0) * found.norms.max(initial=0) >= MOST_SCORE:
+        raise OverflowError("vectors are too long: their scores may exceed 63 bits")
     exact = found.exact and (not len(lengths) or lengths.max() < EXACT_NORM)
     left = queries.astype(float) if exact else queries
     right = found.vectors if exact else found.vectors.astype(np.int64)
