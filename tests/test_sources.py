@@ -55,6 +55,43 @@ def test_json_arrays(spark, tmp_path):
     assert missing.isEmpty() and missing.columns == schemas.RAW_NEWS.names
 
 
+def test_arrays_with_an_object_a_line(spark, tmp_path):
+    def read(name, text, position="n"):
+        path = write(tmp_path / name / "x [1].json", text)
+        del path
+        return readers.read_json_array(
+            spark, str(tmp_path / name), schemas.RAW_TICK, schemas.TICK_FIELDS, position=position
+        )
+
+    objects = [json.dumps({**TICK, "komoditas": f"e{i}"}) for i in range(3000)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        for name, text in (
+            ("a", "[" + ",\n".join(objects) + "]"),
+            ("b", "[\n" + " ,\r\n  ".join(objects) + "\n]\n\n"),
+        ):
+            df = read(name, text)
+            assert df.where("entity is not null").rdd.getNumPartitions() > 4
+            assert {r.n: r.entity for r in df.collect()} == {i: f"e{i}" for i in range(3000)}
+        assert read("c", "[" + ",\n".join(objects) + "]", None).count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    one, two = objects[:2]
+
+    def entities(name, text):
+        return [(r.entity, r.n) for r in read(name, text).collect()]
+
+    # Read as a whole: several objects on a line, other elements between.
+    assert sorted(entities("d", f"[{one}, {two},\n{one}]")) == [("e0", 0), ("e0", 2), ("e1", 1)]
+    assert sorted(entities("e", f"[{one},\n[{two}],\n5,\n{two}]")) == [("e0", 0), ("e1", 3)]
+    # Broken files give no rows.
+    for i, text in enumerate(
+        (f"[{one}\n{two}]", f"[{one},\n{two}", f"{one},\n{two}]", f"[{one},\n,\n{two}]", f"[{one},\n{two[:-3]}]")
+    ):
+        assert entities(f"broken{i}", text) == []
+    assert entities("f", "[\n]") == [] and entities("g", f"\n[{one}]") == [("e0", 0)]
+
+
 def test_first_available(spark, tmp_path):
     array = write(tmp_path / "live.json", json.dumps([TICK]))
     write(tmp_path / "store" / "1.json", json.dumps({**TICK, "komoditas": "Kedelai"}) + "\n")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,10 @@ from tickloom import schemas
 from tickloom.functions.times import parse_feed_time
 
 
+# Blanks that JSON allows.
+JSON_BLANKS = " \t\r\n"
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -43,6 +49,72 @@ def read_jsonl(
     return _rename(df, fields)
 
 
+def _array_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of array files that are not blank, and the one element that each may hold.
+
+    ``fits`` tells whether a line is a bracket or an object, with a comma after it at most.
+    """
+    read = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nth"),
+        F.btrim("value", F.lit(JSON_BLANKS)).alias("line"),
+    )
+    core = F.regexp_replace("line", r"^\[[ \t]*|[ \t]*\]$", "")
+    body = F.regexp_replace("core", r"[ \t]*,$", "")
+    # An array of one, so that a second object on the line is not lost.
+    items = F.from_json(F.concat(F.lit("["), "body", F.lit("]")), "array<string>")
+    lines = read.where("line <> ''").withColumn("core", core).withColumn("body", body)
+    one = F.col("body").startswith("{") & (F.size("items") == 1)
+    return lines.withColumn("items", F.when(F.col("body").startswith("{"), items)).select(
+        "file",
+        "block",
+        "nth",
+        F.col("line").startswith("[").alias("opens"),
+        F.col("line").endswith("]").alias("closes"),
+        F.col("core").endswith(",").alias("comma"),
+        F.when(one, F.get("items", F.lit(0))).alias("item"),
+        ((F.col("core") == "") | F.coalesce(one, F.lit(False))).alias("fits"),
+    )
+
+
+def _array_shapes(lines: DataFrame) -> DataFrame:
+    """Whether a file is one array with an object a line: file, lined."""
+    place = F.struct("block", "nth")
+    element = F.col("item").isNotNull()
+    marks = lines.groupBy("file").agg(
+        F.every("fits").alias("fits"),
+        F.count_if("opens").alias("opens"),
+        F.count_if("closes").alias("closes"),
+        F.count_if("comma").alias("commas"),
+        F.count("item").alias("elements"),
+        (F.min(place) == F.min(F.when(F.col("opens"), place))).alias("first"),
+        (F.max(place) == F.max(F.when(F.col("closes"), place))).alias("last"),
+        (F.max(F.when(F.col("comma"), place)) < F.max(F.when(element, place))).alias("ends"),
+    )
+    lined = (
+        F.expr("fits and opens = 1 and closes = 1 and first and last")
+        & F.expr("commas = greatest(elements - 1, 0)")
+        & F.expr("coalesce(ends, true)")
+    )
+    return marks.select("file", F.coalesce(lined, F.lit(False)).alias("lined"))
+
+
+def _plain_path(file: str) -> str:
+    """A listed file as a path to read: not encoded, no character read as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
+def _numbered(items: DataFrame) -> DataFrame:
+    """Place of each element in its file; a window sees one block, or one row a block."""
+    counts = items.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("nth"))
+    placed = items.withColumn("_nth", within).join(starts, ["file", "block"])
+    return placed.select(F.col("item").alias("_item"), (F.col("_start") + F.col("_nth") - 1).alias("_at"))
+
+
 def read_json_array(
     spark: SparkSession,
     path: str,
@@ -55,18 +127,28 @@ def read_json_array(
     A missing file, broken JSON or anything but an array gives no rows;
     elements that are no objects are left out. ``position`` names a column for
     the place in the array, which is the arrival order.
+
+    Files with one object a line are found by a pass over the lines and read by as
+    many tasks as they have blocks; a task reads any other file as a whole.
     """
     wire = schemas.json_schema(schema, fields or {})
     out = T.StructType(wire.fields + ([T.StructField(position, T.LongType())] if position else []))
     try:
-        text = spark.read.text(path, wholetext=True)
+        shapes = _array_shapes(_array_lines(spark, path)).collect()  # a row a file
     except AnalysisException:
         return _rename(empty_like(spark, out), fields)
-    # The elements are cut out as text first, so one odd element spoils no other.
-    elements = F.from_json("value", "array<string>")
-    items = text.where(F.ltrim("value").startswith("[")).select(
-        F.posexplode(elements).alias("_at", "_item")
-    )
+    lined = [_plain_path(r["file"]) for r in shapes if r["lined"]]
+    others = [_plain_path(r["file"]) for r in shapes if not r["lined"]]
+    items = empty_like(spark, T.StructType.fromDDL("_at bigint, _item string"))
+    if lined:
+        elements = _array_lines(spark, lined).where(F.col("item").isNotNull())
+        no_place = elements.select(F.lit(None).cast("long").alias("_at"), F.col("item").alias("_item"))
+        items = items.unionByName(_numbered(elements) if position else no_place)
+    if others:
+        # The elements are cut out as text first, so one odd element spoils no other.
+        text = spark.read.text(others, wholetext=True)
+        elements = F.posexplode(F.from_json("value", "array<string>")).alias("_at", "_item")
+        items = items.unionByName(text.where(F.ltrim("value").startswith("[")).select(elements))
     rows = items.where(F.ltrim("_item").startswith("{")).select(
         F.from_json("_item", wire).alias("_row"), "_at"
     )
