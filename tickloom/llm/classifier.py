@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.lines import filter_bits, maybe_in, merged_filter
 from tickloom.llm.tables import stored, table
 
 FEATURES = 256
@@ -283,7 +284,14 @@ def learn(described: DataFrame, labels: DataFrame, id: str, label: str) -> Model
 def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> Model:
-    return learn(stored(describe(docs, id, text), "statistics"), labels, id, label)
+    """The model of ``classify``; only documents that have a label are read for their statistics."""
+    # As text, an id has one hash whatever its type in either table.
+    hashed = F.xxhash64(F.col(id).cast("string"))
+    marks = stored(labels.where(F.col(label).isin(0, 1)).select(hashed.alias("hash")), "marked")
+    bits = filter_bits(marks.count())
+    marked = maybe_in(merged_filter(marks, bits, "once"), bits)(hashed)
+    usable = docs.where(~held_out(id)).where(marked)
+    return learn(stored(describe(usable, id, text), "statistics"), labels, id, label)
 
 
 def accepts(model: Model):
