@@ -24,7 +24,7 @@ import functools
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -64,24 +64,24 @@ def byte_letters() -> dict[int, str]:
 
 
 class Memory(dict):
-    """What was used lately: beyond ``most`` entries those unused the longest go, half of all."""
+    """What was used lately: beyond ``most`` entries those unused the longest go, half of all.
 
-    def __init__(self, most: int) -> None:
+    Reading a key that it does not hold makes and keeps its value.
+    """
+
+    def __init__(self, most: int, make: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.half, self.older = most // 2, {}
+        self.half, self.older, self.make = most // 2, {}, make
 
-    def recall(self, key: str) -> bytes | None:
-        """An entry that is no longer among the latest ones."""
+    def __missing__(self, key: str) -> bytes:
         value = self.older.get(key)
-        if value is not None:
-            self.add(key, value)
-        return value
-
-    def add(self, key: str, value: bytes) -> None:
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.half:
             self.older = dict(self)
             self.clear()
         self[key] = value
+        return value
 
 
 class Encoder:
@@ -98,28 +98,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.pieces = Memory(MAX_PIECES)
+        self.pieces = Memory(MAX_PIECES, self._piece)
 
     def _whole(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece; the model is asked without splitting it again."""
-        known = self.pieces.get(piece) or self.pieces.recall(piece)
-        if known is None:
-            letters = piece.encode().decode("latin-1").translate(self.letters)
-            known = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            self.pieces.add(piece, known)
-        return known
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text.isascii() and WIDE.search(text) or "<|" in text:
             return self._whole(text)
-        pieces = PIECE.findall(text)
-        found = list(map(self.pieces.get, pieces))
-        if None in found:
-            found = [self._piece(p) if f is None else f for p, f in zip(pieces, found, strict=True)]
-        return b"".join(found)
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
 
 
 @functools.cache
@@ -149,9 +141,10 @@ class WaveletMatrix:
         for digit in reversed(range(max(1, (len(vocabulary) - 1).bit_length()))):
             bits = (rest >> digit & 1).astype(bool)
             planes.append(np.packbits(bits))
-            low = rest[~bits]
+            # Positions of random bits are found faster than a mask is applied.
+            low = rest.take(np.flatnonzero(~bits))
             zeros.append(len(low))
-            rest = np.concatenate([low, rest[bits]])
+            rest = np.concatenate([low, rest.take(np.flatnonzero(bits))])
         return cls(len(ids), vocabulary, planes, zeros)
 
     def decode(self) -> np.ndarray:
@@ -163,8 +156,8 @@ class WaveletMatrix:
         ):
             bits = np.unpackbits(plane, count=self.n).astype(bool)
             before = np.empty_like(rest)
-            before[~bits] = rest[:zero]
-            before[bits] = rest[zero:] | rest.dtype.type(1 << digit)
+            before[np.flatnonzero(~bits)] = rest[:zero]
+            before[np.flatnonzero(bits)] = rest[zero:] | rest.dtype.type(1 << digit)
             rest = before
         return self.vocabulary[rest]
 
