@@ -365,3 +365,44 @@ def test_latest_row_by_hash(spark):
     assert got.count() == 3
     text = aggregate.newest(df.withColumn("note", F.lit("x")), order)
     assert text.count() == 3 and "note" in text.columns
+
+
+def test_gap_filling_splits_a_hot_entity(spark):
+    periods = [dt.datetime(2026, 1, 1) + dt.timedelta(minutes=i) for i in range(600)]
+    hot = [("hot", p, float(i)) for i, p in enumerate(periods) if i % 3]
+    rare = [("rare", periods[i], 1000.0 + i) for i in (7, 300)]
+    tr = spark.createDataFrame([*hot, *rare, (None, periods[0], 5.0)], "entity string, period timestamp_ntz, price_avg double")
+    dim = spark.createDataFrame([("hot", -1.0), ("rare", -2.0), ("none", -3.0), (None, -4.0)], "entity string, baseline double")
+    want = {}
+    for name, baseline in (("hot", -1.0), ("rare", -2.0), ("none", -3.0), (None, -4.0)):
+        known, price = {p: x for e, p, x in [*hot, *rare] if e == name}, baseline
+        for p in sorted({p for _, p, _ in [*hot, *rare]} | {periods[0]}):
+            price = known.get(p, price)
+            want[name, p] = price
+    for chunks in (None, 1, 16):
+        filled = series.trend_filled(tr, dim, chunks=chunks)
+        # A null entity of the trend joins none of the dimension, so its period is not one.
+        got = {(r.entity, r.period): r.price_avg for r in filled.collect()}
+        assert got == {k: v for k, v in want.items() if k[1] != periods[0]}
+    spread = filled.where("entity = 'hot'").select(F.spark_partition_id().alias("task"))
+    assert spread.distinct().count() > 1
+
+
+def test_blocks_of_more_entities_than_a_pivot_can_hold(spark):
+    hour = lambda h: dt.datetime(2026, 1, 1, h)
+    many = spark.range(10_500).select(
+        F.format_string("e%06d", "id").alias("entity"), F.lit(hour(5)).cast("timestamp_ntz").alias("period"), F.col("id").cast("double").alias("price_avg")
+    )
+    few = spark.createDataFrame(
+        [(None, hour(4), 1.5), ("e000000", hour(4), 2.5), ("old", hour(1), 9.0)],
+        "entity string, period timestamp_ntz, price_avg double",
+    )
+    blocks = aggregate.trend_blocks(many.unionByName(few), n=2, width=100).orderBy("block", "period").collect()
+    assert len(blocks) == 212 and [len(r.entities) for r in blocks[-2:]] == [1, 1]
+    assert all(len(r.entities) == len(r.prices) == 100 for r in blocks[:-2])
+    first, second = blocks[:2]
+    assert first.entities[:3] == [None, "e000000", "e000001"] and first.period == hour(4)
+    assert first.prices[:3] == [1.5, 2.5, None] and second.prices[:3] == [None, 0.0, 1.0]
+    names = [e for r in blocks if r.period == hour(5) for e in r.entities]
+    assert names == [None, *[f"e{i:06d}" for i in range(10_500)]]
+    assert aggregate.trend_blocks(few.limit(0)).isEmpty()

@@ -194,12 +194,76 @@ def test_versions(spark, tmp_path):
 def test_uncommitted_version_is_invisible(spark, tmp_path):
     path = str(tmp_path / "t")
     versions.commit(spark.range(3), path)
-    spark.range(99).write.parquet(f"{path}/v=1")  # a run that died before its commit row
+    spark.range(99).write.parquet(f"{path}/_version=1")  # a run that died before its commit row
+    spark.range(99).write.parquet(f"{path}/_parts/n=1")
     assert versions.as_of(spark, path).count() == 3
     assert versions.commit(spark.range(4), path) == 1
     assert versions.as_of(spark, path).count() == 4
 
 
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_update_writes_only_parts_with_matches(spark, tmp_path):
+    table = tmp_path / "t"
+    path = str(table)
+    rows = [("01", 1, 1.0), ("01", 2, 9.0), ("1", 3, 9.0), (None, 4, 1.0), ("", 5, 9.0), ("a/b c", 6, 9.0)]
+    df = spark.createDataFrame(rows, "part string, id int, price double")
+    assert versions.commit(df, path, partition_by=["part"]) == 0
+    before = files_of(table / "_version=0")
+    low = F.col("price") < 5
+    assert versions.update_table(spark, path, low, {"price": F.lit(5.0)}) == 1
+    # Null and empty are one part of a stored table.
+    assert {p.name for p in (table / "_version=1").iterdir() if p.is_dir()} == {
+        "part=01", "part=__HIVE_DEFAULT_PARTITION__"
+    }
+    stored_rows = [(p or None, i, x) for p, i, x in rows]
+    floored = sorted((p or None, i, max(x, 5.0)) for p, i, x in rows if p) + [(None, 4, 5.0), (None, 5, 9.0)]
+
+    def held(version=None):
+        found = versions.as_of(spark, path, version)
+        assert found.columns == df.columns and found.schema["part"].dataType == df.schema["part"].dataType
+        return sorted(map(tuple, found.collect()), key=lambda r: r[1])
+
+    assert held() == sorted(floored, key=lambda r: r[1])
+    assert held(0) == stored_rows
+    # Rows move between parts: one part empties, another one gets rows, a new one appears.
+    to = F.when(F.col("id") == 3, "01").otherwise("new")
+    assert versions.update_table(spark, path, F.col("id").isin(3, 6), {"part": to}) == 2
+    moved = {i: (p, x) for p, i, x in held()}
+    assert len(moved) == 6 and moved[3] == ("01", 9.0) and moved[6] == ("new", 9.0) and moved[1] == ("01", 5.0)
+    parts = {r.part: r._holder for r in versions.parts_of(spark, path, 2).collect()}
+    assert parts == {"01": 2, "new": 2, None: 1}
+    # Nothing matches: the version shares all parts.
+    assert versions.update_table(spark, path, F.lit(None).cast("boolean"), {"price": F.lit(0.0)}) == 3
+    assert {i: (p, x) for p, i, x in held(3)} == moved
+    assert held(1) == sorted(floored, key=lambda r: r[1])
+    # All rows of the last part written go elsewhere; what is left is in older folders.
+    assert versions.update_table(spark, path, F.col("part") != "01", {"part": F.lit("01")}) == 4
+    assert versions.update_table(spark, path, F.col("part").isNull(), {"price": F.lit(7.0)}) == 5
+    assert {(p, i) for p, i, _ in held()} == {("01", 1), ("01", 2), ("01", 3), (None, 4), (None, 5), ("01", 6)}
+    assert files_of(table / "_version=0") == before
+
+
+def test_update_of_tables_without_rows_or_parts(spark, tmp_path):
+    empty = spark.createDataFrame([], "d date, v int")
+    path = str(tmp_path / "empty")
+    versions.commit(empty, path, partition_by=["d"])
+    assert versions.update_table(spark, path, F.col("v") > 0, {"v": F.lit(1)}) == 1
+    assert versions.as_of(spark, path).schema == empty.schema and versions.as_of(spark, path).isEmpty()
+    # A new layout and a new type are written as a whole.
+    df = spark.range(10).select((F.col("id") % 3).alias("k"), "id")
+    path = str(tmp_path / "relaid")
+    versions.commit(df, path)
+    assert versions.update_table(spark, path, F.col("id") == 4, {"id": F.lit(40).cast("long")}, ["k"]) == 1
+    assert versions.update_table(spark, path, F.col("id") == 5, {"id": F.lit(50.5)}) == 2
+    assert sorted(r.id for r in versions.as_of(spark, path, 1).collect()) == [0, 1, 2, 3, 5, 6, 7, 8, 9, 40]
+    assert 50.5 in {r.id for r in versions.as_of(spark, path).collect()}
+    with pytest.raises(ValueError):
+        versions.commit(df.withColumnRenamed("k", "_version"), path)
+
+
 def test_report(spark):
     vol = spark.createDataFrame(
         [("a", 1.0, 2.0), ("b", 9.0, 3.0)], "entity string, volatility_pct double, price_max double"

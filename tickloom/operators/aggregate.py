@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom.functions.numbers import sign_class, trend_band
@@ -60,6 +61,50 @@ def trend_matrix(
     return recent.groupBy("period").pivot("entity", names).agg(F.first("price_avg"))
 
 
+def trend_blocks(tr: DataFrame, n: int = 12, width: int = 256) -> DataFrame:
+    """The last ``n`` periods of any number of entities, in blocks of columns.
+
+    The entities of these periods are numbered in ascending order (no entity comes first)
+    and cut into blocks of ``width``. A row is a period of a block: block, period, its
+    entities and their prices as two arrays, null where an entity has no price.
+    """
+    tr = stored(tr, "trend")
+    newest = stored(tr.select("period").distinct().orderBy(F.desc("period")).limit(n), "periods")
+    recent = tr.join(newest, tr["period"].eqNullSafe(newest["period"]), "left_semi")
+    ranges = recent.select("entity").distinct().repartitionByRange("entity")
+    names = stored(ranges.withColumn("_range", F.spark_partition_id()), "names")
+    # Numbers within a range are shifted by the names of earlier ranges, one row each.
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shift = (
+        names.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    )
+    within = F.row_number().over(W.partitionBy("_range").orderBy("entity"))
+    numbered = names.join(shift, "_range").select(
+        F.col("entity").alias("_name"), (within - 1 + F.col("_shift")).alias("_i")
+    )
+    numbered = numbered.select(
+        "_name", F.floor(F.col("_i") / width).alias("block"), (F.col("_i") % width).cast("int").alias("_place")
+    )
+    cells = recent.join(numbered, F.col("entity").eqNullSafe(F.col("_name"))).groupBy("block", "period")
+    entry = F.struct("_place", "price_avg")
+    cells = cells.agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))
+    heads = numbered.groupBy("block").agg(
+        F.array_sort(F.collect_list(F.struct("_place", F.col("_name").alias("entity")))).alias("_names")
+    )
+    periods = newest.agg(F.collect_list(F.struct("period"))).scalar()
+    grid = heads.withColumn("_period", F.explode(periods)).select("block", "_names", "_period.period")
+    cells = cells.withColumnsRenamed({"block": "_block", "period": "_of"})
+    same = (F.col("block") == F.col("_block")) & F.col("period").eqNullSafe(F.col("_of"))
+    return grid.join(cells, same, "left").select(
+        "block",
+        "period",
+        F.col("_names.entity").alias("entities"),
+        F.transform("_names", lambda x: F.try_element_at("_cells", x["_place"])).alias("prices"),
+    )
+
+
 def average_change(ticks: DataFrame, change: str = "pct_change") -> DataFrame:
     return ticks.groupBy("entity").agg(F.avg(change).alias("avg_change_pct"))
 

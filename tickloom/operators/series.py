@@ -44,12 +44,14 @@ def two_back_changes(
     return df.withColumn("pct_change", pct_change("price", "prev_price"))
 
 
-def trend_filled(tr: DataFrame, dim: DataFrame) -> DataFrame:
+def trend_filled(tr: DataFrame, dim: DataFrame, chunks: int | None = None) -> DataFrame:
     """Every entity of ``dim`` in every period, with the last known price.
 
     Before its first period an entity has its baseline. Each known price covers
     the run of periods up to the next known one, so it is spread over that run
     directly: no product of entities and periods and no window over the grid.
+    A run's end is found over ranges of (entity, period), so that an entity with
+    very many periods fills several tasks (``chunks`` of them in all, if given).
     """
     dim = stored(dim.select("entity", "baseline"), "baselines")
     tr = tr.where(F.col("period").isNotNull())
@@ -71,8 +73,10 @@ def trend_filled(tr: DataFrame, dim: DataFrame) -> DataFrame:
     known = tr.join(numbered, "period").select("entity", "_i", F.col("price_avg").alias("_price"))
     seed = dim.select("entity", F.lit(0).alias("_i"), F.col("baseline").alias("_price"))
     points = seed.withColumn("_known", F.lit(0)).unionByName(known.withColumn("_known", F.lit(1)))
-    along = W.partitionBy("entity").orderBy("_i", "_known")
-    runs = points.withColumn("_end", F.coalesce(F.lead("_i").over(along), n_periods))
+    # In falling order the next known period is the one of the row before.
+    falling = points.withColumn("_down", -(F.col("_i").cast("long") * 2 + F.col("_known")))
+    runs = previous_value(falling, "_i", "_end", order=("_down",), chunks=chunks)
+    runs = runs.withColumn("_end", F.coalesce("_end", n_periods))
     spread = runs.where(F.col("_end") > F.col("_i")).select(
         "entity",
         F.col("_price").alias("price_avg"),

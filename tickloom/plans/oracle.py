@@ -284,6 +284,26 @@ ORACLE: dict[str, str] = {
     ) + f""" FROM {HOURS}
         WHERE period IN (SELECT DISTINCT period FROM {HOURS} ORDER BY period DESC LIMIT 12)
         GROUP BY period""",
+    "trend_blocks": f"""
+        WITH t AS (SELECT entity, date_trunc('hour', ts) AS period, avg(price) AS price_avg
+            FROM {USERS} GROUP BY ALL),
+        p AS (SELECT DISTINCT period FROM t ORDER BY period DESC LIMIT 12),
+        r AS (SELECT * FROM t WHERE period IN (FROM p)),
+        e AS (SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS number
+            FROM (SELECT DISTINCT entity FROM r))
+        SELECT number // 64 AS block, CAST(number % 64 AS INTEGER) AS place, period, entity,
+            round(price_avg, 8) AS price_avg
+        FROM e CROSS JOIN p LEFT JOIN r USING (entity, period)""",
+    "trend_filled_split": f"""
+        WITH t AS (SELECT entity, date_trunc('minute', ts) AS period, avg(price) AS price_avg
+            FROM {EVENTS} GROUP BY ALL),
+        d AS (SELECT entity, min(price) AS baseline FROM {EVENTS} GROUP BY entity),
+        grid AS (SELECT d.entity, d.baseline, p.period
+            FROM d CROSS JOIN (SELECT DISTINCT period FROM t) p)
+        SELECT entity, period, round(coalesce(last_value(price_avg IGNORE NULLS) OVER (
+            PARTITION BY entity ORDER BY period
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), baseline), 8) AS price_avg
+        FROM grid LEFT JOIN t USING (entity, period)""",
     "trend_filled": f"""
         WITH t AS (SELECT entity, date_trunc('hour', ts) AS period, avg(price) AS price_avg
             FROM {USERS} GROUP BY ALL),
@@ -436,6 +456,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 1, 'UPDATE', count(*), round(sum(price), 8) FROM {FLOORED}
         UNION ALL SELECT 2, 'DELETE', count(*), round(sum(price), 8) FROM {FLOORED} WHERE entity <> 'signup'""",
     "version_as_of": f"SELECT entity, price, ts, id FROM {FLOORED}",
+    "price_floor_stored": f"""
+        SELECT entity, CASE WHEN entity = 'click' AND CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM {EVENTS})
+            THEN 0.5 ELSE price END AS price, ts, id, CAST(ts AS DATE) AS date FROM {FLOORED}""",
     "appended_batches": f"""
         SELECT entity, 'api' AS origin, 'batch ' || (id % 2) AS batch, count(*) AS n FROM {EVENTS}
         WHERE id % 2 = 0 OR entity <> 'signup' GROUP BY ALL""",

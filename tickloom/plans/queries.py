@@ -115,6 +115,18 @@ def trend_matrix(spark, sf):
     return rounded(aggregate.trend_matrix(hourly), *b.EVENT_TYPES)
 
 
+@query
+def trend_blocks(spark, sf):
+    """The matrix of all users, none of which is named: blocks of 64 columns, a row a cell."""
+    hourly = aggregate.trend(b.event_ticks(spark, sf, "user_id"), "hour")
+    blocks = aggregate.trend_blocks(hourly, width=64)
+    cells = blocks.select(
+        "block", "period", F.posexplode(F.arrays_zip("entities", "prices")).alias("place", "cell")
+    )
+    found = cells.select("block", "place", "period", "cell.entities", "cell.prices")
+    return rounded(found.withColumnsRenamed({"entities": "entity", "prices": "price_avg"}), "price_avg")
+
+
 @query
 def trend_filled(spark, sf):
     ticks = b.event_ticks(spark, sf, "user_id")
@@ -122,6 +134,14 @@ def trend_filled(spark, sf):
     return rounded(series.trend_filled(aggregate.trend(ticks, "hour"), dim), "price_avg")
 
 
+@query
+def trend_filled_split(spark, sf):
+    """Few entities with many periods, dealt over many ranges."""
+    ticks = b.event_ticks(spark, sf)
+    dim = ticks.groupBy("entity").agg(F.min("price").alias("baseline"))
+    return rounded(series.trend_filled(aggregate.trend(ticks), dim, chunks=SPLIT), "price_avg")
+
+
 @query
 def latest_prices(spark, sf):
     ticks = b.lineitem_ticks(spark, sf).withColumn(
@@ -552,6 +572,19 @@ def version_as_of(spark, sf):
     return versions.as_of(spark, _versions(spark, sf), 1)
 
 
+@query
+def price_floor_stored(spark, sf):
+    """A stored table by day, corrected twice; only days with such rows are written."""
+    path = scratch_dir(spark, "corrected")
+    ticks = b.event_ticks(spark, sf).withColumn("date", F.to_date("ts"))
+    versions.commit(ticks, path, partition_by=["date"])
+    low = (F.col("entity") == "view") & (F.col("price") < 5)
+    versions.update_table(spark, path, low, {"price": F.lit(5.0)})
+    first_day = F.col("date") == ticks.agg(F.min("date")).scalar()
+    versions.update_table(spark, path, first_day & (F.col("entity") == "click"), {"price": F.lit(0.5)})
+    return versions.as_of(spark, path)
+
+
 @query
 def appended_batches(spark, sf):
     """Batches by month with load metadata; the second one came three times, at last without rows of one type."""
