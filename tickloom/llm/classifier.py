@@ -16,7 +16,7 @@ input are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.lines import filter_bits, maybe_in, merged_filter
+from tickloom.llm.lines import filter_bits, holds, merged_filter
 from tickloom.llm.tables import stored, table
 
 FEATURES = 256
@@ -103,11 +103,22 @@ def held_out(id: str) -> Column:
     return F.coalesce(rest == 1, F.lit(False))
 
 
-def describe(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, held_out, fit (whether its label is fitted or calibrated) and its statistics."""
+def hash_of(id: str) -> Column:
+    """Of an id as text, which is the same whatever its type."""
+    return F.xxhash64(F.col(id).cast("string"))
+
+
+def describe(docs: DataFrame, id: str, text: str, marked: Callable | None = None) -> DataFrame:
+    """doc_id, held_out, fit (whether its label is fitted or calibrated) and its statistics.
+
+    ``marked`` tells by the hashes of ids (``hash_of``) which documents are described. It
+    is asked in the same task, because a second Python step would need workers of its own.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if marked is not None:
+                batch = batch.filter(pa.array(marked(batch.column("_hash").to_numpy())))
             rows = [
                 np.array(statistics((t or "").encode("utf-8", "surrogatepass"))).tobytes()
                 for t in batch.column("_text").to_pylist()
@@ -123,6 +134,7 @@ def describe(docs: DataFrame, id: str, text: str) -> DataFrame:
         held_out(id).alias("held_out"),
         fit.alias("fit"),
         F.col(text).alias("_text"),
+        *([] if marked is None else [hash_of(id).alias("_hash")]),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(task, f"doc_id {kind}, held_out boolean, fit boolean, stats binary")
@@ -285,13 +297,12 @@ def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> Model:
     """The model of ``classify``; only documents that have a label are read for their statistics."""
-    # As text, an id has one hash whatever its type in either table.
-    hashed = F.xxhash64(F.col(id).cast("string"))
-    marks = stored(labels.where(F.col(label).isin(0, 1)).select(hashed.alias("hash")), "marked")
+    marks = labels.where(F.col(label).isin(0, 1)).select(hash_of(id).alias("hash"))
+    marks = stored(marks, "marked")
     bits = filter_bits(marks.count())
-    marked = maybe_in(merged_filter(marks, bits, "once"), bits)(hashed)
-    usable = docs.where(~held_out(id)).where(marked)
-    return learn(stored(describe(usable, id, text), "statistics"), labels, id, label)
+    marked = holds(merged_filter(marks, bits, "once"), bits)
+    described = describe(docs.where(~held_out(id)), id, text, marked)
+    return learn(stored(described, "statistics"), labels, id, label)
 
 
 def accepts(model: Model):

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -148,16 +148,25 @@ def merged_filter(hashes: DataFrame, bits: int, part: str):
     return hashes.sparkSession.sparkContext.broadcast(zlib.compress(out.tobytes(), 1))
 
 
+def holds(shared, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A function for tasks: which of the hashes the filter may hold."""
+    cache: dict[str, np.ndarray] = {}
+
+    def check(hashes: np.ndarray) -> np.ndarray:
+        if "filter" not in cache:
+            cache["filter"] = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        return has(cache["filter"], positions(np.array(hashes, np.int64), bits))
+
+    return check
+
+
 def maybe_in(shared, bits: int):
     """A column function: whether the filter holds a hash."""
-    cache: dict[str, np.ndarray] = {}
+    held = holds(shared, bits)
 
     @F.pandas_udf("boolean")
     def check(hashes: pd.Series) -> pd.Series:
-        if "filter" not in cache:
-            cache["filter"] = np.frombuffer(zlib.decompress(shared.value), np.uint8)
-        at = positions(hashes.to_numpy(np.int64, copy=True), bits)
-        return pd.Series(has(cache["filter"], at))
+        return pd.Series(held(hashes.to_numpy(np.int64)))
 
     return check
 
