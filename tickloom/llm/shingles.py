@@ -17,7 +17,7 @@ WORDS = len(PLACES)
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 # Bytes of text that are looked at together.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
