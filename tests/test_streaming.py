@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom import dimensions, schemas
 from tickloom.operators import aggregate, series
-from tickloom.plans import bindings
+from tickloom.plans import bindings, queries
 from tickloom.sources import readers, sinks
 from tickloom.streaming import jobs, levels
 
@@ -194,6 +194,25 @@ def test_first_seen(spark, tmp_path):
         assert got.where("link = 'a'").first().n < 50
 
 
+def test_large_tables_arrive_in_more_files(spark, tmp_path, monkeypatch):
+    """No task that deals a table out gets a share of it that grows with the table."""
+    texts = F.when(F.col("id") % 9 == 0, F.lit(None)).otherwise(F.sha2((F.col("id") % 700).cast("string"), 512))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("*.parquet"))
+    monkeypatch.setattr(queries, "FILE_BYTES", size // 14, raising=False)
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, name: str(tmp_path / name))
+    got = queries.stream_dedupe(spark, str(tmp_path))
+    want = docs.select(F.sha2("text", 256)).distinct()
+    assert rows(got, key=repr) == rows(want, key=repr)
+    out = tmp_path / "stream-dedupe"
+    files = [str(f) for f in (out / "source").glob("*.parquet")]
+    assert len(files) == 15
+    assert max(spark.read.parquet(f).count() for f in files) < 3000 / 5
+    offsets = [p.read_text() for p in (out / "ckpt" / "sources" / "0").iterdir() if p.suffix != ".crc"]
+    assert sorted(text.count('"path"') for text in offsets) == [5, 5, 5]
+
+
 def test_ingest_normalises_archives_and_keeps_the_newest(spark, tmp_path):
     source = tmp_path / "topic"
     for i in range(3):

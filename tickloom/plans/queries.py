@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,7 +23,7 @@ from tickloom.operators import (
     versions,
 )
 from tickloom.plans import bindings as b
-from tickloom.session import scratch_dir
+from tickloom.session import input_bytes, scratch_dir
 from tickloom.sources import readers, sinks
 from tickloom.streaming import jobs as streams
 
@@ -30,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SPLIT = 64  # chunks per hot entity in the queries that force the split plan
+FILE_BYTES = 64 << 20  # of a table, for each file that a stream reads it from
 EVENT_TOPIC = schemas.struct(entity="string", price="double", ts="timestamp_ntz", id="bigint")
 
 
@@ -649,11 +651,21 @@ def topic_roundtrip(spark, sf):
     return readers.decode_topic(sinks.encode_topic(ticks, "entity"), EVENT_TOPIC)
 
 
+def _arrivals(spark, rows, keys, path, batches):
+    """A table that arrives in so many batches, its rows dealt over files by their keys.
+
+    A larger table fills more files, not larger ones; each batch takes an equal number.
+    """
+    source = f"{path}/source"
+    files = batches * max(1, math.ceil(input_bytes(rows) / (batches * FILE_BYTES)))
+    rows.repartition(files, F.xxhash64(*keys)).write.parquet(source)
+    written = len(spark.read.parquet(source).inputFiles())  # those without rows are missing
+    return readers.stream_table(spark, source, max_files=math.ceil(written / batches))
+
+
 def _late_events(spark, sf, path, batches=4):
-    """All events, dealt over files without regard to time, one file a batch."""
-    events = b.table(spark, sf, "events")
-    events.repartition(batches, F.xxhash64("event_id")).write.parquet(f"{path}/source")
-    return readers.stream_table(spark, f"{path}/source", max_files=1)
+    """All events, dealt over batches without regard to time."""
+    return _arrivals(spark, b.table(spark, sf, "events"), ["event_id"], path, batches)
 
 
 @query
@@ -661,8 +673,7 @@ def stream_dedupe(spark, sf):
     # The same text again is the same article; its arrival time is the clock.
     path = scratch_dir(spark, "stream-dedupe")
     docs = b.table(spark, sf, "documents").select("doc_id", "text")
-    docs.repartition(3, F.xxhash64("doc_id")).write.parquet(f"{path}/source")
-    docs = readers.stream_table(spark, f"{path}/source", max_files=1).select(
+    docs = _arrivals(spark, docs, docs.columns, path, batches=3).select(
         F.sha2("text", 256).alias("link"), F.current_timestamp().alias("fetched_at")
     )
     first = streams.first_seen(docs, "link", "fetched_at").select("link")
