@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SPLIT = 64  # chunks per hot entity in the queries that force the split plan
-FILE_BYTES = 64 << 20  # of a table, for each file that a stream reads it from
+FILE_BYTES = 32 << 20  # of a table, for each file that a stream reads it from
 EVENT_TOPIC = schemas.struct(entity="string", price="double", ts="timestamp_ntz", id="bigint")
 
 
